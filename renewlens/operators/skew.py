@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 MAX_HEAVY_KEYS = 1000  # bound on every table broadcast from here
 SKETCH_ITEMS = 20_000
-MIN_ROWS = 1_000_000  # a smaller table fits one task whatever its keys are
+SMALL_BYTES = 64 << 20  # files below this size fit one task whatever their keys are
+HEAVY_ROWS = 100_000  # fewer rows of a key are no burden for a task
 LINE, COLUMN = "_line", "_column"
 
 
@@ -26,8 +27,21 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files a frame reads, from file listings alone.
+
+    Sources of unknown size report a very large one.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def heavy_keys(
-    df: DataFrame, key: str, parts: int | None = None, min_rows: int = MIN_ROWS
+    df: DataFrame,
+    key: str,
+    parts: int | None = None,
+    small: int = SMALL_BYTES,
+    min_rows: int = HEAVY_ROWS,
 ) -> dict[object, int]:
     """Keys holding far more than a partition's share, with the number of pieces to cut.
 
@@ -35,6 +49,8 @@ def heavy_keys(
     number of keys nor their skew matters. The counts are estimates; they
     steer the layout only, never the result.
     """
+    if input_bytes(df) < small:
+        return {}
     parts = parts or _partitions(df)
     found = (
         df.select(F.col(key).alias("k"))
@@ -45,13 +61,11 @@ def heavy_keys(
         )
         .first()
     )
-    if found.n < min_rows:
-        return {}
-    share = max(2.0 / parts, 1.0 / MAX_HEAVY_KEYS)
+    enough = max(min_rows, found.n * max(2.0 / parts, 1.0 / MAX_HEAVY_KEYS))
     return {
         item["item"]: max(2, math.ceil(parts * item["count"] / found.n))
         for item in found.top
-        if item["count"] >= share * found.n
+        if item["count"] >= enough
     }
 
 
@@ -121,11 +135,12 @@ def layout_for(
     right: DataFrame,
     key: str,
     parts: int | None = None,
-    min_rows: int = MIN_ROWS,
+    small: int = SMALL_BYTES,
+    min_rows: int = HEAVY_ROWS,
 ) -> Layout:
     """Inspect both sides and lay out their heavy keys."""
-    lines = heavy_keys(left, key, parts, min_rows)
-    columns = heavy_keys(right, key, parts, min_rows)
+    lines = heavy_keys(left, key, parts, small, min_rows)
+    columns = heavy_keys(right, key, parts, small, min_rows)
     both = lines.keys() | columns.keys()
     return Layout(key, {k: (lines.get(k, 1), columns.get(k, 1)) for k in both})
 

@@ -19,10 +19,12 @@ from renewlens.operators.quality import Expectation, gate, raise_on_failure
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Exactly the declared columns, types and comments, in order."""
-    return df.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema)
-    )
+    """Exactly the declared columns, types and comments, in order.
+
+    A column that is missing, or whose type cannot be stored as the declared
+    one, is an error when the plan is built.
+    """
+    return df.to(schema)
 
 
 def append_table(df: DataFrame, table: str) -> None:
