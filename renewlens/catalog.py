@@ -12,7 +12,7 @@ from renewlens.functions import md5_bucket
 from renewlens.operators import arrival, evaluation, quality, violations
 from renewlens.plans import features as feature_plans
 from renewlens.plans import health, reports, scoring, training
-from renewlens.session import fresh_path
+from renewlens.session import fresh_path, staged
 from renewlens.sources import star_tables as star
 from renewlens.sources import tables
 from renewlens.streaming import bronze
@@ -238,8 +238,13 @@ def account_features(spark: SparkSession, folder: str) -> DataFrame:
     return feature_plans.account_features(silver_account_health(spark, folder), star.AS_OF)
 
 
+def _stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature table as the jobs after it find it: written once, read many times."""
+    return staged(account_features(spark, folder), "account-features")
+
+
 def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
-    split = feature_plans.with_split(account_features(spark, folder))
+    split = feature_plans.with_split(_stored_features(spark, folder))
     return split.select("account_id", "is_churned", "is_test")
 
 
@@ -248,7 +253,7 @@ def split_churn_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fixed_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return account_features(spark, folder).withColumn(
+    return _stored_features(spark, folder).withColumn(
         "churn_risk", F.bround(scoring.fixed_score(), schemas.SCORE_DECIMALS)
     )
 
@@ -269,7 +274,7 @@ def roc_auc_by_plan(spark: SparkSession, folder: str) -> DataFrame:
 
 def shuffled_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """The row pairs that permutation importance draws on the hold-out rows."""
-    test = train_test_split(spark, folder).filter("is_test")
+    test = staged(train_test_split(spark, folder), "split").filter("is_test")
     return training.shuffled_pairs(
         test, "account_id", schemas.IMPORTANCE_REPEATS, schemas.SPLIT_SEED
     )
@@ -322,7 +327,7 @@ def champion(spark: SparkSession, folder: str) -> DataFrame:
 
 def _trained(spark: SparkSession, folder: str, importance: bool = False):
     return training.train(
-        account_features(spark, folder),
+        _stored_features(spark, folder),
         fresh_path(spark, "models"),
         QUICK,
         with_importance=importance,
@@ -344,7 +349,7 @@ def training_status(spark: SparkSession, folder: str) -> DataFrame:
 def churn_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Train, register, load by name and version, score, rank."""
     root = fresh_path(spark, "models")
-    features = account_features(spark, folder)
+    features = _stored_features(spark, folder)
     training.train(features, root, QUICK, with_importance=False)
     model = training.load_model(root, schemas.REGISTERED_MODEL, 1)
     return scoring.ranked(scoring.score_accounts(features, model))

@@ -44,6 +44,7 @@ class BronzeTable:
     schema: StructType
     rules: tuple[Expectation, ...]
     partition_by: tuple[str, ...] = ()
+    files_per_partition: int = 0
 
 
 BRONZE_TABLES = (
@@ -51,7 +52,11 @@ BRONZE_TABLES = (
     BronzeTable("subscriptions", schemas.SUBSCRIPTIONS, schemas.BRONZE_SUBSCRIPTIONS_RULES),
     # By day, so that the usage window reads its own days only.
     BronzeTable(
-        "usage_events", schemas.USAGE_EVENTS, schemas.BRONZE_USAGE_EVENTS_RULES, ("event_date",)
+        "usage_events",
+        schemas.USAGE_EVENTS,
+        schemas.BRONZE_USAGE_EVENTS_RULES,
+        ("event_date",),
+        files_per_partition=32,
     ),
 )
 
@@ -63,6 +68,7 @@ def ingest(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> di
         config.checkpoint(table.name),
         table.rules,
         partition_by=table.partition_by,
+        files_per_partition=table.files_per_partition,
     )
 
 

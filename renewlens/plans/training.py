@@ -170,7 +170,11 @@ def permutation_importance(
             for c in features
         ),
     )
-    areas = roc_auc(scored(model, copies), LABEL, SCORE, ["feature", "repeat"])
+    # Written, so that the two passes of the AUC do not score everything twice.
+    scores = staged(
+        scored(model, copies).select("feature", "repeat", LABEL, SCORE), "shuffled-scores"
+    )
+    areas = roc_auc(scores, LABEL, SCORE, ["feature", "repeat"])
     # 8 x 5 + 1 rows from here on.
     means = areas.groupBy("feature").agg(F.avg("auc").alias("_auc"))
     base = F.max(F.when(F.col("feature") == "", F.col("_auc"))).over(Window.partitionBy())

@@ -11,6 +11,7 @@ from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from renewlens.operators.quality import Expectation, gate
@@ -41,12 +42,21 @@ def append_new(
     rules: Sequence[Expectation] = (),
     transform: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: Sequence[str] = (),
+    files_per_partition: int = 0,
 ) -> dict[str, int]:
     """Gate and append everything that is new; returns the counts of this run.
 
-    The plan has no shuffle: rows go from source file to gate to sink.
+    Without ``files_per_partition`` the plan has no shuffle: rows go from source
+    file to gate to sink. A partitioned sink then gets one file per task and
+    partition, which is too many when every source file holds many partitions.
+    With it, a batch writes at most that many files per partition, and a
+    partition holding much of the batch is shared out among as many tasks.
     """
     rows = transform(stream) if transform else stream
+    if partition_by and files_per_partition:
+        share = F.floor(F.rand(17) * files_per_partition)
+        rows = rows.withColumn("_share", share).repartition(*partition_by, "_share").drop("_share")
+    # After the shuffle: counters in the writing stage count each row once.
     checked = gate(rows, rules, "gate")
     query = (
         checked.writeStream.format("parquet")
