@@ -213,6 +213,17 @@ def load_model(root: str, name: str, version: int) -> PipelineModel:
     return PipelineModel.load(f"{root.rstrip('/')}/{name}/v{version}")
 
 
+def logged(model: PipelineModel, root: str, run_id: str) -> PipelineModel:
+    """Keep a run's model and go on with the stored form.
+
+    A freshly fitted model drags its training summary, and with it the session,
+    into every task; the stored one has its parameters only.
+    """
+    path = f"{root.rstrip('/')}/_runs/{run_id}"
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 # --- the training job ---------------------------------------------------------
 
 
@@ -244,9 +255,9 @@ def train(
     measured: dict[str, dict[str, float]] = {}
     runs: dict[str, str] = {}
     for name, pipeline in candidates.items():
-        fitted[name] = pipeline.fit(train_rows)
-        measured[name] = model_metrics(staged(scored(fitted[name], test_rows), "scores"))
         runs[name] = uuid.uuid4().hex
+        fitted[name] = logged(pipeline.fit(train_rows), model_root, runs[name])
+        measured[name] = model_metrics(staged(scored(fitted[name], test_rows), "scores"))
     # max() keeps the first of equal models.
     best = max(measured, key=lambda name: measured[name]["auc"] or 0.0)
 
