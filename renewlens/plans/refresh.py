@@ -1,42 +1,57 @@
-"""The scheduled refresh: new source rows to bronze, then silver, gold and the snapshot."""
+"""The scheduled job: append a batch, refresh bronze, silver, gold and the snapshot."""
 
 from __future__ import annotations
 
 import datetime
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from renewlens import schemas
+from renewlens.operators import arrival
 from renewlens.operators.quality import Expectation
+from renewlens.plans.features import account_features
 from renewlens.plans.health import account_health, segment_revenue, usage_90d
-from renewlens.sources.tables import append_table, publish, quality_log, snapshot_table
-from renewlens.streaming.bronze import append_new, read_appended
+from renewlens.sources.tables import (
+    append_table,
+    conform,
+    point_view,
+    prune_versions,
+    publish,
+    quality_log,
+    snapshot_table,
+)
+from renewlens.streaming.bronze import append_new, read_appended_table
+
+SILVER_TABLE = "silver_account_health"
+GOLD_TABLE = "gold_mrr_by_plan_industry"
+SNAPSHOT_TABLE = "app_gold_mrr_by_plan_industry"
+FEATURE_TABLE = "account_features"
+QUALITY_LOG = "data_quality_log"
 
 
 @dataclass(frozen=True)
 class RefreshConfig:
     """Where a refresh reads and writes. Source and target are separate settings."""
 
-    source_root: str
+    source_schema: str
+    target_schema: str
     target_root: str
-    target_schema: str = "default"
     as_of: datetime.date | None = None
+    keep_versions: int = 3
 
     def source(self, name: str) -> str:
-        return f"{self.source_root.rstrip('/')}/{name}"
-
-    def bronze(self, name: str) -> str:
-        return f"{self.target_root.rstrip('/')}/bronze_{name}"
-
-    def checkpoint(self, name: str) -> str:
-        return f"{self.target_root.rstrip('/')}/_checkpoints/bronze_{name}"
+        return f"{self.source_schema}.{name}"
 
     def table(self, name: str) -> str:
         return f"{self.target_schema}.{name}"
 
+    def folder(self, name: str) -> str:
+        return f"{self.target_root.rstrip('/')}/{name}"
+
 
 @dataclass(frozen=True)
 class BronzeTable:
@@ -46,6 +61,10 @@ class BronzeTable:
     partition_by: tuple[str, ...] = ()
     files_per_partition: int = 0
 
+    @property
+    def target(self) -> str:
+        return f"bronze_{self.name}"
+
 
 BRONZE_TABLES = (
     BronzeTable("accounts", schemas.ACCOUNTS, schemas.BRONZE_ACCOUNTS_RULES),
@@ -61,19 +80,55 @@ BRONZE_TABLES = (
 )
 
 
+def append_batch(
+    spark: SparkSession,
+    source_schema: str,
+    accounts: DataFrame,
+    events: DataFrame,
+    subscriptions_of: Callable[[DataFrame], DataFrame],
+    change_accounts: Callable[[DataFrame], DataFrame] = lambda df: df,
+    account_key: Column | None = None,
+    event_key: Column | None = None,
+) -> int:
+    """Append arrived rows to the source tables under continuing keys.
+
+    ``accounts`` and ``events`` come without their own keys. The subscriptions
+    are made by ``subscriptions_of`` from the accounts of this batch that are
+    valid as stored, that is after ``change_accounts``. Returns the first
+    account number of the batch, which is all that reaches the driver.
+    """
+    account_table, subscription_table, event_table = (
+        f"{source_schema}.{t.name}" for t in BRONZE_TABLES
+    )
+    stored = spark.table(account_table)
+    first = arrival.next_account_index(stored).first().first_free
+    keyed = change_accounts(arrival.key_accounts(accounts, stored, account_key))
+    append_table(conform(keyed, schemas.ACCOUNTS), account_table)
+    children = arrival.key_subscriptions(spark.table(account_table), first)
+    append_table(conform(subscriptions_of(children), schemas.SUBSCRIPTIONS), subscription_table)
+    arrived = arrival.key_events(events, spark.table(event_table), event_key)
+    append_table(conform(arrived, schemas.USAGE_EVENTS), event_table)
+    return first
+
+
 def ingest(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> dict[str, int]:
-    return append_new(
-        read_appended(spark, config.source(table.name), table.schema),
-        config.bronze(table.name),
-        config.checkpoint(table.name),
+    """Append the new source rows to a bronze folder and show it as a table."""
+    folder = config.folder(table.target)
+    counts = append_new(
+        read_appended_table(spark, config.source(table.name)),
+        folder,
+        config.folder(f"_checkpoints/{table.target}"),
         table.rules,
+        transform=lambda df: conform(df, table.schema),
         partition_by=table.partition_by,
         files_per_partition=table.files_per_partition,
     )
+    point_view(spark, config.table(table.target), folder, table.schema)
+    return counts
 
 
 def read_bronze(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> DataFrame:
-    return spark.read.schema(table.schema).parquet(config.bronze(table.name))
+    return spark.read.schema(table.schema).parquet(config.folder(table.target))
 
 
 def refresh(spark: SparkSession, config: RefreshConfig) -> dict[str, dict[str, int]]:
@@ -81,29 +136,41 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> dict[str, dict[str, i
 
     Stops at a broken FAIL rule with the published tables unchanged.
     """
-    metrics = {f"bronze_{t.name}": ingest(spark, config, t) for t in BRONZE_TABLES}
+    metrics = {t.target: ingest(spark, config, t) for t in BRONZE_TABLES}
     accounts, subscriptions, events = (read_bronze(spark, config, t) for t in BRONZE_TABLES)
 
-    silver, gold = "silver_account_health", "gold_mrr_by_plan_industry"
     health = account_health(subscriptions, accounts, usage_90d(events, config.as_of))
-    metrics[silver] = publish(
+    metrics[SILVER_TABLE] = publish(
         health,
-        config.table(silver),
+        config.table(SILVER_TABLE),
         config.target_root,
         schemas.SILVER,
         schemas.SILVER_RULES,
         "Subscriptions with account attributes and recent usage",
     )
-    metrics[gold] = publish(
-        segment_revenue(spark.table(config.table(silver))),
-        config.table(gold),
+    metrics[GOLD_TABLE] = publish(
+        segment_revenue(spark.table(config.table(SILVER_TABLE))),
+        config.table(GOLD_TABLE),
         config.target_root,
         schemas.GOLD,
         schemas.GOLD_RULES,
         "Revenue and accounts by plan and industry",
     )
-    snapshot_table(spark, config.table(gold), config.table(f"app_{gold}"))
-    append_table(
-        quality_log(spark, metrics, uuid.uuid4().hex), config.table("data_quality_log")
-    )
+    snapshot_table(spark, config.table(GOLD_TABLE), config.table(SNAPSHOT_TABLE))
+    append_table(quality_log(spark, metrics, uuid.uuid4().hex), config.table(QUALITY_LOG))
+    for name in (SILVER_TABLE, GOLD_TABLE):
+        prune_versions(spark, config.table(name), config.target_root, config.keep_versions)
     return metrics
+
+
+def refresh_features(spark: SparkSession, config: RefreshConfig) -> None:
+    """Rebuild the feature table from the published silver table."""
+    features = account_features(spark.table(config.table(SILVER_TABLE)), config.as_of)
+    publish(
+        features,
+        config.table(FEATURE_TABLE),
+        config.target_root,
+        features.schema,
+        comment="Label and model features, one row per account",
+    )
+    prune_versions(spark, config.table(FEATURE_TABLE), config.target_root, config.keep_versions)

@@ -33,7 +33,7 @@ def append_table(df: DataFrame, table: str) -> None:
 
 def overwrite_table(df: DataFrame, table: str) -> None:
     """Replace contents and schema of a table."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    df.write.mode("overwrite").saveAsTable(table)
 
 
 def snapshot_table(spark: SparkSession, source: str, target: str) -> None:
@@ -84,6 +84,24 @@ def point_view(
     )
 
 
+def prune_versions(spark: SparkSession, table: str, root: str, keep: int) -> list[str]:
+    """Delete all but the newest ``keep`` versions; never the published one.
+
+    Keep enough of them for queries that are still reading an old version.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table.split('.')[-1]}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Names start with a time, so their order is the order of writing.
+    versions = sorted(
+        (s.getPath() for s in files.listStatus(folder)), key=lambda path: path.getName()
+    )
+    published = spark.sql(f"SHOW CREATE TABLE {table}").first()[0]
+    gone = [v for v in versions[: -keep or None] if v.getName() not in published]
+    for version in gone:
+        files.delete(version, True)
+    return [v.getName() for v in gone]
+
+
 def quality_log(
     spark: SparkSession, metrics: Mapping[str, Mapping[str, int]], run_id: str
 ) -> DataFrame:

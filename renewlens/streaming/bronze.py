@@ -35,6 +35,13 @@ def read_appended(
     )
 
 
+def read_appended_table(
+    spark: SparkSession, table: str, max_files: int = MAX_FILES_PER_BATCH
+) -> DataFrame:
+    """Rows appended to a catalog table."""
+    return spark.readStream.option("maxFilesPerTrigger", max_files).table(table)
+
+
 def append_new(
     stream: DataFrame,
     target: str,

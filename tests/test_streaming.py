@@ -1,10 +1,7 @@
-import pytest
 from pyspark.sql import functions as F
 
-from frames import AS_OF, accounts, events, subscriptions
+from frames import accounts, events, subscriptions
 from renewlens import schemas
-from renewlens.operators.quality import ExpectationFailed
-from renewlens.plans import refresh as job
 from renewlens.sources.tables import append_table, freshness, overwrite_table, snapshot_table
 from renewlens.streaming.bronze import append_new, read_appended
 
@@ -61,68 +58,6 @@ def test_partitioned_sink_writes_few_files_per_day(spark, tmp_path):
     assert files.groupBy("event_date").count().agg(F.max("count")).first()[0] <= 2
 
 
-def _config(tmp_path):
-    return job.RefreshConfig(str(tmp_path / "in"), str(tmp_path / "out"), as_of=AS_OF)
-
-
-def _sources(spark, tmp_path, tag, status="active"):
-    _add(accounts(spark, f"{tag}1", f"{tag}2", None), tmp_path / "in" / "accounts")
-    _add(
-        subscriptions(
-            spark,
-            (f"S{tag}1", f"{tag}1", 10.0, status, 0),
-            (f"S{tag}2", f"{tag}2", -5.0, "churned", 0),
-            (f"S{tag}3", f"{tag}2", 5.0, "paused", 0),
-            (None, f"{tag}1", 5.0, "active", 0),
-        ),
-        tmp_path / "in" / "subscriptions",
-    )
-    _add(
-        events(spark, (f"E{tag}", f"{tag}1", -1, 2.5, 3), (None, f"{tag}1", -1, 1.0, 1)),
-        tmp_path / "in" / "usage_events",
-    )
-
-
-def test_refresh_end_to_end(spark, tmp_path):
-    config = _config(tmp_path)
-    _sources(spark, tmp_path, "A")
-    metrics = job.refresh(spark, config)
-    assert metrics["bronze_accounts"] == {"total_rows": 3, "valid_account_id": 1}
-    assert metrics["bronze_usage_events"] == {"total_rows": 2, "valid_event_id": 1}
-    assert metrics["silver_account_health"] == {
-        "total_rows": 3, "account_id_present": 0, "valid_status": 1, "non_negative_mrr": 1
-    }
-    gold = spark.table("app_gold_mrr_by_plan_industry").first()
-    assert (gold.active_mrr, gold.total_mrr) == (10.0, 5.0)
-    assert (gold.account_count, gold.churned_account_count) == (2, 1)
-
-    _sources(spark, tmp_path, "B")
-    metrics = job.refresh(spark, config)
-    assert metrics["bronze_accounts"]["total_rows"] == 3
-    assert metrics["silver_account_health"]["total_rows"] == 6
-    gold = spark.table("app_gold_mrr_by_plan_industry").first()
-    assert (gold.active_mrr, gold.account_count) == (20.0, 4)
-    log = spark.table("data_quality_log")
-    assert log.select("run_id").distinct().count() == 2
-    assert log.filter("metric = 'valid_status'").agg(F.sum("row_count")).first()[0] == 3
-    silver = spark.table("silver_account_health")
-    assert silver.schema["account_id"].metadata["comment"]
-    assert {r.usage_event_count_90d for r in silver.collect()} == {0, 1}
-
-
-def test_broken_rule_stops_the_refresh(spark, tmp_path, monkeypatch):
-    config = _config(tmp_path)
-    _sources(spark, tmp_path, "C")
-    job.refresh(spark, config)
-    before = spark.table("silver_account_health").collect()
-    rule = schemas.Expectation("no_trials", "status <> 'trial'", schemas.FAIL)
-    monkeypatch.setattr(schemas, "SILVER_RULES", (*schemas.SILVER_RULES, rule))
-    _sources(spark, tmp_path, "D", status="trial")
-    with pytest.raises(ExpectationFailed):
-        job.refresh(spark, config)
-    assert spark.table("silver_account_health").collect() == before
-
-
 def test_batch_sinks(spark):
     append_table(spark.range(3), "sink_case")
     append_table(spark.range(2), "sink_case")
