@@ -12,7 +12,7 @@ from renewlens.functions import md5_bucket
 from renewlens.operators import arrival, evaluation, quality, violations
 from renewlens.plans import features as feature_plans
 from renewlens.plans import health, reports, scoring, training
-from renewlens.session import fresh_path, staged
+from renewlens.session import fresh_path, staged, tuned
 from renewlens.sources import star_tables as star
 from renewlens.sources import tables
 from renewlens.streaming import bronze
@@ -433,4 +433,7 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {q.__name__: q for q in named}
     found["segment_derived"] = _segments
     found.update(_report_queries())
-    return found
+    return {
+        name: lambda spark, folder, q=query: q(tuned(spark), folder)
+        for name, query in found.items()
+    }

@@ -4,6 +4,7 @@ from renewlens.functions.columns import (
     days_between,
     exact_sum,
     floor_at_zero,
+    hundredths,
     md5_bucket,
     or_unknown,
     padded_key,
@@ -13,6 +14,7 @@ from renewlens.functions.columns import (
     ratio_or_zero,
     risk_band,
     rounded_score,
+    sum_of_hundredths,
     usd_text,
 )
 
@@ -20,6 +22,7 @@ __all__ = [
     "days_between",
     "exact_sum",
     "floor_at_zero",
+    "hundredths",
     "md5_bucket",
     "or_unknown",
     "padded_key",
@@ -29,5 +32,6 @@ __all__ = [
     "ratio_or_zero",
     "risk_band",
     "rounded_score",
+    "sum_of_hundredths",
     "usd_text",
 ]

@@ -15,13 +15,30 @@ def day(as_of: datetime.date | str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
+def hundredths(column: Column | str) -> Column:
+    """A two-decimal amount as a whole number."""
+    col = F.col(column) if isinstance(column, str) else column
+    return F.rint(col * 100).cast("bigint")
+
+
+def sum_of_hundredths(units: Column) -> Column:
+    """Total of whole hundredths as an amount.
+
+    High and low bits are summed apart, so that no total can overflow: plain
+    64-bit sums at the price of doubles, where decimals take several times as long.
+    """
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    total = high * F.lit(1 << 20).cast("decimal(7,0)") + low
+    return (total * F.lit("0.01").cast("decimal(3,2)")).cast("double")
+
+
 def exact_sum(column: Column | str) -> Column:
     """Sum of two-decimal amounts that does not depend on row order.
 
     Doubles summed across tasks differ in the last digits from run to run.
     """
-    col = F.col(column) if isinstance(column, str) else column
-    return F.sum(col.cast("decimal(18,2)")).cast("double")
+    return sum_of_hundredths(hundredths(column))
 
 
 def floor_at_zero(column: Column | str) -> Column:

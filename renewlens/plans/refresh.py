@@ -15,6 +15,7 @@ from renewlens.operators import arrival
 from renewlens.operators.quality import Expectation
 from renewlens.plans.features import account_features
 from renewlens.plans.health import account_health, segment_revenue, usage_90d
+from renewlens.session import tuned
 from renewlens.sources.tables import (
     append_table,
     conform,
@@ -136,6 +137,7 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> dict[str, dict[str, i
 
     Stops at a broken FAIL rule with the published tables unchanged.
     """
+    tuned(spark)
     metrics = {t.target: ingest(spark, config, t) for t in BRONZE_TABLES}
     accounts, subscriptions, events = (read_bronze(spark, config, t) for t in BRONZE_TABLES)
 
@@ -165,6 +167,7 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> dict[str, dict[str, i
 
 def refresh_features(spark: SparkSession, config: RefreshConfig) -> None:
     """Rebuild the feature table from the published silver table."""
+    tuned(spark)
     features = account_features(spark.table(config.table(SILVER_TABLE)), config.as_of)
     publish(
         features,

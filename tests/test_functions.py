@@ -65,6 +65,14 @@ def test_sum_does_not_depend_on_order(spark):
     assert df.agg(total).first().t == df.orderBy("x").agg(total).first().t == 1.0
 
 
+def test_sum_outgrows_64_bits(spark):
+    df = spark.range(200).select((F.lit(9.0e16) * F.when(F.col("id") < 150, 1).otherwise(-1)).alias("x"))
+    assert df.agg(fn.exact_sum("x")).first()[0] == 9.0e18
+    df = spark.createDataFrame([(-0.01,), (-1234.56,), (0.0,)], "x double")
+    assert df.agg(fn.exact_sum("x")).first()[0] == -1234.57
+    assert df.filter("x > 1").agg(fn.exact_sum("x")).first()[0] is None
+
+
 def test_day_literal_and_buckets(spark):
     df = spark.range(2000).withColumn("k", F.col("id").cast("string"))
     assert str(df.select(day("2024-04-14")).first()[0]) == "2024-04-14"
