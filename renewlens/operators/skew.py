@@ -36,6 +36,12 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether the rows reach this frame without a shuffle."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
 def heavy_keys(
     df: DataFrame,
     key: str,
@@ -93,9 +99,17 @@ class Layout:
         )
 
     @staticmethod
-    def _pick(pieces: str, seed: int) -> Column:
-        # Seeded and fed by an unshuffled scan: a repeated task draws the same numbers.
-        return F.floor(F.rand(seed) * F.col(pieces)).cast("int")
+    def _pick(df: DataFrame, pieces: str, seed: int) -> Column:
+        """A cell for each row that comes out the same when a task is repeated.
+
+        Rows of a plain scan always come in the same order, so a seeded draw will
+        do, and it tells exact copies apart. After a shuffle the order may change;
+        there the row's own content decides.
+        """
+        if is_plain_scan(df):
+            return F.floor(F.rand(seed) * F.col(pieces)).cast("int")
+        content = F.xxhash64(*(F.col(c) for c in df.columns), F.lit(seed))
+        return F.pmod(content, F.col(pieces)).cast("int")
 
     @staticmethod
     def _every(pieces: str) -> Column:
@@ -111,13 +125,13 @@ class Layout:
         if not self.pieces:
             return df
         sized = self._with_pieces(df)
-        return self._place(sized, self._pick("_lines", 11), self._every("_columns"))
+        return self._place(sized, self._pick(df, "_lines", 11), self._every("_columns"))
 
     def right(self, df: DataFrame) -> DataFrame:
         if not self.pieces:
             return df
         sized = self._with_pieces(df)
-        return self._place(sized, self._every("_lines"), self._pick("_columns", 13))
+        return self._place(sized, self._every("_lines"), self._pick(df, "_columns", 13))
 
     def everywhere(self, df: DataFrame) -> DataFrame:
         """Copy a side with one row per key to all cells of its key."""
