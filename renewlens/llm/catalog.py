@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewlens.llm import language_id, weak_quality
+from renewlens.llm import bottom_sketch, language_id, mixing, pieces, weak_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,12 +20,50 @@ def _remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % modulus
 
 
+def _domain() -> Column:
+    """Sources are dealt to four domains, the upper level of the mixing tree."""
+    return F.concat(F.lit("domain"), F.crc32(F.col("source")) % 4)
+
+
+MIX = mixing.Mix(
+    budget_share=1.0,
+    max_epochs=4,
+    seed=7,
+    weights={
+        ("domain0",): 3.0,
+        ("domain1",): 2.0,
+        ("domain0", "de"): 2.0,
+        ("domain1", "fr"): 0.5,
+        ("domain0", "en", "src0"): 0.25,
+    },
+    default_power=0.0,
+)
+
+
+def op1_hierarchical_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What is read of every document, by epoch, under the budgets of its branch."""
+    levels = {"domain": _domain(), "lang": F.col("lang"), "source": F.col("source")}
+    chosen, _ = mixing.select(_table(spark, folder, "documents"), levels, MIX)
+    return chosen.select("doc_id", "domain", "lang", "source", "epoch", "tokens", "take_tokens")
+
+
+def op6_sentencepiece_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every whole text."""
+    return pieces.encode(_table(spark, folder, "documents"), pieces.Vocabulary.load())
+
+
 def op8_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document, judged by the scorer trained on weak labels of the table."""
     docs = _table(spark, folder, "documents")
     return weak_quality.score(docs, weak_quality.fit(docs))
 
 
+def op9_bottom_sketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share four-word shingles, likeness 0.8."""
+    docs = _table(spark, folder, "documents")
+    return bottom_sketch.near_copies(docs, bottom_sketch.Settings(width=4, percent=80))
+
+
 def op10_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's language; learned where the remainder of its id by 3 is not 1."""
     docs = _table(spark, folder, "documents")
@@ -39,7 +77,10 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            op1_hierarchical_mixing,
+            op6_sentencepiece_transducer,
             op8_weak_label_quality,
+            op9_bottom_sketch_dedup,
             op10_string_kernel_language,
         )
     }
