@@ -112,6 +112,15 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return mix((sums[ends] - sums[starts]) * down[starts]), np.searchsorted(starts, bounds)
 
 
+def run_hashes(values: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` values (64-bit), from one running sum."""
+    up, down = _power_tables(len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    count = len(values) - n + 1
+    return mix((sums[n:] - sums[:count]) * down[:count])
+
+
 def shingles(
     hashes: np.ndarray, first: np.ndarray, width: int
 ) -> tuple[np.ndarray, np.ndarray]:

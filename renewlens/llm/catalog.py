@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewlens.llm import bottom_sketch, language_id, mixing, pieces, weak_quality
+from renewlens.llm import (
+    bottom_sketch,
+    host_reputation,
+    language_id,
+    mixing,
+    order_minhash,
+    pieces,
+    tool_calls,
+    weak_quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +56,62 @@ def op1_hierarchical_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return chosen.select("doc_id", "domain", "lang", "source", "epoch", "tokens", "take_tokens")
 
 
+POLICY = host_reputation.Policy(
+    rules=(
+        ("net/", "block"),
+        ("example.net/en/", "allow"),
+        ("example.com/de/", "block"),
+        ("org/fr/", "allow"),
+    )
+)
+
+
+def op2_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page judged by rule or host; outcomes are the labels under the page's number."""
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    labels = _table(spark, folder, "labels").select(
+        F.col("doc_id").alias("page_id"), good.cast("int").alias("good")
+    )
+    return host_reputation.judge(_table(spark, folder, "pages"), labels, POLICY)
+
+
+TOOLS = {
+    "answer": {
+        "prompt": tool_calls.Argument("string", least=1),
+        "turn": tool_calls.Argument("integer", least=0),
+    }
+}
+
+
+def op3_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """User turns as calls of a tool, assistant turns as their results.
+
+    A call uses the result that stands on the turn before it, if there is one.
+    """
+    turns = _table(spark, folder, "conversations")
+
+    def call_id(turn: Column) -> Column:
+        return F.concat_ws("-", F.col("conv_id"), turn)
+
+    calls = turns.where("role = 'user'").select(
+        "conv_id",
+        "turn",
+        call_id(F.col("turn")).alias("call_id"),
+        F.lit("answer").alias("tool"),
+        F.to_json(F.struct("turn", F.col("text").alias("prompt"))).alias("arguments"),
+        F.array(call_id(F.col("turn") - 2)).alias("uses"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id", "turn", call_id(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    return tool_calls.link(calls, results, TOOLS)
+
+
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edited form."""
+    return order_minhash.edit_check(_table(spark, folder, "documents"))
+
+
 def op6_sentencepiece_transducer(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every whole text."""
     return pieces.encode(_table(spark, folder, "documents"), pieces.Vocabulary.load())
@@ -78,6 +143,9 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             op1_hierarchical_mixing,
+            op2_host_reputation,
+            op3_tool_call_linking,
+            op4_order_minhash,
             op6_sentencepiece_transducer,
             op8_weak_label_quality,
             op9_bottom_sketch_dedup,
