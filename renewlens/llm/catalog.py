@@ -12,8 +12,10 @@ from renewlens.llm import (
     host_reputation,
     language_id,
     mixing,
+    multi_index,
     order_minhash,
     pieces,
+    reachable,
     tool_calls,
     weak_quality,
 )
@@ -22,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _remainder(column: str, modulus: int) -> Column:
@@ -117,6 +119,11 @@ def op6_sentencepiece_transducer(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(_table(spark, folder, "documents"), pieces.Vocabulary.load())
 
 
+def op7_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return multi_index.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document, judged by the scorer trained on weak labels of the table."""
     docs = _table(spark, folder, "documents")
@@ -147,6 +154,7 @@ def queries() -> dict[str, Query]:
             op3_tool_call_linking,
             op4_order_minhash,
             op6_sentencepiece_transducer,
+            op7_inverted_multi_index,
             op8_weak_label_quality,
             op9_bottom_sketch_dedup,
             op10_string_kernel_language,
