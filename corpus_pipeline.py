@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewlens.llm import bottom_sketch, language_id, mixing, pieces, weak_quality
+from renewlens.llm import bottom_sketch, language_id, mixing, pieces, reachable, weak_quality
 from renewlens.session import staged
 
 # Confidence from which a language counts as recognised; clean texts, even of one
@@ -88,7 +88,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = reachable(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
