@@ -15,6 +15,7 @@ from renewlens.llm import (
     multi_index,
     order_minhash,
     pieces,
+    pitman_yor,
     reachable,
     tool_calls,
     weak_quality,
@@ -114,6 +115,14 @@ def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.edit_check(_table(spark, folder, "documents"))
 
 
+def op5_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's score; learned where the remainder of its id by 5 is not 1."""
+    held_out = F.coalesce(_remainder("doc_id", 5) == 1, F.lit(False))
+    found = pitman_yor.scores(_table(spark, folder, "documents"), held_out)
+    rest = [c for c in found.columns if c != "doc_id"]
+    return found.select("doc_id", held_out.alias("held_out"), *rest)
+
+
 def op6_sentencepiece_transducer(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every whole text."""
     return pieces.encode(_table(spark, folder, "documents"), pieces.Vocabulary.load())
@@ -153,6 +162,7 @@ def queries() -> dict[str, Query]:
             op2_host_reputation,
             op3_tool_call_linking,
             op4_order_minhash,
+            op5_pitman_yor,
             op6_sentencepiece_transducer,
             op7_inverted_multi_index,
             op8_weak_label_quality,
