@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from renewlens.llm import (
     bottom_sketch,
+    duckdb_checks,
     host_reputation,
     language_id,
     mixing,
@@ -173,4 +174,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return duckdb_checks.oracle_sql()

@@ -55,20 +55,19 @@ def _named(name: Column) -> Column:
 
 def suffix(name: Column, policy: Policy) -> Column:
     plain = _named(name)
-    two = F.regexp_extract(plain, r"([^.]+\.[^.]+)$", 1)
+    two = F.substring_index(plain, ".", -2)
     return F.when(two.isin(*policy.long_suffixes), two).otherwise(
-        F.regexp_extract(plain, r"([^.]*)$", 1)
+        F.substring_index(plain, ".", -1)
     )
 
 
 def registered_domain(name: Column, policy: Policy) -> Column:
     """One label more than the suffix; the whole host if it has no more, or is an address."""
     plain = _named(name)
-    two = F.regexp_extract(plain, r"([^.]+\.[^.]+)$", 1)
-    three = F.regexp_extract(plain, r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    two = F.substring_index(plain, ".", -2)
+    three = F.substring_index(plain, ".", -3)
     found = F.when(two.isin(*policy.long_suffixes), three).otherwise(two)
-    whole = plain.rlike(r"^[0-9.]+$") | (found == "")
-    return F.when(whole, plain).otherwise(found)
+    return F.when(plain.rlike(r"^[0-9.]+$"), plain).otherwise(found)
 
 
 def matched_rule(name: Column, route: Column, policy: Policy) -> Column:

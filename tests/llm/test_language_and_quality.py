@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from frames_llm import documents, empty_documents
+from renewlens.llm import catalog, language_id, weak_quality
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_kernel_counts_common_runs():
+    texts = ["abcab", "ABC", "", "xyz"]
+    ((_, _, found),) = language_id.presence(pa.array(texts))
+    runs = [
+        {t.lower()[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)} for t in texts
+    ]
+    assert found.sum(1).tolist() == [len(r) for r in runs]
+    assert (found @ found.T)[0, 1] == len(runs[0] & runs[1])
+
+
+def test_letters_of_any_script():
+    texts = ["1 2 .", None, "", "x", "→ Ж", "日", "½"]
+    assert language_id.has_letter(pa.array(texts)).tolist() == [
+        False, False, False, True, True, True, False,
+    ]
+
+
+def test_languages_of_held_out_documents(spark):
+    rows = catalog.op10_string_kernel_language(spark, FOLDER).collect()
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    assert len(rows) == len(lang)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.98
+
+
+def test_languages_of_awkward_rows(spark):
+    rows = [(i, "the and of that with this", "en", "s") for i in range(6)]
+    rows += [(10 + i, "der die das und nicht", "de", "s") for i in range(6)]
+    rows += [(20, None, "en"), (21, "", "de"), (22, "12 34", "en"), (23, "und der nicht", None)]
+    rows += [(None, "the that", "en"), (24, "the and " * 20_000, "en"), (23, "und der nicht", None)]
+    docs = documents(spark, rows)
+    model = language_id.fit(docs)
+    assert model.languages == ("de", "en")
+    found = {(r.doc_id, r.lang_pred) for r in language_id.predict(docs, model).collect()}
+    assert {(20, "und"), (21, "und"), (22, "und"), (23, "de"), (None, "en"), (24, "en")} <= found
+    kept = language_id.recognised(docs, model, 0.3)
+    assert kept.columns == docs.columns
+    assert {20, 21, 22}.isdisjoint({r.doc_id for r in kept.collect()})
+
+
+def test_nothing_to_learn_from(spark):
+    docs = documents(spark, [(1, "some words", None)])
+    assert language_id.fit(docs) is None
+    (row,) = language_id.predict(docs, None).collect()
+    assert (row.lang_pred, row.score) == ("und", 0.0)
+    assert language_id.predict(empty_documents(spark), None).collect() == []
+
+
+def test_quality_agrees_with_labels_it_never_saw(spark):
+    rows = {r.doc_id: r for r in catalog.op8_weak_label_quality(spark, FOLDER).collect()}
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").collect()
+    good = [rows[r.doc_id].kept for r in labels if r.quality == 1]
+    bad = [rows[r.doc_id].kept for r in labels if r.quality == 0]
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.05
+
+
+def test_em_finds_the_accuracies():
+    rng = np.random.default_rng(0)
+    good = rng.random(40_000) < 0.8
+    k = len(weak_quality.LABELLERS)
+    votes = np.full((len(good), k), weak_quality.SILENT)
+    for j, rule in enumerate(weak_quality.LABELLERS):
+        own, wrong = (good, ~good) if rule[2] == "good" else (~good, good)
+        vote = weak_quality.GOOD if rule[2] == "good" else weak_quality.BAD
+        votes[own & (rng.random(len(good)) < 0.6), j] = vote
+        votes[wrong & (rng.random(len(good)) < 0.05), j] = vote
+    codes, counts = np.unique(votes @ 4 ** np.arange(k), return_counts=True)
+    prior, table = weak_quality.estimate(codes, counts.astype(float))
+    assert abs(prior - 0.8) < 0.02
+    for j, rule in enumerate(weak_quality.LABELLERS):
+        side, vote = (0, weak_quality.GOOD) if rule[2] == "good" else (1, weak_quality.BAD)
+        assert abs(table[side, j, vote] - 0.6) < 0.03
+        assert abs(table[1 - side, j, vote] - 0.05) < 0.02
+
+
+def test_quality_of_awkward_rows(spark):
+    clean = "The quiet harbour, as every morning, was full of boats and of people who waited."
+    rows = [(i, f"{clean} Number of boats {'and more ' * (i % 3)}at sea.") for i in range(80)]
+    rows += [(100 + i, "LOUD!! BUY!! NOW!! " * 9) for i in range(15)]
+    rows += [(200, None), (201, ""), (202, " \n"), (203, clean * 3000), (None, clean), (0, clean)]
+    docs = documents(spark, rows)
+    model = weak_quality.fit(docs)
+    assert 0.5 < min(model.accuracies().values()) <= max(model.accuracies().values()) <= 1
+    found = [(r.doc_id, r.kept) for r in weak_quality.score(docs, model).collect()]
+    assert {(200, False), (201, False), (202, False), (None, True), (0, True)} <= set(found)
+    assert all(not kept for i, kept in found if i is not None and 100 <= i < 200)
+    kept = weak_quality.accepted(docs, model)
+    assert kept.columns == docs.columns
+    assert weak_quality.fit(empty_documents(spark)) is None
+    assert weak_quality.score(empty_documents(spark), None).collect() == []

@@ -1,0 +1,76 @@
+"""The pipeline, stage by stage, on small tables."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus_pipeline
+import __spark_entry__ as entry_point
+from frames_llm import components_by_hand, documents, empty_documents, words
+from renewlens.llm import pieces
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_run_equals_the_stages_by_hand(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    machine = pieces.Transducer(pieces.Vocabulary.load())
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        after = stage(spark, kept, FOLDER)
+        assert after.columns == docs.columns
+        assert set(map(tuple, after.collect())) <= set(map(tuple, kept.collect()))
+        kept = after
+    rows = kept.select("doc_id", "text").collect()
+    alone = {i for i, _, _, first in components_by_hand(rows, width=5) if first}
+    unique = corpus_pipeline.near_dedup(spark, kept, FOLDER)
+    assert Counter(r.doc_id for r in unique.collect()) == Counter(alone)
+    mixed = corpus_pipeline.mix(spark, unique, FOLDER).collect()
+    assert {r.doc_id for r in mixed} <= alone
+    reads = Counter(r.doc_id for r in mixed)
+    assert max(reads.values()) <= corpus_pipeline.MIX.max_epochs
+    final = corpus_pipeline.run(spark, FOLDER).collect()
+    assert Counter(r.doc_id for r in final) == reads
+    text = {r.doc_id: r.text for r in mixed}
+    assert all(machine.decode(r.ids) == pieces.normalised(text[r.doc_id]) for r in final)
+
+
+def test_mix_follows_the_supply(spark):
+    rows = [(i, f"some words {i} " * (1 + i % 3), "en", f"s{i % 4}") for i in range(60)]
+    mixed = corpus_pipeline.mix(spark, documents(spark, rows), "").collect()
+    total = sum(len(words(t)) for _, t, *_ in rows)
+    read = sum(len(words(r.text)) for r in mixed)
+    assert total <= read <= total + 4 * 12
+
+
+def test_awkward_rows_pass_every_stage(spark):
+    clean = "The quiet harbour, as every morning, was full of boats and people who waited there."
+    rows = [(i, f"{clean} It was day {i} of the long and quiet year by the sea, they said.", "en", "s1") for i in range(30)]
+    rows += [(40, None, "en", "s1"), (41, "", None, None), (42, "1 2 3", "en", "s2"), (None, clean, "en", None)]
+    rows += [(43, clean * 900, "en", "s2"), (5, rows[5][1], "en", "s1")]
+    docs = documents(spark, rows)
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = stage(spark, docs, FOLDER)
+        if name != "pieces":
+            assert docs.columns == columns
+    ids = {r.doc_id for r in docs.collect()}
+    assert {40, 41, 42}.isdisjoint(ids) and None in ids
+
+
+def test_no_rows_pass_every_stage(spark):
+    docs = empty_documents(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, FOLDER)
+        assert docs.collect() == []
+
+
+def test_registered(spark):
+    names = entry_point.queries()
+    assert "pipeline" in names
+    assert {n for n in range(1, 11)} == {
+        int(k[2:].split("_")[0]) for k in names if k.startswith("op") and k[2].isdigit()
+    }
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language", "quality", "near_dedup", "mix", "pieces",
+    ]
