@@ -1,7 +1,7 @@
 """DuckDB SQL with the same results as the named Spark queries.
 
 Every statement is a chain of common table expressions ending in one SELECT.
-Amounts are summed as DECIMAL(18,2), because sums of doubles depend on order.
+Amounts are summed as DECIMAL(18,6), because sums of doubles depend on order.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ _STEPS: dict[str, str] = {
     "bronze_usage_events": "SELECT * FROM usage_events WHERE event_id IS NOT NULL",
     "usage_90d": f"""
         SELECT account_id, count(*) AS usage_event_count_90d,
-               CAST(sum(CAST(session_duration_minutes AS DECIMAL(18,2))) AS DOUBLE)
+               CAST(sum(CAST(session_duration_minutes AS DECIMAL(18,6))) AS DOUBLE)
                    AS total_session_minutes_90d,
                CAST(sum(pages_viewed) AS BIGINT) AS total_pages_viewed_90d
         FROM bronze_usage_events
@@ -61,9 +61,9 @@ _STEPS: dict[str, str] = {
     "gold": """
         SELECT plan_type, industry,
                CAST(sum(CASE WHEN status = 'active'
-                             THEN CAST(monthly_recurring_revenue AS DECIMAL(18,2))
+                             THEN CAST(monthly_recurring_revenue AS DECIMAL(18,6))
                              ELSE 0 END) AS DOUBLE) AS active_mrr,
-               CAST(sum(CAST(monthly_recurring_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_mrr,
+               CAST(sum(CAST(monthly_recurring_revenue AS DECIMAL(18,6))) AS DOUBLE) AS total_mrr,
                count(DISTINCT account_id) AS account_count,
                count(*) FILTER (WHERE is_churned) AS churned_account_count
         FROM silver GROUP BY plan_type, industry""",
@@ -169,7 +169,7 @@ _KPIS = """
     SELECT *, coalesce(CAST(total_churned AS DOUBLE) / nullif(total_accounts, 0), 0)
                   AS overall_churn_rate,
            coalesce(total_active_mrr / nullif(total_active_accounts, 0), 0) AS avg_mrr_per_active
-    FROM (SELECT coalesce(CAST(sum(CAST(active_mrr AS DECIMAL(18,2))) AS DOUBLE), 0)
+    FROM (SELECT coalesce(CAST(sum(CAST(active_mrr AS DECIMAL(18,6))) AS DOUBLE), 0)
                      AS total_active_mrr,
                  CAST(coalesce(sum(active_accounts), 0) AS BIGINT) AS total_active_accounts,
                  CAST(coalesce(sum(account_count), 0) AS BIGINT) AS total_accounts,
@@ -205,7 +205,7 @@ def _reports(source: str, industries: tuple[str, ...]) -> dict[str, str]:
         "mrr_share_by_plan": f"""
             SELECT plan_type, CAST(mrr AS DOUBLE) AS active_mrr,
                    CAST(mrr AS DOUBLE) / nullif(CAST(sum(mrr) OVER () AS DOUBLE), 0) AS mrr_share
-            FROM (SELECT plan_type, sum(CAST(active_mrr AS DECIMAL(18,2))) AS mrr
+            FROM (SELECT plan_type, sum(CAST(active_mrr AS DECIMAL(18,6))) AS mrr
                   FROM {source} GROUP BY plan_type) p""",
         "churn_matrix": _matrix(source, industries, texts=False),
         "churn_matrix_texts": _matrix(source, industries, texts=True),
@@ -285,6 +285,16 @@ def oracle_sql() -> dict[str, str]:
         "silver_account_health": "SELECT * FROM silver",
         "gold_mrr_by_plan_industry": "SELECT * FROM gold",
         "gold_snapshot": "SELECT * FROM gold",
+        "published_silver": "SELECT * FROM silver",
+        "failed_publish": "SELECT * FROM gold",
+        "observed_counts": f"""
+            SELECT table_name, constraint_name AS metric, violations AS row_count
+            FROM ({_rule_counts("silver_account_health", "silver_rows", silver_rules)}) r
+            UNION ALL
+            SELECT 'silver_account_health', 'total_rows', count(*) FROM silver_rows""",
+        "appended_twice": """
+            SELECT plan_type, count(*) AS accounts, count(DISTINCT account_id) AS different
+            FROM bronze_accounts GROUP BY plan_type""",
         "account_features": "SELECT * FROM features",
         "train_test_split": "SELECT * FROM split",
         "split_churn_rate": """
@@ -321,11 +331,11 @@ def oracle_sql() -> dict[str, str]:
         "risk_scores_fixed": "SELECT * FROM risks",
         "risk_band_counts": """
             SELECT risk_band, count(*) AS account_count,
-                   CAST(sum(CAST(monthly_recurring_revenue AS DECIMAL(18,2))) AS DOUBLE) AS mrr
+                   CAST(sum(CAST(monthly_recurring_revenue AS DECIMAL(18,6))) AS DOUBLE) AS mrr
             FROM risks GROUP BY risk_band""",
         "revenue_at_risk": """
             SELECT count(*) AS high_risk_accounts,
-                   coalesce(CAST(sum(CAST(monthly_recurring_revenue AS DECIMAL(18,2))) AS DOUBLE), 0)
+                   coalesce(CAST(sum(CAST(monthly_recurring_revenue AS DECIMAL(18,6))) AS DOUBLE), 0)
                        AS mrr_at_risk
             FROM risks WHERE risk_band = 'High'""",
         "top10_risk": "SELECT * FROM risks ORDER BY churn_risk DESC, account_id LIMIT 10",
@@ -364,8 +374,15 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_KPIS.format(source='segments')}) k""",
         latest=True,
     )
+    checks["segment_derived_published"] = _chain("SELECT * FROM segments")
+    checks["churn_alert_published"] = _chain(
+        f"""SELECT overall_churn_rate AS churn_rate, 0.35::DOUBLE AS threshold,
+                   overall_churn_rate > 0.35::DOUBLE AS fired
+            FROM ({_KPIS.format(source='segments')}) k"""
+    )
     for name, select in _reports("segments", INDUSTRIES).items():
         checks[name] = _chain(select, latest=True)
+        checks[f"{name}_published"] = _chain(select)
     for name, select in _reports("faceted", INDUSTRIES[:3]).items():
         checks[_FACETED_NAMES.get(name, f"{name}_faceted")] = _chain(select, latest=True)
     return checks

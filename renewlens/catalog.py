@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from renewlens.functions import md5_bucket
 from renewlens.operators import arrival, evaluation, quality, violations
 from renewlens.plans import features as feature_plans
 from renewlens.plans import health, reports, scoring, training
-from renewlens.session import fresh_path, staged, tuned
+from renewlens.session import fresh_path, staged
 from renewlens.sources import star_tables as star
 from renewlens.sources import tables
 from renewlens.streaming import bronze
@@ -134,11 +136,57 @@ def gold_mrr_by_plan_industry(spark: SparkSession, folder: str) -> DataFrame:
     return _gold(silver_account_health(spark, folder))
 
 
+def _published(spark: SparkSession, df: DataFrame, schema, rules) -> tuple[str, dict[str, int]]:
+    """A frame published under a new name: (view, counts of the writing stage)."""
+    view = f"published_{uuid.uuid4().hex[:12]}"
+    counts = tables.publish(df, view, fresh_path(spark, "published"), schema, rules)
+    return view, counts
+
+
 def gold_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The gold frame copied to a plain table."""
-    path = fresh_path(spark, "gold-snapshot")
-    gold_mrr_by_plan_industry(spark, folder).write.mode("overwrite").parquet(path)
-    return spark.read.schema(schemas.GOLD).parquet(path)
+    """The published gold table, copied to a plain table."""
+    gold = health.segment_revenue(silver_account_health(spark, folder))
+    view, _ = _published(spark, gold, schemas.GOLD, schemas.GOLD_RULES)
+    return tables.snapshot_files(spark, view, fresh_path(spark, "gold-snapshot"))
+
+
+def published_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver as readers see it: staged, checked, published, read by name."""
+    joined = _joined(spark, folder, bronze_subscriptions(spark, folder))
+    return spark.table(_published(spark, joined, schemas.SILVER, schemas.SILVER_RULES)[0])
+
+
+def failed_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold after a publish that broke a FAIL rule: the version before is still served."""
+    gold = health.segment_revenue(silver_account_health(spark, folder))
+    root = fresh_path(spark, "published")
+    view = f"published_{uuid.uuid4().hex[:12]}"
+    tables.publish(gold, view, root, schemas.GOLD, schemas.GOLD_RULES)
+    broken = gold.withColumn("account_count", F.lit(0).cast("long"))
+    with contextlib.suppress(quality.ExpectationFailed):
+        tables.publish(broken, view, root, schemas.GOLD, schemas.GOLD_RULES)
+    return spark.table(view)
+
+
+def observed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations of the silver rules as the writing stage counts them, as logged."""
+    joined = _joined(spark, folder, bronze_subscriptions(spark, folder))
+    _, counts = _published(spark, joined, schemas.SILVER, schemas.SILVER_RULES)
+    log = tables.quality_log(spark, {"silver_account_health": counts}, "run")
+    return log.select("table_name", "metric", "row_count")
+
+
+def appended_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounts appended to a table in two batches, then counted by plan."""
+    accounts = bronze_accounts(spark, folder)
+    target = fresh_path(spark, "appended")
+    early = F.col("account_idx") % 2 == 0
+    tables.append_files(accounts.filter(early), target)
+    tables.append_files(accounts.filter(~early), target)
+    stored = tables.conform(spark.read.schema(schemas.ACCOUNTS).parquet(target), schemas.ACCOUNTS)
+    return stored.groupBy("plan_type").agg(
+        F.count(F.lit(1)).alias("accounts"), F.count_distinct("account_id").alias("different")
+    )
 
 
 # --- data quality -------------------------------------------------------------
@@ -194,6 +242,15 @@ def _segments(spark: SparkSession, folder: str) -> DataFrame:
     return reports.facets(reports.segment_metrics(_gold(silver)))
 
 
+def _published_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments of the full gold table: an account counts once, its orders all.
+
+    With more churned orders than accounts, active accounts are negative and the
+    figures per active account NULL.
+    """
+    return reports.facets(reports.segment_metrics(gold_mrr_by_plan_industry(spark, folder)))
+
+
 def _faceted(spark: SparkSession, folder: str) -> DataFrame:
     return reports.facets(_segments(spark, folder), FACET_PLANS, FACET_INDUSTRIES)
 
@@ -408,6 +465,10 @@ def queries() -> dict[str, Query]:
         silver_account_health,
         gold_mrr_by_plan_industry,
         gold_snapshot,
+        published_silver,
+        failed_publish,
+        observed_counts,
+        appended_twice,
         churn_alert,
         freshness,
         account_features,
@@ -433,7 +494,11 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {q.__name__: q for q in named}
     found["segment_derived"] = _segments
     found.update(_report_queries())
-    return {
-        name: lambda spark, folder, q=query: q(tuned(spark), folder)
-        for name, query in found.items()
-    }
+    # The same reports on the gold table as it is published, all orders included.
+    found["segment_derived_published"] = _published_segments
+    found["churn_alert_published"] = lambda s, d: reports.churn_alert(_published_segments(s, d))
+    for name, (frame, _) in REPORTS.items():
+        found[f"{name}_published"] = lambda s, d, f=frame: f(
+            _published_segments(s, d), star.INDUSTRIES
+        )
+    return found

@@ -3,8 +3,8 @@
 from renewlens.functions.columns import (
     days_between,
     exact_sum,
+    exact_total,
     floor_at_zero,
-    hundredths,
     md5_bucket,
     or_unknown,
     padded_key,
@@ -14,15 +14,14 @@ from renewlens.functions.columns import (
     ratio_or_zero,
     risk_band,
     rounded_score,
-    sum_of_hundredths,
     usd_text,
 )
 
 __all__ = [
     "days_between",
     "exact_sum",
+    "exact_total",
     "floor_at_zero",
-    "hundredths",
     "md5_bucket",
     "or_unknown",
     "padded_key",
@@ -32,6 +31,5 @@ __all__ = [
     "ratio_or_zero",
     "risk_band",
     "rounded_score",
-    "sum_of_hundredths",
     "usd_text",
 ]

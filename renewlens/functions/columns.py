@@ -15,30 +15,45 @@ def day(as_of: datetime.date | str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
-def hundredths(column: Column | str) -> Column:
-    """A two-decimal amount as a whole number."""
-    col = F.col(column) if isinstance(column, str) else column
-    return F.rint(col * 100).cast("bigint")
+SUM_DECIMALS = 6
+_WHOLE_LIMIT = 9.2e18
 
 
-def sum_of_hundredths(units: Column) -> Column:
-    """Total of whole hundredths as an amount.
+def exact_total(column: Column | str) -> tuple[Column, Column]:
+    """Two aggregates: the sum to six decimals as a decimal, and what no decimal can hold.
 
-    High and low bits are summed apart, so that no total can overflow: plain
-    64-bit sums at the price of doubles, where decimals take several times as long.
+    Each amount is cut into its whole part and millionths, and whole parts into high
+    and low bits, which are summed apart: 64-bit sums at the price of doubles, where
+    decimals take several times as long. NaN, infinite and astronomic amounts go to
+    the second sum (a double; NULL if there are none).
     """
-    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
-    total = high * F.lit(1 << 20).cast("decimal(7,0)") + low
-    return (total * F.lit("0.01").cast("decimal(3,2)")).cast("double")
+    col = F.col(column) if isinstance(column, str) else column
+    col = col.cast("double")
+    fits = F.abs(col) < _WHOLE_LIMIT  # NaN counts as larger than any number
+    value = F.when(fits, col)
+    whole = value.cast("bigint")
+    fine = F.rint((value - whole) * 10**SUM_DECIMALS).cast("bigint")
+    high = F.sum(F.shiftright(whole, 20)).cast("decimal(20,0)")
+    low = F.sum(whole.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    wholes = high * F.lit(1 << 20).cast("decimal(7,0)") + low
+    total = wholes + F.sum(fine).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    return total.cast("decimal(38,6)"), F.sum(F.when(~fits, col))
+
+
+def joined_total(total: Column, special: Column) -> Column:
+    """Both sums of ``exact_total`` as one double."""
+    number = total.cast("double")
+    return F.when(special.isNull(), number).otherwise(F.coalesce(number, F.lit(0.0)) + special)
 
 
 def exact_sum(column: Column | str) -> Column:
-    """Sum of two-decimal amounts that does not depend on row order.
+    """Sum of amounts to six decimals that does not depend on row order.
 
-    Doubles summed across tasks differ in the last digits from run to run.
+    Doubles summed across tasks differ in the last digits from run to run. Digits
+    beyond the sixth decimal of an amount are rounded away; NaN and infinity do to
+    the result what they do to a plain sum.
     """
-    return sum_of_hundredths(hundredths(column))
+    return joined_total(*exact_total(column))
 
 
 def floor_at_zero(column: Column | str) -> Column:

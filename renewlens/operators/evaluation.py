@@ -62,9 +62,9 @@ def roc_auc(
             )
         ).alias("_cuts")
     )
-    # One row with at most SLICES numbers per group.
+    # One row with at most SLICES numbers per group; few enough groups are broadcast.
     if by:
-        sliced = scores.join(F.broadcast(cuts), by)
+        sliced = scores.join(cuts, by)
     else:
         sliced = scores.withColumn("_cuts", cuts.scalar())
     sliced = sliced.withColumn(

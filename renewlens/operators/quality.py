@@ -37,9 +37,12 @@ class Expectation:
 class ExpectationFailed(RuntimeError):
     """A FAIL expectation was violated; nothing has been published."""
 
-    def __init__(self, table: str, violations: Mapping[str, int]):
+    def __init__(
+        self, table: str, violations: Mapping[str, int], metrics: Mapping[str, int] | None = None
+    ):
         self.table = table
         self.violations = dict(violations)
+        self.metrics = dict(violations if metrics is None else metrics)
         super().__init__(f"{table}: {self.violations}")
 
 
@@ -99,4 +102,4 @@ def raise_on_failure(
         if r.action == FAIL and metrics.get(r.name, 0) > 0
     }
     if broken:
-        raise ExpectationFailed(table, broken)
+        raise ExpectationFailed(table, broken, metrics)

@@ -54,8 +54,8 @@ def dense_index(
     """Number rows 0..n-1 in digest order, per ``within`` group.
 
     ``digest`` must be a hex digest of a unique key, so that its buckets are
-    even. Each bucket is sorted on its own and moved up by the (bounded,
-    broadcast) count of rows in the buckets before it.
+    even. Each bucket is sorted on its own and moved up by the count of rows in the
+    buckets before it.
     """
     keys = [*within, "_bucket"]
     local = Window.partitionBy(*keys).orderBy(digest, *ties)
@@ -63,7 +63,7 @@ def dense_index(
     return (
         df.withColumn("_bucket", bucket_of(F.col(digest)))
         .withColumn("_local", F.row_number().over(local))
-        .join(F.broadcast(offsets), keys)
+        .join(offsets, keys)  # broadcast where it is small
         .withColumn(name, F.col("_before") + F.col("_local") - 1)
         .drop("_bucket", "_local", "_before")
     )

@@ -16,8 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY_KEYS = 1000  # bound on every table broadcast from here
-SKETCH_ITEMS = 20_000
+MAX_HEAVY_KEYS = 1000  # tracked at least; as many as partitions, where there are more
+SKETCH_ITEMS = 20  # sketch entries for each tracked key
+MOST_SKETCHED = 1_000_000  # Spark's bound on sketch entries
 SMALL_BYTES = 64 << 20  # files below this size fit one task whatever their keys are
 HEAVY_ROWS = 100_000  # fewer rows of a key are no burden for a task
 LINE, COLUMN = "_line", "_column"
@@ -58,16 +59,19 @@ def heavy_keys(
     if input_bytes(df) < small:
         return {}
     parts = parts or _partitions(df)
+    # No more than parts / 2 keys can hold twice a partition's share.
+    tracked = min(max(MAX_HEAVY_KEYS, parts), MOST_SKETCHED // 2)
+    sketched = min(tracked * SKETCH_ITEMS, MOST_SKETCHED)
     found = (
         df.select(F.col(key).alias("k"))
         .filter(F.col("k").isNotNull())
         .agg(
             F.count("k").alias("n"),
-            F.expr(f"approx_top_k(k, {MAX_HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"),
+            F.expr(f"approx_top_k(k, {tracked}, {sketched})").alias("top"),
         )
         .first()
     )
-    enough = max(min_rows, found.n * max(2.0 / parts, 1.0 / MAX_HEAVY_KEYS))
+    enough = max(min_rows, found.n * 2.0 / parts)
     return {
         item["item"]: max(2, math.ceil(parts * item["count"] / found.n))
         for item in found.top

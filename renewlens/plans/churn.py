@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from renewlens import schemas
 from renewlens.plans import scoring, training
 from renewlens.plans.refresh import FEATURE_TABLE, RefreshConfig
-from renewlens.session import tuned
 from renewlens.sources.tables import overwrite_table
 
 
@@ -21,7 +20,7 @@ def train_job(
     settings: training.TrainingSettings = training.TrainingSettings(),
 ) -> int:
     """Train on the feature table, write the result tables, return the new model version."""
-    features = tuned(spark).table(config.table(FEATURE_TABLE))
+    features = spark.table(config.table(FEATURE_TABLE))
     result = training.train(features, model_root(config), settings)
     overwrite_table(result.metrics, config.table("churn_model_metrics"))
     overwrite_table(result.importance, config.table("churn_feature_importance"))

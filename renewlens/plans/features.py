@@ -18,7 +18,8 @@ def account_features(health: DataFrame, as_of: AsOf = None) -> DataFrame:
 
     Latest is by renewal date, then smallest subscription key. The remaining
     columns only settle ties between duplicated account rows, so the pick never
-    depends on row order.
+    depends on row order. A missing contract start counts as tenure 0, since the
+    models take no missing numbers; ``missing_tenure`` counts such accounts.
     """
     order = [
         F.col("renewal_date").desc_nulls_last(),
@@ -56,7 +57,7 @@ def account_features(health: DataFrame, as_of: AsOf = None) -> DataFrame:
         or_unknown("plan_type").alias("plan_type"),
         or_unknown("industry").alias("industry"),
         or_unknown("country").alias("country"),
-        days_between(day(as_of), "contract_start_date").alias("tenure_days"),
+        F.coalesce(days_between(day(as_of), "contract_start_date"), F.lit(0)).alias("tenure_days"),
         floor_at_zero("monthly_recurring_revenue").alias("monthly_recurring_revenue"),
         F.col("usage_event_count_90d").alias("total_events_90d"),
         "total_session_minutes_90d",
@@ -64,6 +65,12 @@ def account_features(health: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
+def missing_tenure(health: DataFrame) -> DataFrame:
+    """How many accounts have a row without contract start: one number."""
+    missing = F.when(F.col("contract_start_date").isNull(), F.col("account_id"))
+    return health.agg(F.count_distinct(missing).alias("accounts_without_start"))
+
+
 def with_split(features: DataFrame) -> DataFrame:
     """Flag the hold-out fifth of each label."""
     return stratified_split(features, "is_churned", "account_id", TEST_FRACTION)

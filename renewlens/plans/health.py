@@ -7,8 +7,8 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renewlens.functions import exact_sum, hundredths, sum_of_hundredths
-from renewlens.functions.columns import day
+from renewlens.functions import exact_sum, exact_total
+from renewlens.functions.columns import day, joined_total
 from renewlens.operators.skew import Layout, layout_for
 from renewlens.schemas import SILVER, USAGE_WINDOW_DAYS
 
@@ -34,10 +34,12 @@ def usage_90d(events: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def daily_usage(events: DataFrame) -> DataFrame:
-    """One row per account and day. Minutes stay whole hundredths, so days add up exactly."""
+    """One row per account and day. Minutes stay decimal, so days add up exactly."""
+    minutes, special = exact_total("session_duration_minutes")
     return events.groupBy("account_id", "event_date").agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.sum(hundredths("session_duration_minutes")).alias("session_hundredths"),
+        minutes.alias("session_minutes"),
+        special.alias("session_special"),
         F.sum("pages_viewed").alias("pages_viewed"),
     )
 
@@ -67,7 +69,9 @@ def usage_90d_from_daily(daily: DataFrame, as_of: AsOf = None) -> DataFrame:
         .groupBy("account_id")
         .agg(
             F.sum("event_count").alias("usage_event_count_90d"),
-            sum_of_hundredths(F.col("session_hundredths")).alias("total_session_minutes_90d"),
+            joined_total(F.sum("session_minutes"), F.sum("session_special")).alias(
+                "total_session_minutes_90d"
+            ),
             F.sum("pages_viewed").alias("total_pages_viewed_90d"),
         )
     )

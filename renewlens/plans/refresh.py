@@ -12,13 +12,13 @@ from pyspark.sql.types import StructType
 
 from renewlens import schemas
 from renewlens.operators import arrival
-from renewlens.operators.quality import Expectation
+from renewlens.operators.quality import Expectation, ExpectationFailed
 from renewlens.plans.features import account_features
 from renewlens.plans.health import account_health, segment_revenue, usage_90d
-from renewlens.session import tuned
 from renewlens.sources.tables import (
     append_table,
     conform,
+    has_files,
     point_view,
     prune_versions,
     publish,
@@ -88,6 +88,7 @@ def append_batch(
     events: DataFrame,
     subscriptions_of: Callable[[DataFrame], DataFrame],
     change_accounts: Callable[[DataFrame], DataFrame] = lambda df: df,
+    change_events: Callable[[DataFrame], DataFrame] = lambda df: df,
     account_key: Column | None = None,
     event_key: Column | None = None,
 ) -> int:
@@ -95,7 +96,8 @@ def append_batch(
 
     ``accounts`` and ``events`` come without their own keys. The subscriptions
     are made by ``subscriptions_of`` from the accounts of this batch that are
-    valid as stored, that is after ``change_accounts``. Returns the first
+    valid as stored, that is after ``change_accounts``; ``change_events`` may spoil keyed
+    events, as arriving data does. Returns the first
     account number of the batch, which is all that reaches the driver.
     """
     account_table, subscription_table, event_table = (
@@ -107,7 +109,7 @@ def append_batch(
     append_table(conform(keyed, schemas.ACCOUNTS), account_table)
     children = arrival.key_subscriptions(spark.table(account_table), first)
     append_table(conform(subscriptions_of(children), schemas.SUBSCRIPTIONS), subscription_table)
-    arrived = arrival.key_events(events, spark.table(event_table), event_key)
+    arrived = change_events(arrival.key_events(events, spark.table(event_table), event_key))
     append_table(conform(arrived, schemas.USAGE_EVENTS), event_table)
     return first
 
@@ -124,42 +126,62 @@ def ingest(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> di
         partition_by=table.partition_by,
         files_per_partition=table.files_per_partition,
     )
+    if not has_files(spark, folder):
+        # A view over no files has no schema: until rows arrive it shows an empty table.
+        folder = config.folder(f"_empty/{table.target}")
+        spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
     point_view(spark, config.table(table.target), folder, table.schema)
     return counts
 
 
 def read_bronze(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> DataFrame:
-    return spark.read.schema(table.schema).parquet(config.folder(table.target))
+    folder = config.folder(table.target)
+    if not has_files(spark, folder):
+        return spark.createDataFrame([], table.schema)
+    return spark.read.schema(table.schema).parquet(folder)
 
 
 def refresh(spark: SparkSession, config: RefreshConfig) -> dict[str, dict[str, int]]:
     """Run all layers; returns the violation counts per table.
 
-    Stops at a broken FAIL rule with the published tables unchanged.
+    Stops at a broken FAIL rule with the published tables unchanged. The counts of a
+    table are logged as soon as they exist, those of a failing one included: what a
+    stream has taken is counted in the log of the run that took it.
     """
-    tuned(spark)
-    metrics = {t.target: ingest(spark, config, t) for t in BRONZE_TABLES}
+    run_id = uuid.uuid4().hex
+    metrics: dict[str, dict[str, int]] = {}
+
+    def log(name: str, counts: dict[str, int]) -> None:
+        metrics[name] = counts
+        append_table(quality_log(spark, {name: counts}, run_id), config.table(QUALITY_LOG))
+
+    def published(name: str, *args) -> None:
+        try:
+            log(name, publish(args[0], config.table(name), config.target_root, *args[1:]))
+        except ExpectationFailed as failure:
+            log(name, failure.metrics)
+            raise
+
+    for t in BRONZE_TABLES:
+        log(t.target, ingest(spark, config, t))
     accounts, subscriptions, events = (read_bronze(spark, config, t) for t in BRONZE_TABLES)
 
     health = account_health(subscriptions, accounts, usage_90d(events, config.as_of))
-    metrics[SILVER_TABLE] = publish(
+    published(
+        SILVER_TABLE,
         health,
-        config.table(SILVER_TABLE),
-        config.target_root,
         schemas.SILVER,
         schemas.SILVER_RULES,
         "Subscriptions with account attributes and recent usage",
     )
-    metrics[GOLD_TABLE] = publish(
+    published(
+        GOLD_TABLE,
         segment_revenue(spark.table(config.table(SILVER_TABLE))),
-        config.table(GOLD_TABLE),
-        config.target_root,
         schemas.GOLD,
         schemas.GOLD_RULES,
         "Revenue and accounts by plan and industry",
     )
     snapshot_table(spark, config.table(GOLD_TABLE), config.table(SNAPSHOT_TABLE))
-    append_table(quality_log(spark, metrics, uuid.uuid4().hex), config.table(QUALITY_LOG))
     for name in (SILVER_TABLE, GOLD_TABLE):
         prune_versions(spark, config.table(name), config.target_root, config.keep_versions)
     return metrics
@@ -167,7 +189,6 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> dict[str, dict[str, i
 
 def refresh_features(spark: SparkSession, config: RefreshConfig) -> None:
     """Rebuild the feature table from the published silver table."""
-    tuned(spark)
     features = account_features(spark.table(config.table(SILVER_TABLE)), config.as_of)
     publish(
         features,

@@ -10,19 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 # Where every partition of one join side is known, at run time, to be below this
-# size, a hash table is built instead of sorting both sides.
+# size, a hash table is built instead of sorting both sides. Recommended for any
+# session; the library never changes the settings of a session it is given.
 HASH_JOIN_SETTING = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 HASH_JOIN_BYTES = 64 << 20
 _local_folders: dict[str, str] = {}
 
 
-def tuned(spark: SparkSession) -> SparkSession:
-    """Allow size-checked hash joins, unless the session has its own setting."""
-    if str(spark.conf.get(HASH_JOIN_SETTING)) in ("0", "0b"):
-        spark.conf.set(HASH_JOIN_SETTING, str(HASH_JOIN_BYTES))
-    return spark
-
-
 def local_session(cores: str = "*", app: str = "renewlens", **settings: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
@@ -34,6 +28,7 @@ def local_session(cores: str = "*", app: str = "renewlens", **settings: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        .config(HASH_JOIN_SETTING, str(HASH_JOIN_BYTES))
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -8,6 +8,7 @@ new version, never a half-written one, and no data is copied.
 from __future__ import annotations
 
 import datetime
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -31,9 +32,31 @@ def append_table(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
+def append_files(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
 def overwrite_table(df: DataFrame, table: str) -> None:
-    """Replace contents and schema of a table."""
-    df.write.mode("overwrite").saveAsTable(table)
+    """Replace contents and schema of a table.
+
+    The new table is written under another name first, so a failed write leaves the
+    old one as it was; the exchange itself is two metadata operations. A run that died
+    between them is completed by the next one.
+    """
+    spark = df.sparkSession
+    waiting = f"{table}__new"
+    if spark.catalog.tableExists(waiting):
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {waiting}")
+        else:
+            spark.sql(f"ALTER TABLE {waiting} RENAME TO {table}")
+    try:
+        df.write.mode("errorifexists").saveAsTable(waiting)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {waiting}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {waiting} RENAME TO {table}")
 
 
 def snapshot_table(spark: SparkSession, source: str, target: str) -> None:
@@ -41,6 +64,35 @@ def snapshot_table(spark: SparkSession, source: str, target: str) -> None:
     overwrite_table(spark.table(source), target)
 
 
+def snapshot_files(spark: SparkSession, source: str, path: str) -> DataFrame:
+    """A plain copy of ``source`` as files, for readers without a catalog."""
+    table = spark.table(source)
+    table.write.mode("overwrite").parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds Parquet files, at any depth."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return False
+    found = files.listFiles(folder, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -56,8 +108,8 @@ def publish(
 ) -> dict[str, int]:
     """Stage, verify, publish. Returns the violation counts.
 
-    Raises ``ExpectationFailed`` and leaves the published table as it was when a
-    FAIL rule is broken.
+    Raises ``ExpectationFailed``, which carries all counts, and leaves the published
+    table as it was when a FAIL rule is broken; the staged version is deleted.
     """
     spark = df.sparkSession
     version = f"{datetime.datetime.now(datetime.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -66,7 +118,11 @@ def publish(
     checked = gate(conform(df, schema), rules, observation)
     checked.write.partitionBy(*partition_by).parquet(path)
     metrics = dict(observation.get)
-    raise_on_failure(table, rules, metrics)
+    try:
+        raise_on_failure(table, rules, metrics)
+    except BaseException:
+        remove_folder(spark, path)
+        raise
     point_view(spark, table, path, schema, comment)
     return metrics
 
@@ -89,8 +145,7 @@ def prune_versions(spark: SparkSession, table: str, root: str, keep: int) -> lis
 
     Keep enough of them for queries that are still reading an old version.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table.split('.')[-1]}")
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, folder = _folder(spark, f"{root.rstrip('/')}/{table.split('.')[-1]}")
     # Names start with a time, so their order is the order of writing.
     versions = sorted(
         (s.getPath() for s in files.listStatus(folder)), key=lambda path: path.getName()
@@ -116,6 +171,23 @@ def quality_log(
     )
 
 
+def published_path(spark: SparkSession, table: str) -> str | None:
+    """Folder of the version that readers of a published table see."""
+    if not spark.catalog.tableExists(table):
+        return None
+    text = spark.sql(f"SHOW CREATE TABLE {table}").first()[0]
+    found = re.search(r"FROM parquet\.`([^`]*)`", text)
+    return found[1] if found else None
+
+
+def published_freshness(spark: SparkSession, table: str) -> DataFrame:
+    """When the served version of a table was written; now, if there is none."""
+    path = published_path(spark, table)
+    if path is None or not has_files(spark, path):
+        return spark.range(1).select(F.current_timestamp().alias("refreshed_at"))
+    return freshness(spark, path)
+
+
 def freshness(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """When a table last changed; now, if it has no files yet.
 

@@ -17,6 +17,9 @@ from pyspark.sql.types import StructType
 from renewlens.operators.quality import Expectation, gate
 
 MAX_FILES_PER_BATCH = 10_000
+# By default Spark ignores files that are a week older than the newest one it has
+# seen. Late and copied-in files are data too, so no age is too old.
+MAX_FILE_AGE = "36500d"
 
 
 def read_appended(
@@ -31,6 +34,7 @@ def read_appended(
         spark.readStream.schema(schema)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
         .parquet(folder)
     )
 
@@ -39,7 +43,11 @@ def read_appended_table(
     spark: SparkSession, table: str, max_files: int = MAX_FILES_PER_BATCH
 ) -> DataFrame:
     """Rows appended to a catalog table."""
-    return spark.readStream.option("maxFilesPerTrigger", max_files).table(table)
+    return (
+        spark.readStream.option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
+        .table(table)
+    )
 
 
 def append_new(

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +67,19 @@ def test_sum_does_not_depend_on_order(spark):
     assert df.agg(total).first().t == df.orderBy("x").agg(total).first().t == 1.0
 
 
+def test_sum_keeps_small_parts_and_survives_odd_amounts(spark):
+    tiny = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert tiny.agg(fn.exact_sum("x")).first()[0] == 4.0
+    odd = spark.createDataFrame([(1.5,), (float("inf"),), (None,)], "x double")
+    assert odd.agg(fn.exact_sum("x")).first()[0] == float("inf")
+    nan = spark.createDataFrame([(1.5,), (float("nan"),), (2.0,)], "x double")
+    assert math.isnan(nan.agg(fn.exact_sum("x")).first()[0])
+    huge = spark.createDataFrame([(1e300,), (-1e300,), (0.25,)], "x double")
+    assert huge.agg(fn.exact_sum("x")).first()[0] == 0.25
+    mixed = spark.createDataFrame([(-0.000001,), (-7.25,), (1e12,)], "x double")
+    assert mixed.agg(fn.exact_sum("x")).first()[0] == 1e12 - 7.250001
+
+
 def test_sum_outgrows_64_bits(spark):
     df = spark.range(200).select((F.lit(9.0e16) * F.when(F.col("id") < 150, 1).otherwise(-1)).alias("x"))
     assert df.agg(fn.exact_sum("x")).first()[0] == 9.0e18

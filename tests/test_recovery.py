@@ -1,0 +1,150 @@
+"""Old files, failed runs and empty sources."""
+
+import os
+import time
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import AS_OF, accounts, events, subscriptions
+from renewlens import schemas
+from renewlens.operators.quality import ExpectationFailed
+from renewlens.plans import refresh as job
+from renewlens.plans.features import account_features, missing_tenure
+from renewlens.sources import tables
+from renewlens.streaming.bronze import append_new, read_appended, read_appended_table
+
+
+@pytest.fixture
+def config(spark, tmp_path):
+    name = uuid.uuid4().hex[:8]
+    for schema in (f"src_{name}", f"out_{name}"):
+        spark.sql(f"CREATE SCHEMA {schema}")
+    return job.RefreshConfig(f"src_{name}", f"out_{name}", str(tmp_path / "out"), AS_OF)
+
+
+def _age(folder, days):
+    old = time.time() - days * 86_400
+    for name in os.listdir(folder):
+        os.utime(f"{folder}/{name}", (old, old))
+
+
+def test_files_with_old_times_are_taken(spark, tmp_path):
+    source, extra = str(tmp_path / "in"), str(tmp_path / "extra")
+    df = spark.range(3)
+    df.coalesce(1).write.parquet(source)
+    run = lambda: append_new(
+        read_appended(spark, source, df.schema), str(tmp_path / "to"), str(tmp_path / "at")
+    )
+    assert run()["total_rows"] == 3
+    spark.range(10, 12).coalesce(1).write.parquet(extra)
+    _age(extra, 40)
+    for name in os.listdir(extra):
+        if name.endswith(".parquet"):
+            os.rename(f"{extra}/{name}", f"{source}/late-{name}")
+    assert run()["total_rows"] == 2
+    assert spark.read.parquet(str(tmp_path / "to")).count() == 5
+
+
+def test_table_files_with_old_times_are_taken(spark, tmp_path):
+    name = f"aged_{uuid.uuid4().hex[:8]}"
+    tables.append_table(spark.range(3).coalesce(1), name)
+    run = lambda: append_new(
+        read_appended_table(spark, name), str(tmp_path / "to"), str(tmp_path / "at")
+    )
+    assert run()["total_rows"] == 3
+    place = spark.table(name).inputFiles()[0]
+    folder = os.path.dirname(place.removeprefix("file:"))
+    before = set(os.listdir(folder))
+    tables.append_table(spark.range(2).coalesce(1), name)
+    old = time.time() - 40 * 86_400
+    for new in set(os.listdir(folder)) - before:
+        os.utime(f"{folder}/{new}", (old, old))
+    assert run()["total_rows"] == 2
+
+
+def test_failed_overwrite_leaves_the_table(spark):
+    name = f"served_{uuid.uuid4().hex[:8]}"
+    tables.overwrite_table(spark.range(3), name)
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.overwrite_table(broken, name)
+    assert spark.table(name).count() == 3
+    tables.overwrite_table(spark.range(2).select(F.lit("x").alias("other")), name)
+    assert [r.other for r in spark.table(name).collect()] == ["x", "x"]
+    assert not spark.catalog.tableExists(f"{name}__new")
+
+
+def test_failed_publish_keeps_counts_and_no_files(spark, tmp_path):
+    rule = schemas.Expectation("few", "id < 2", schemas.FAIL)
+    name, root = f"view_{uuid.uuid4().hex[:8]}", str(tmp_path)
+    df = spark.range(2).toDF("id")
+    assert tables.publish(df, name, root, df.schema, [rule]) == {"total_rows": 2, "few": 0}
+    fresh = tables.published_freshness(spark, name).first()[0]
+    with pytest.raises(ExpectationFailed) as failure:
+        tables.publish(spark.range(5), name, root, df.schema, [rule])
+    assert failure.value.metrics == {"total_rows": 5, "few": 3}
+    assert len(os.listdir(tmp_path / name)) == 1
+    assert spark.table(name).count() == 2
+    assert tables.published_freshness(spark, name).first()[0] == fresh
+    assert tables.published_freshness(spark, "no_such_table").first()[0] is not None
+
+
+def _sources(spark, config, tag, broken=False):
+    tables.append_table(accounts(spark, f"{tag}1"), config.source("accounts"))
+    rows = [(f"S{tag}", f"{tag}1", 10.0, "active", 0)]
+    if broken:
+        rows.append((None, f"{tag}1", 1.0, "active", 0))
+    tables.append_table(subscriptions(spark, *rows), config.source("subscriptions"))
+    tables.append_table(events(spark, (f"E{tag}", f"{tag}1", -1, 2.5, 3)), config.source("usage_events"))
+
+
+def test_a_failed_refresh_is_in_the_log(spark, config, monkeypatch):
+    _sources(spark, config, "A", broken=True)
+    job.refresh(spark, config)
+    never = schemas.Expectation("never", "1 = 0", schemas.FAIL)
+    monkeypatch.setattr(schemas, "SILVER_RULES", (*schemas.SILVER_RULES, never))
+    _sources(spark, config, "B", broken=True)
+    with pytest.raises(ExpectationFailed):
+        job.refresh(spark, config)
+    log = spark.table(config.table(job.QUALITY_LOG))
+
+    def logged(metric):
+        return log.filter(F.col("metric") == metric).agg(F.sum("row_count")).first()[0]
+
+    assert logged("valid_subscription_id") == 2
+    assert logged("never") == 2
+
+
+def test_first_refresh_on_empty_sources(spark, config):
+    for table in job.BRONZE_TABLES:
+        tables.append_table(spark.createDataFrame([], table.schema), config.source(table.name))
+    metrics = job.refresh(spark, config)
+    assert metrics["bronze_accounts"]["total_rows"] == 0
+    assert spark.table(config.table("bronze_usage_events")).count() == 0
+    assert spark.table(config.table(job.GOLD_TABLE)).count() == 0
+    _sources(spark, config, "C")
+    assert job.refresh(spark, config)[job.SILVER_TABLE]["total_rows"] == 1
+    assert spark.table(config.table("bronze_accounts")).count() == 1
+
+
+def test_missing_contract_start_counts_as_no_tenure(spark, config):
+    _sources(spark, config, "D")
+    job.refresh(spark, config)
+    silver = spark.table(config.table(job.SILVER_TABLE))
+    blank = silver.withColumn("contract_start_date", F.lit(None).cast("date"))
+    assert account_features(blank, AS_OF).first().tenure_days == 0
+    assert missing_tenure(blank).first()[0] == 1
+    assert missing_tenure(silver).first()[0] == 0
+
+
+def test_every_key_with_twice_a_share_is_heavy(spark, tmp_path):
+    from renewlens.operators.skew import heavy_keys
+
+    path = str(tmp_path / "skewed")
+    spark.range(200_000).select(
+        F.when(F.col("id") < 180, F.lit(-1)).otherwise(F.col("id")).alias("k")
+    ).write.parquet(path)
+    found = heavy_keys(spark.read.parquet(path), "k", parts=20_000, small=0, min_rows=1)
+    assert found == {-1: 18}
