@@ -66,7 +66,7 @@ def test_groups_of_near_copies_equal_all_pairs(spark, short_list):
         k += 1
     rows += [(k + i, text) for i, (_, text) in enumerate(rows[:20])]
     rng.shuffle(rows)
-    settings = bottom_sketch.Settings(width=4, short_list=short_list)
+    settings = bottom_sketch.Settings(width=4, short_list=short_list, block_values=2000)
     assert found(bottom_sketch.near_copies(documents(spark, rows), settings)) == wanted(rows)
 
 

@@ -95,7 +95,7 @@ def test_quality_of_awkward_rows(spark):
     rows += [(200, None), (201, ""), (202, " \n"), (203, clean * 3000), (None, clean), (0, clean)]
     docs = documents(spark, rows)
     model = weak_quality.fit(docs)
-    assert 0.5 < min(model.accuracies().values()) <= max(model.accuracies().values()) <= 1
+    assert model.accuracies()["shouting"] > 0.9
     found = [(r.doc_id, r.kept) for r in weak_quality.score(docs, model).collect()]
     assert {(200, False), (201, False), (202, False), (None, True), (0, True)} <= set(found)
     assert all(not kept for i, kept in found if i is not None and 100 <= i < 200)

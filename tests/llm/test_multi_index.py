@@ -13,7 +13,10 @@ SCHEMA = "vec_id long, embedding array<float>, label int, rank int, score double
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, v, 0, 9, 0.1, 5) for i, v in rows], SCHEMA)
+    def floats(vector):
+        return vector and [None if x is None else float(x) for x in vector]
+
+    return spark.createDataFrame([(i, floats(v), 0, 9, 0.1, 5) for i, v in rows], SCHEMA)
 
 
 def by_hand(rows, top, queries=lambda i: i % 20 == 0):
