@@ -21,8 +21,9 @@ from renewlens.streaming import bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Few, shallow trees: enough to run the whole path on every verification.
-QUICK = training.TrainingSettings(trees=5, depth=3)
+# All settings of the job but the number of trees: every tree is several Spark jobs, and
+# these queries run on every verification.
+SETTINGS = training.TrainingSettings(trees=20)
 FACET_PLANS = ("Growth", "Enterprise")
 FACET_INDUSTRIES = star.INDUSTRIES[:3]
 
@@ -386,7 +387,7 @@ def _trained(spark: SparkSession, folder: str, importance: bool = False):
     return training.train(
         _stored_features(spark, folder),
         fresh_path(spark, "models"),
-        QUICK,
+        SETTINGS,
         with_importance=importance,
     )
 
@@ -407,7 +408,7 @@ def churn_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Train, register, load by name and version, score, rank."""
     root = fresh_path(spark, "models")
     features = _stored_features(spark, folder)
-    training.train(features, root, QUICK, with_importance=False)
+    training.train(features, root, SETTINGS, with_importance=False)
     model = training.load_model(root, schemas.REGISTERED_MODEL, 1)
     return scoring.ranked(scoring.score_accounts(features, model))
 
