@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from renewlens.llm.narrow import joined_blocks
 from renewlens.session import staged
 
 SAMPLE = 16384
@@ -251,8 +252,6 @@ def search(
     probes = packs.mapInArrow(
         probe, "first int, queries array<long>, questions array<float>, seen binary"
     )
-    index, probes = staged(index, "ann-index"), staged(probes, "ann-probes")
-
     def rerank(batches):
         best = _Best(top + 1)
         for batch in batches:
@@ -274,19 +273,17 @@ def search(
         yield best.drain(names)
 
     names = ["query", "key", "least_id", "score"]
-    # Rows of this join hold a block each; a session of its own keeps batches small.
-    narrow = spark.newSession()
-    narrow.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "32")
-    narrow.conf.set(
-        "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
-    )
-    met = _again(narrow, index).join(_again(narrow, probes), "first").drop("first", "chunk")
-    near = staged(
-        met.mapInArrow(rerank, f"query long, key long, least_id {kind}, score double"), "ann-near"
+    near = joined_blocks(
+        index,
+        probes,
+        ["first"],
+        rerank,
+        f"query long, key long, least_id {kind}, score double",
+        "ann-near",
     )
     best = Window.partitionBy("query").orderBy(F.desc("score"), "least_id")
     nearest = (
-        _again(spark, near).withColumn("n", F.row_number().over(best)).where(F.col("n") <= top + 1)
+        near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= top + 1)
     )
     candidates = nearest.join(entries.select("key", "ids"), "key").select(
         "query", "score", F.explode("ids").alias("id")
@@ -298,13 +295,6 @@ def search(
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
-def _again(spark, table: DataFrame) -> DataFrame:
-    """A written table, read in another session."""
-    return spark.read.schema(table.schema).parquet(*table.inputFiles()) if table.inputFiles() else (
-        spark.createDataFrame([], table.schema)
-    )
-
-
 class _Best:
     """The best entries of each query so far, in bounded memory."""
 
