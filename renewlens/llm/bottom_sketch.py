@@ -7,10 +7,11 @@ numbers; the ``k`` smallest are its sketch. Steps:
 2. Inverted lists over retained values, cut to the rarest ones of each sketch: two
    sketches that share enough values must share one of these, so a passage that
    many documents share makes no long list unless it fills the document.
-3. In each list one member is compared with all others (a star), so a list costs
-   as many pairs as it has members. Linked classes are merged, and members that
-   are already connected are not compared again; when another star links nothing
-   more, the members that are still apart are compared with each other.
+3. In each list the member with most shared values is compared with all others (a
+   star), so a list costs as many pairs as it has members. Members of one star are
+   not compared again. Those that stars leave apart are compared in full: in short
+   lists with each other; in long ones each member that is not linked with the centre
+   is compared with all, block by block, and only links leave the blocks.
 4. The sketch of the union filters the pairs, the exact Jaccard measure of the
    full sets decides.
 
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from renewlens.llm import blocks
 from renewlens.llm.components import components
+from renewlens.llm.narrow import joined_blocks
 from renewlens.session import staged
 
 
@@ -45,7 +47,8 @@ class Settings:
     percent: int = 80  # least likeness: 100 * common >= percent * union
     k: int = 64  # values in a sketch
     slack: float = 4.4  # standard deviations of the estimate that still pass
-    stars: int = 6  # star rounds at most, before the rest is compared in full
+    short_list: int = 48  # members up to which a list is compared pair by pair
+    block_values: int = 1 << 16  # shingles in a block of longer lists
 
     @property
     def estimate(self) -> float:
@@ -135,7 +138,9 @@ def _key() -> Column:
 
 
 def rare_lists(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(value, key, n): the rarest retained values of each class, where shared.
+    """(value, key, n, held): the rarest retained values of each class, where shared.
+
+    ``held`` counts the class's retained values that are shared at all.
 
     A sketch of ``s`` values that shares at least ``m`` with another shares one of
     its first ``s - m + 1``, in any order that both follow; here rare before
@@ -161,25 +166,30 @@ def rare_lists(classes: DataFrame, settings: Settings) -> DataFrame:
     )
     room = F.col("front") - (F.col("size") - F.size("held"))
     front = F.slice("held", F.lit(1), F.greatest(room, F.lit(0)).cast("int"))
-    return listed.select("key", "n", F.explode(front.getField("value")).alias("value"))
+    return listed.select(
+        "key", "n", F.size("held").alias("held"), F.explode(front.getField("value")).alias("value")
+    )
 
 
 def _verified(pairs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
     """The pairs of keys (a, b) whose full sets are alike enough."""
-    k = settings.k
-    left = members.select(F.col("key").alias("a"), F.col("sketch").alias("sa"))
-    right = members.select(F.col("key").alias("b"), F.col("sketch").alias("sb"))
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
+
+    def side(name: str, column: str, new: str) -> DataFrame:
+        return members.select(F.col("key").alias(name), F.col(column).alias(new))
+
+    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, settings.k)
     common = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    likely = pairs.join(left, "a").join(right, "b").where(common >= settings.estimate * F.size(union))
-    full_a = members.select(F.col("key").alias("a"), F.col("shingles").alias("fa"))
-    full_b = members.select(F.col("key").alias("b"), F.col("shingles").alias("fb"))
+    likely = (
+        pairs.join(side("a", "sketch", "sa"), "a")
+        .join(side("b", "sketch", "sb"), "b")
+        .where(common >= settings.estimate * F.size(union))
+        .select("a", "b")
+    )
     both = F.size(F.array_intersect("fa", "fb"))
     either = F.size("fa") + F.size("fb") - both
     return (
-        likely.select("a", "b")
-        .join(full_a, "a")
-        .join(full_b, "b")
+        likely.join(side("b", "shingles", "fb"), "b")
+        .join(side("a", "shingles", "fa"), "a")
         .where(100 * both.cast("long") >= settings.percent * either.cast("long"))
         .select("a", "b")
     )
@@ -188,7 +198,7 @@ def _verified(pairs: DataFrame, members: DataFrame, settings: Settings) -> DataF
 def links(
     docs: DataFrame, classes: DataFrame, settings: Settings, id_col: str, text_col: str
 ) -> DataFrame:
-    """(node, root) over class keys, for classes linked with another one."""
+    """Verified links (a, b) of class keys that connect all classes that are connected."""
     lists = staged(rare_lists(classes, settings), "sketch-lists")
     involved = lists.select("key").distinct()
     found = classes.join(involved, "key", "semi")
@@ -204,48 +214,136 @@ def links(
         ),
         "sketch-members",
     )
-    roots = docs.sparkSession.createDataFrame([], "node long, root long")
-    turn, rest = 0, False
-    while True:
-        pairs = _candidates(lists, roots, turn, rest, settings)
-        fresh = staged(_verified(pairs, members, settings), "sketch-links")
-        linked = not fresh.isEmpty()
-        if linked:
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = components(known.unionByName(fresh), "sketch-roots")
-        if rest:
-            return roots
-        turn += 1
-        rest = not linked or turn >= settings.stars
-
-
-def _candidates(
-    lists: DataFrame, roots: DataFrame, turn: int, rest: bool, settings: Settings
-) -> DataFrame:
-    """Pairs of keys (a, b) to compare: one star a list, or all that are still apart."""
-    placed = lists.join(roots, F.col("key") == F.col("node"), "left").select(
-        "value", "key", "n", F.coalesce("root", "key").alias("root")
+    centres = staged(_centres(lists), "sketch-centres")
+    stars = staged(_verified(_stars(lists, centres, settings), members, settings), "sketch-stars")
+    short = _short_pairs(lists, stars, settings)
+    return (
+        stars.unionByName(_verified(short, members, settings))
+        .unionByName(_long_links(lists, centres, stars, members, settings))
     )
-    # The centre of a star is drawn anew in each round.
-    centre = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key", "n", "root"))
-    apart = (
-        placed.groupBy("value")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), centre.alias("c"))
-        .where("low <> high")
+
+
+def _fits(settings: Settings) -> Column:
+    return F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * settings.percent
+
+
+def _centres(lists: DataFrame) -> DataFrame:
+    """(value, other, other_n, members): each list's member with most shared values."""
+    order = F.struct("held", F.xxhash64("key").alias("h"), "key", "n")
+    found = lists.groupBy("value").agg(F.max(order).alias("c"), F.count("*").alias("members"))
+    return found.where("members > 1").select(
+        "value", F.col("c.key").alias("other"), F.col("c.n").alias("other_n"), "members"
     )
-    if rest:
-        placed = staged(placed.join(apart, "value", "semi"), "sketch-rest")
-        other = placed.select("value", "key", "n", "root")
-    else:
-        other = apart.select("value", "c.key", "c.n", "c.root")
-    other = other.toDF("value", "other", "other_n", "other_root")
-    alike = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * settings.percent
-    met = placed.join(other, "value").where((F.col("root") != F.col("other_root")) & alike)
-    return met.select(
-        F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")
+
+
+def _stars(lists: DataFrame, centres: DataFrame, settings: Settings) -> DataFrame:
+    """Different pairs (a, b): in each list the centre with all others."""
+    met = lists.join(centres, "value").where(F.col("key") != F.col("other")).where(_fits(settings))
+    return met.select(F.col("other").alias("a"), F.col("key").alias("b")).distinct()
+
+
+def _short_pairs(lists: DataFrame, stars: DataFrame, settings: Settings) -> DataFrame:
+    """Different pairs (a, b) that meet in a short list and are not of one star."""
+    # Members of a star are connected through its centre; the largest star counts.
+    sizes = stars.groupBy("a").agg(F.count("*").alias("size"))
+    largest = F.max(F.struct("size", "a")).getField("a")
+    placed = stars.join(sizes, "a").groupBy(F.col("b").alias("key")).agg(largest.alias("star"))
+    rows = lists.join(placed, "key", "left").select(
+        "value", "key", "n", F.coalesce("star", "key").alias("star")
+    )
+    apart = rows.groupBy("value").agg(
+        F.min("star").alias("low"), F.max("star").alias("high"), F.count("*").alias("members")
+    )
+    apart = apart.where("low <> high").where(F.col("members") <= settings.short_list)
+    rows = staged(rows.join(apart.select("value"), "value"), "sketch-short")
+    other = rows.select("value", *(F.col(c).alias(f"other_{c}") for c in ("key", "n", "star")))
+    met = rows.join(other, "value").where((F.col("star") != F.col("other_star")) & _fits(settings))
+    met = met.where(F.col("key") < F.col("other_key"))
+    return met.select(F.col("key").alias("a"), F.col("other_key").alias("b")).distinct()
+
+
+def _long_links(
+    lists: DataFrame, centres: DataFrame, stars: DataFrame, members: DataFrame, settings: Settings
+) -> DataFrame:
+    """Links (a, b) between members of long lists, where one is not linked with the centre.
+
+    Lists with the same centre are taken together. Blocks of bounded size meet in an
+    ordinary join by the centre; a task holds two blocks at a time.
+    """
+    long = centres.where(F.col("members") > settings.short_list)
+    family = lists.join(long.select("value", F.col("other").alias("family")), "value")
+    family = staged(family.select("family", "key", "n").distinct(), "sketch-family")
+    linked = stars.select(F.col("a").alias("family"), F.col("b").alias("key"))
+    loose = family.where("family <> key").join(linked, ["family", "key"], "anti")
+    pieces = F.ceil(F.sum("n") / F.lit(settings.block_values))
+    sizes = family.groupBy("family").agg(pieces.alias("pieces"))
+    # Where everyone is linked with the centre, nothing is left to compare.
+    sizes = sizes.join(loose.select("family").distinct(), "family")
+
+    def packed(rows: DataFrame, side: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("key"), F.col("pieces"))
+        return (
+            rows.select("family", "key")
+            .join(sizes, "family")
+            .withColumn("block", block)
+            .join(members.select("key", "shingles"), "key")
+            .groupBy("family", "block")
+            .agg(F.collect_list(F.struct("key", "shingles")).alias("held"))
+            .select(
+                "family",
+                F.col("held.key").alias(f"{side}_keys"),
+                F.col("held.shingles").alias(f"{side}_sets"),
+            )
+        )
+
+    percent = settings.percent
+
+    def compare(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                keys, sets = (batch.column(i)[row].values for i in (1, 2))
+                others, other_sets = (batch.column(i)[row].values for i in (3, 4))
+                common, size, other_size = _overlaps(sets, other_sets)
+                union = size[:, None] + other_size[None, :] - common
+                at, to = np.nonzero(100 * common >= percent * union)
+                a, b = keys.to_numpy()[at], others.to_numpy()[to]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"]
+                )
+
+    return joined_blocks(
+        packed(loose, "left"),
+        packed(family, "right"),
+        ["family"],
+        compare,
+        "a long, b long",
+        "sketch-blocks",
     ).distinct()
 
 
+def _overlaps(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common values of each pair of sets, by matrix products, and the sets' sizes."""
+    sides = []
+    for sets in (left, right):
+        size = np.diff(sets.offsets.to_numpy())
+        sides.append((sets.flatten().to_numpy(), np.repeat(np.arange(len(size)), size), size))
+    (own, own_row, size), (other, other_row, other_size) = sides
+    shared = np.intersect1d(own, other)
+    common = np.zeros((len(size), len(other_size)), np.int64)
+    for first in range(0, len(shared), 4096):
+        part = shared[first : first + 4096]
+        tables = []
+        for values, rows, n in ((own, own_row, len(size)), (other, other_row, len(other_size))):
+            at = np.searchsorted(part, values)
+            at[at == len(part)] = 0
+            hit = part[at] == values
+            table = np.zeros((n, len(part)), np.float32)
+            table[rows[hit], at[hit]] = 1
+            tables.append(table)
+        common += (tables[0] @ tables[1].T).astype(np.int64)
+    return common, size, other_size
+
+
 def near_copies(
     docs: DataFrame,
     settings: Settings = Settings(),
@@ -267,7 +365,7 @@ def near_copies(
         .agg(F.min("doc_id").alias("first_id"), F.any_value("sketch").alias("sketch")),
         "sketch-classes",
     )
-    roots = staged(links(docs, classes, settings, id_col, text_col), "sketch-linked")
+    roots = components(links(docs, classes, settings, id_col, text_col), "sketch-roots")
     placed = classes.select("key", "first_id").join(
         roots, F.col("key") == F.col("node"), "left"
     ).select("key", "first_id", F.coalesce("root", "key").alias("root"))
