@@ -44,11 +44,22 @@ LABELLERS = (
     ("shouting", "bang_share", "bad", ">=", 0.2, 1),
     ("stutter", "repeat_share", "bad", ">=", 0.15, 4),
     ("few_words", "same_share", "bad", ">=", 0.9, 40),
-    ("prose", "plain_share", "good", ">=", 0.93, 1),
+    ("prose", "prose_share", "good", ">=", 0.93, 1),
     ("variety", "repeat_share", "good", "<", 0.03, 4),
 )
 
 
+SHARES = (
+    "symbol_share",
+    "ragged_share",
+    "capital_share",
+    "bang_share",
+    "repeat_share",
+    "same_share",
+    "plain_share",
+)
+
+
 @dataclass(frozen=True)
 class QualityModel:
     prior: float
@@ -108,6 +119,7 @@ def _statistics(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
         "repeat_share": repeats / np.maximum(count - 1, 1),
         "same_share": np.bincount(rows, same, len(count)) / some,
         "plain_share": plain / ink,
+        "prose_share": plain / ink * (1 - repeats / np.maximum(count - 1, 1)),
     }
 
 
@@ -122,10 +134,12 @@ def _votes(stats: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
-def _features(data: np.ndarray, bounds: np.ndarray, repeats: np.ndarray) -> np.ndarray:
+def _features(
+    data: np.ndarray, bounds: np.ndarray, stats: dict[str, np.ndarray]
+) -> np.ndarray:
     """Hashed byte runs, letters reduced to upper and lower case, as shrunk root shares.
 
-    The last place holds the share of words that repeat the word before.
+    The last places hold the roots of the labellers' own shares.
     """
     shape = data.copy()
     shape[(data >= ord("a")) & (data <= ord("z"))] = ord("a")
@@ -139,11 +153,14 @@ def _features(data: np.ndarray, bounds: np.ndarray, repeats: np.ndarray) -> np.n
     # A block of very short rows is taken in parts, so that the matrix stays small.
     counts = np.bincount(rows * WIDTH + place, minlength=n * WIDTH).reshape(n, WIDTH)
     out = np.sqrt(counts / (counts.sum(1) + SHORT)[:, None]).astype(np.float32)
-    out[:, -1] += np.sqrt(repeats).astype(np.float32)
+    for place, name in enumerate(SHARES):
+        out[:, -1 - place] = np.sqrt(np.minimum(stats[name], 1))
+    # Texts too short to be judged by repeated words show none.
+    out[:, -1 - SHARES.index("same_share")] *= stats["words"] >= 40
     return out
 
 
-def _parts(column: pa.Array, rows: int = 1024):
+def _parts(column: pa.Array, rows: int = 512):
     for first, end, data, bounds in blocks.blocks(column):
         for at in range(0, end - first, rows):
             to = min(at + rows, end - first)
@@ -225,7 +242,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Qual
             for first, end, data, bounds in _parts(blocks.string_column(batch, "__text")):
                 stats = _statistics(data, bounds)
                 good = _posterior(_votes(stats), prior, table)
-                x = _features(data, bounds, stats["repeat_share"]).astype(np.float16)
+                x = _features(data, bounds, stats).astype(np.float16)
                 part = pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, end - first).cast(pa.string()),
@@ -261,20 +278,22 @@ def _train(x: np.ndarray, good: np.ndarray, rounds: int = 300) -> tuple[np.ndarr
     return w.astype(np.float32), b
 
 
-def _judge(column: pa.Array, model: QualityModel | None) -> tuple[np.ndarray, np.ndarray]:
-    """Scorer's probability of good, and the labellers' posterior, per text."""
-    score, belief = np.zeros(len(column)), np.zeros(len(column))
+def _judge(column: pa.Array, model: QualityModel | None):
+    """Scorer's probability of good and the labellers' posterior: (first row, end, both)."""
     if model is None:
-        return score, belief
+        yield 0, len(column), np.zeros(len(column)), np.zeros(len(column))
+        return
     for first, end, data, bounds in _parts(column):
         stats = _statistics(data, bounds)
         some = stats["words"] > 0
-        value = _features(data, bounds, stats["repeat_share"]) @ model.weights + model.bias
-        score[first:end] = np.where(some, 1 / (1 + np.exp(-value.astype(float))), 0)
-        belief[first:end] = np.where(
-            some, _posterior(_votes(stats), model.prior, model.votes), 0
+        value = _features(data, bounds, stats) @ model.weights + model.bias
+        belief = _posterior(_votes(stats), model.prior, model.votes)
+        yield (
+            first,
+            end,
+            np.where(some, 1 / (1 + np.exp(-value.astype(float))), 0),
+            np.where(some, belief, 0),
         )
-    return score, belief
 
 
 def score(
@@ -290,16 +309,16 @@ def score(
 
     def run(batches):
         for batch in batches:
-            value, belief = _judge(blocks.string_column(batch, "__text"), model)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(k) for k in range(len(keep))),
-                    pa.array(belief),
-                    pa.array(value),
-                    pa.array(value >= THRESHOLD),
-                ],
-                names=[*keep, "weak_posterior", "score", "kept"],
-            )
+            for first, end, value, belief in _judge(blocks.string_column(batch, "__text"), model):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(k).slice(first, end - first) for k in range(len(keep))),
+                        pa.array(belief),
+                        pa.array(value),
+                        pa.array(value >= THRESHOLD),
+                    ],
+                    names=[*keep, "weak_posterior", "score", "kept"],
+                )
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInArrow(run, f"{kept}, weak_posterior double, score double, kept boolean")
@@ -310,7 +329,7 @@ def accepted(docs: DataFrame, model: QualityModel | None, text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            value, _ = _judge(blocks.string_column(batch, text_col), model)
-            yield batch.filter(pa.array(value >= THRESHOLD))
+            for first, end, value, _ in _judge(blocks.string_column(batch, text_col), model):
+                yield batch.slice(first, end - first).filter(pa.array(value >= THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
