@@ -33,7 +33,7 @@ WIDTH = 8192
 LANDMARKS = 192
 SAMPLE = 3072
 RIDGE = 1e-3
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 UNDETERMINED = "und"
 
 
@@ -149,20 +149,17 @@ def fit(
     return LanguageModel(languages, landmarks, np.linalg.solve(system, cross.T @ target))
 
 
-def _judge(column: pa.Array, model: LanguageModel | None) -> tuple[np.ndarray, np.ndarray]:
-    """Language number (-1: undetermined) and score of each text of a column."""
-    best = np.full(len(column), -1)
-    score = np.zeros(len(column))
+def _judge(column: pa.Array, model: LanguageModel | None):
+    """Language number (-1: undetermined) and score of texts: (first row, end, both)."""
     if model is None:
-        return best, score
+        yield 0, len(column), np.full(len(column), -1), np.zeros(len(column))
+        return
     marks = np.unpackbits(model.landmarks, axis=1).astype(np.float32)
     for first, end, found in presence(column):
         values = _kernel(found, marks).astype(np.float64) @ model.weights
-        best[first:end] = values.argmax(1)
-        score[first:end] = np.clip((1 + values.max(1)) / 2, 0, 1)
-    silent = ~has_letter(column)
-    best[silent], score[silent] = -1, 0
-    return best, score
+        silent = ~has_letter(column.slice(first, end - first))
+        best = np.where(silent, -1, values.argmax(1))
+        yield first, end, best, np.where(silent, 0, np.clip((1 + values.max(1)) / 2, 0, 1))
 
 
 def predict(
@@ -179,12 +176,13 @@ def predict(
 
     def run(batches):
         for batch in batches:
-            best, score = _judge(blocks.string_column(batch, "__text"), model)
-            langs = pa.array(names).take(pa.array(best + 1))
-            columns = [batch.column(k) for k in range(len(keep))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, langs, pa.array(score)], names=[*keep, "lang_pred", "score"]
-            )
+            texts = blocks.string_column(batch, "__text")
+            for first, end, best, score in _judge(texts, model):
+                langs = pa.array(names).take(pa.array(best + 1))
+                columns = [batch.column(k).slice(first, end - first) for k in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, langs, pa.array(score)], names=[*keep, "lang_pred", "score"]
+                )
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInArrow(run, f"{kept}, lang_pred string, score double")
@@ -197,7 +195,9 @@ def recognised(
 
     def run(batches):
         for batch in batches:
-            best, score = _judge(blocks.string_column(batch, text_col), model)
-            yield batch.filter(pa.array((best >= 0) & (score >= least)))
+            texts = blocks.string_column(batch, text_col)
+            for first, end, best, score in _judge(texts, model):
+                rows = batch.slice(first, end - first)
+                yield rows.filter(pa.array((best >= 0) & (score >= least)))
 
     return docs.mapInArrow(run, docs.schema)
