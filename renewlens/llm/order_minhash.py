@@ -81,8 +81,12 @@ def fingerprint(text: str | None, settings: Settings = Settings()) -> np.ndarray
     return np.maximum((value >> np.uint64(32)).astype(np.uint32), np.uint32(1))
 
 
-def written(print_: np.ndarray) -> str:
-    return print_.astype(">u4").tobytes().hex()
+def _packed(numbers: np.ndarray) -> bytes:
+    return numbers.astype(">u4").tobytes()
+
+
+def written(numbers: np.ndarray) -> str:
+    return _packed(numbers).hex()
 
 
 def likeness(left: np.ndarray, right: np.ndarray) -> float:
@@ -118,7 +122,7 @@ def _edited(text: str, following: str) -> str:
 
 
 _RESULT = (
-    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 
@@ -128,9 +132,9 @@ def _compared(text, own, following, other, settings: Settings) -> tuple:
     changed = own if edited == text else fingerprint(edited, settings)
     return (
         len(text),
-        hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-        written(own),
-        written(changed),
+        hashlib.sha256(edited.encode("utf-8", "surrogatepass")).digest(),
+        _packed(own),
+        _packed(changed),
         likeness(own, changed),
         likeness(own, other),
     )
@@ -165,7 +169,7 @@ def edit_check(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(partitions, *ordered).sortWithinPartitions(*ordered)
     dealt = dealt.select("id", "text", F.spark_partition_id().alias("part"))
-    kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+    kinds = (pa.int64(), *(pa.binary(),) * 3, *(pa.float64(),) * 2)
 
     def walk(batches):
         last = None  # (id as a one-row array, text, fingerprint)
@@ -220,4 +224,8 @@ def edit_check(
 
     closed = edges.mapInArrow(close, f"id {kind}, {_RESULT}")
     inside = walked.where("part IS NULL").select(*closed.columns)
-    return inside.unionByName(closed).withColumnRenamed("id", id_col)
+    texts = {
+        c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")
+    }
+    # Binary while it is stored in between: half the size.
+    return inside.unionByName(closed).withColumns(texts).withColumnRenamed("id", id_col)
