@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor:
 
-1. ``language``: rows whose language is not recognised go.
+1. ``language``: rows whose language is not recognised go, and rows whose text is
+   unlike all languages learned: other languages and scripts, codes, mere signs.
 2. ``quality``: rows that the weak-label classifier finds bad go.
 3. ``near_dedup``: of each group of near-copies (five-word shingles, likeness 0.8)
    the row with the smallest id stays. Rows that repeat id and text stay once;
@@ -25,7 +26,8 @@ from renewlens.llm import bottom_sketch, language_id, mixing, pieces, reachable,
 from renewlens.session import staged
 
 # Confidence from which a language counts as recognised; clean texts, even of one
-# word, reach 0.39 and more.
+# word, reach 0.39 and more. So do texts in unknown languages: those are told by
+# their runs (language_id.recognised).
 LEAST_LANGUAGE_SCORE = 0.3
 DOMAINS = 4
 MIX = mixing.Mix(budget_share=1.0, max_epochs=2, seed=11, default_power=0.75)

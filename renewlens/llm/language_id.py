@@ -11,6 +11,14 @@ Fitting uses a sample of at most ``SAMPLE`` rows, an equal number of each
 language, taken in hash order of the id; everything else runs over all rows in
 one pass without a shuffle.
 
+How familiar a text is does not follow from its scores, which are near 0.5 for any
+text unlike the landmarks. It is the mean, over the text's different runs, of the
+logarithm of the share of a language's sample texts that have the run, in the
+language where this is largest. ``recognised`` also asks for the least familiarity,
+by number of runs. It is set from the sample's texts and their beginnings, each held
+against all sample texts but itself: half as far below the ``STRANGE`` quantile as
+that is below the median. A language with one sample text sets none.
+
 A NULL text, or one without a letter, is ``und`` with score 0; so is every text
 where there was nothing to learn from. Repeated rows give repeated results;
 equal scores go to the first language in alphabetical order.
@@ -23,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +43,9 @@ LANDMARKS = 192
 SAMPLE = 3072
 RIDGE = 1e-3
 BATCH_ROWS = 256
+CUTS = (4, 8, 32, 128, 512)  # characters of the beginnings
+STRANGE = 0.005
+LEAST_ROWS = 20  # texts that set a limit for their number of runs
 UNDETERMINED = "und"
 
 
@@ -42,6 +54,8 @@ class LanguageModel:
     languages: tuple[str, ...]
     landmarks: np.ndarray  # packed bits, one row per landmark
     weights: np.ndarray  # landmarks x languages
+    log_shares: np.ndarray  # places x languages: log share of texts with a run there
+    familiar: np.ndarray  # least familiarity, by the binary logarithm of the runs
 
 
 def presence(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -65,6 +79,55 @@ def _kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left @ right.T) / size
 
 
+def _packed(column: pa.Array) -> list[bytes]:
+    """Presence bits of each text."""
+    return [
+        bytes(row)
+        for _, _, found in presence(column)
+        for row in np.packbits(found.astype(np.uint8), axis=1)
+    ]
+
+
+def _magnitude(runs: np.ndarray) -> np.ndarray:
+    """Binary logarithm of the number of runs, rounded down."""
+    return np.frexp(np.maximum(runs, 1))[1] - 1
+
+
+def _familiarity(bits: np.ndarray, labels: np.ndarray, owner: np.ndarray, cuts: np.ndarray):
+    """Log shares of places, and the least familiarity. owner: the text of each cut."""
+    # Exact copies count once.
+    _, once = np.unique(bits, axis=0, return_index=True)
+    languages = labels.max() + 1
+    texts = np.bincount(labels[once], minlength=languages)
+    counts = np.zeros((WIDTH, languages))
+    for k in range(languages):
+        for at in range(0, len(own := once[labels[once] == k]), BATCH_ROWS):
+            counts[:, k] += np.unpackbits(bits[own[at : at + BATCH_ROWS]], axis=1).sum(0)
+    log_shares = np.log((counts + 0.5) / (texts + 1))
+    values, runs = [], []
+    kept = np.isin(owner, once)
+    every = np.concatenate([bits[once], cuts[kept]])
+    label = labels[np.concatenate([once, owner[kept]])]
+    for k in np.flatnonzero(texts > 1):
+        # A beginning has no run that its text lacks.
+        without = np.log(np.maximum(counts[:, k] - 0.5, 0.5) / texts[k])
+        tables = log_shares.copy()
+        tables[:, k] = without
+        for at in range(0, len(own := every[label == k]), BATCH_ROWS):
+            found = np.unpackbits(own[at : at + BATCH_ROWS], axis=1).astype(np.float32)
+            runs.append(found.sum(1))
+            values.append((found @ tables).max(1) / np.maximum(runs[-1], 1))
+    limits = np.full(WIDTH.bit_length(), -np.inf)
+    if values:
+        value, size = np.concatenate(values), _magnitude(np.concatenate(runs))
+        often = np.flatnonzero(np.bincount(size) >= LEAST_ROWS)
+        for k in range(len(limits)):
+            same = size == often[np.abs(often - k).argmin()] if len(often) else slice(None)
+            low, middle = np.quantile(value[same], [STRANGE, 0.5])
+            limits[k] = low - (middle - low) / 2
+    return log_shares.astype(np.float32), limits
+
+
 def has_letter(column: pa.Array) -> np.ndarray:
     """Whether each text holds a letter of any script."""
     data, bounds = blocks.byte_offsets(column)
@@ -108,24 +171,32 @@ def fit(
     chosen = texts.join(F.broadcast(sample), "__id")
 
     def encode(batches):
-        for batch in batches:
-            texts = blocks.string_column(batch, "__text")
-            letters = has_letter(texts)
-            langs = batch.column(batch.schema.get_field_index("__lang"))
-            ids = batch.column(batch.schema.get_field_index("__id"))
-            for first, end, found in presence(texts):
-                bits = [bytes(row) for row in np.packbits(found.astype(np.uint8), axis=1)]
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                texts = blocks.string_column(batch, "__text")
+                cuts = [[] for _ in range(len(texts))]
+                for length in CUTS:
+                    short = pc.utf8_slice_codeunits(texts, 0, length)
+                    fits = pc.greater(pc.utf8_length(texts), length).to_numpy(False)
+                    fits = fits & has_letter(short)
+                    packed = _packed(short.filter(pa.array(fits)))
+                    for row, bits in zip(np.flatnonzero(fits), packed):
+                        cuts[row].append(bits)
+                ids = batch.column(batch.schema.get_field_index("__id"))
                 part = pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, end - first).cast(pa.string()),
-                        langs.slice(first, end - first),
-                        pa.array(bits, pa.binary()),
+                        ids.cast(pa.string()),
+                        batch.column(batch.schema.get_field_index("__lang")),
+                        pa.array(_packed(texts), pa.binary()),
+                        pa.array(cuts, pa.list_(pa.binary())),
                     ],
-                    names=["id", "lang", "bits"],
+                    names=["id", "lang", "bits", "cuts"],
                 )
-                yield part.filter(pa.array(letters[first:end]))
+                yield part.filter(pa.array(has_letter(texts)))
 
-    rows = chosen.mapInArrow(encode, "id string, lang string, bits binary").collect()
+    kinds = "id string, lang string, bits binary, cuts array<binary>"
+    rows = chosen.mapInArrow(encode, kinds).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.lang, r.id, r.bits))
@@ -146,20 +217,29 @@ def fit(
     target = np.where(labels[:, None] == np.arange(len(languages)), 1.0, -1.0)
     system = cross.T @ cross + RIDGE * len(rows) * inner
     system += 1e-8 * np.trace(system) / len(system) * np.eye(len(system))
-    return LanguageModel(languages, landmarks, np.linalg.solve(system, cross.T @ target))
+    owner = np.repeat(np.arange(len(rows)), [len(r.cuts) for r in rows])
+    cuts = [np.frombuffer(c, np.uint8) for r in rows for c in r.cuts]
+    cuts = np.array(cuts, np.uint8).reshape(-1, WIDTH // 8)
+    known = _familiarity(bits, labels, owner, cuts)
+    return LanguageModel(languages, landmarks, np.linalg.solve(system, cross.T @ target), *known)
 
 
 def _judge(column: pa.Array, model: LanguageModel | None):
-    """Language number (-1: undetermined) and score of texts: (first row, end, both)."""
+    """Language number (-1: undetermined), score and whether familiar, of texts:
+    (first row, end, all three)."""
     if model is None:
-        yield 0, len(column), np.full(len(column), -1), np.zeros(len(column))
+        none = np.zeros(len(column))
+        yield 0, len(column), np.full(len(column), -1), none, none.astype(bool)
         return
     marks = np.unpackbits(model.landmarks, axis=1).astype(np.float32)
     for first, end, found in presence(column):
         values = _kernel(found, marks).astype(np.float64) @ model.weights
         silent = ~has_letter(column.slice(first, end - first))
         best = np.where(silent, -1, values.argmax(1))
-        yield first, end, best, np.where(silent, 0, np.clip((1 + values.max(1)) / 2, 0, 1))
+        score = np.where(silent, 0, np.clip((1 + values.max(1)) / 2, 0, 1))
+        runs = found.sum(1)
+        shares = (found @ model.log_shares).max(1) / np.maximum(runs, 1)
+        yield first, end, best, score, shares >= model.familiar[_magnitude(runs)]
 
 
 def predict(
@@ -177,7 +257,7 @@ def predict(
     def run(batches):
         for batch in batches:
             texts = blocks.string_column(batch, "__text")
-            for first, end, best, score in _judge(texts, model):
+            for first, end, best, score, _ in _judge(texts, model):
                 langs = pa.array(names).take(pa.array(best + 1))
                 columns = [batch.column(k).slice(first, end - first) for k in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
@@ -191,13 +271,14 @@ def predict(
 def recognised(
     docs: DataFrame, model: LanguageModel | None, least: float, text_col: str = "text"
 ) -> DataFrame:
-    """Whole rows whose language was recognised with at least this score."""
+    """Whole rows whose language was recognised with at least this score and whose text
+    is familiar."""
 
     def run(batches):
         for batch in batches:
             texts = blocks.string_column(batch, text_col)
-            for first, end, best, score in _judge(texts, model):
+            for first, end, best, score, familiar in _judge(texts, model):
                 rows = batch.slice(first, end - first)
-                yield rows.filter(pa.array((best >= 0) & (score >= least)))
+                yield rows.filter(pa.array((best >= 0) & (score >= least) & familiar))
 
     return docs.mapInArrow(run, docs.schema)

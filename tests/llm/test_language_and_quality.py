@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import base64
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from frames_llm import documents, empty_documents
 from renewlens.llm import catalog, language_id, weak_quality
@@ -53,6 +55,31 @@ def test_languages_of_awkward_rows(spark):
     assert {20, 21, 22}.isdisjoint({r.doc_id for r in kept.collect()})
 
 
+STRANGE = [
+    "我们今天去公园散步，然后回家吃饭看电视节目。",
+    "Мы сегодня пошли гулять в парк и потом вернулись домой ужинать.",
+    "ذهبنا اليوم إلى الحديقة ثم عدنا إلى المنزل",
+    "हम आज पार्क में घूमने गए और फिर घर लौट आए",
+    "Tänään kävimme kävelyllä puistossa ja sitten palasimme kotiin syömään yhdessä.",
+    "Dzisiaj poszliśmy na spacer do parku, a potem wróciliśmy do domu na kolację.",
+    base64.b64encode(np.random.default_rng(3).bytes(300)).decode(),
+    np.random.default_rng(4).bytes(200).hex(),
+    "#### 12345 !!! x",
+]
+
+
+def test_strange_texts_are_not_recognised(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language_id.fit(docs.where(~held))
+    strange = documents(spark, [(i, text * n, "en", "s") for n in (1, 40) for i, text in enumerate(STRANGE)])
+    assert language_id.recognised(strange, model, 0.3).collect() == []
+    clean = docs.where(held)
+    for length in (8, 40, 200, 200_000):
+        part = clean.withColumn("text", F.substring("text", 1, length))
+        assert language_id.recognised(part, model, 0.3).count() > 0.985 * clean.count()
+
+
 def test_nothing_to_learn_from(spark):
     docs = documents(spark, [(1, "some words", None)])
     assert language_id.fit(docs) is None
