@@ -21,9 +21,7 @@ from renewlens.streaming import bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# All settings of the job but the number of trees: every tree is several Spark jobs, and
-# these queries run on every verification.
-SETTINGS = training.TrainingSettings(trees=20)
+SETTINGS = training.TrainingSettings()
 FACET_PLANS = ("Growth", "Enterprise")
 FACET_INDUSTRIES = star.INDUSTRIES[:3]
 

@@ -34,6 +34,7 @@ from renewlens.schemas import (
 from renewlens.session import staged
 
 LABEL, SCORE = "is_churned", "_score"
+SCALED_VECTOR, VECTOR = "_scaled_vector", "_vector"
 
 
 @dataclass(frozen=True)
@@ -55,42 +56,39 @@ class TrainingResult:
     winner: PipelineModel = field(repr=False)
 
 
-def _encoders(scale: bool) -> list:
-    """One-hot categories (unseen ones become all zeros) and numbers in one vector."""
+def encoders() -> Pipeline:
+    """One-hot categories (unseen ones become all zeros) and numbers in one vector, once
+    with scaled numbers and once with plain ones."""
     indexed = [f"_{c}_index" for c in CATEGORICAL_FEATURES]
     hot = [f"_{c}_hot" for c in CATEGORICAL_FEATURES]
-    numbers = VectorAssembler(inputCols=list(NUMERIC_FEATURES), outputCol="_numbers")
-    stages = [
-        StringIndexer(
-            inputCols=list(CATEGORICAL_FEATURES), outputCols=indexed, handleInvalid="keep"
-        ),
-        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-        numbers,
-    ]
-    last = "_numbers"
-    if scale:
-        stages.append(
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True)
-        )
-        last = "_scaled"
-    return [*stages, VectorAssembler(inputCols=[*hot, last], outputCol="_vector")]
-
-
-def baseline_model(n_train: int, settings: TrainingSettings) -> Pipeline:
-    logistic = LogisticRegression(
-        featuresCol="_vector",
+    return Pipeline(
+        stages=[
+            StringIndexer(
+                inputCols=list(CATEGORICAL_FEATURES), outputCols=indexed, handleInvalid="keep"
+            ),
+            OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
+            VectorAssembler(inputCols=list(NUMERIC_FEATURES), outputCol="_numbers"),
+            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
+            VectorAssembler(inputCols=[*hot, "_scaled"], outputCol=SCALED_VECTOR),
+            VectorAssembler(inputCols=[*hot, "_numbers"], outputCol=VECTOR),
+        ]
+    )
+
+
+def baseline_model(n_train: int, settings: TrainingSettings) -> LogisticRegression:
+    return LogisticRegression(
+        featuresCol=SCALED_VECTOR,
         labelCol=LABEL,
         maxIter=settings.max_iterations,
         regParam=1.0 / max(n_train, 1),
         elasticNetParam=0.0,
         standardization=False,
     )
-    return Pipeline(stages=[*_encoders(scale=True), logistic])
 
 
-def boosted_model(settings: TrainingSettings) -> Pipeline:
-    trees = GBTClassifier(
-        featuresCol="_vector",
+def boosted_model(settings: TrainingSettings) -> GBTClassifier:
+    return GBTClassifier(
+        featuresCol=VECTOR,
         labelCol=LABEL,
         maxIter=settings.trees,
         maxDepth=settings.depth,
@@ -99,7 +97,6 @@ def boosted_model(settings: TrainingSettings) -> Pipeline:
         minInstancesPerNode=settings.rows_per_leaf,
         seed=settings.seed,
     )
-    return Pipeline(stages=[*_encoders(scale=False), trees])
 
 
 def churn_probability() -> Column:
@@ -236,8 +233,8 @@ def train(
 ) -> TrainingResult:
     """Fit both models, keep the one with the larger AUC, register and explain it.
 
-    The split is written once, so every pass of the iterative fits reads
-    columns from storage. Fitted parameters and metric rows are all that
+    The split is written once, and so are the training rows as encoded for both
+    models: every pass of the iterative fits reads vectors from storage. Fitted parameters and metric rows are all that
     reaches the driver.
     """
     spark = features.sparkSession
@@ -254,9 +251,14 @@ def train(
     fitted: dict[str, PipelineModel] = {}
     measured: dict[str, dict[str, float]] = {}
     runs: dict[str, str] = {}
-    for name, pipeline in candidates.items():
+    encoding = encoders().fit(train_rows)
+    encoded = staged(
+        encoding.transform(train_rows).select(LABEL, SCALED_VECTOR, VECTOR), "encoded"
+    )
+    for name, estimator in candidates.items():
         runs[name] = uuid.uuid4().hex
-        fitted[name] = logged(pipeline.fit(train_rows), model_root, runs[name])
+        model = PipelineModel(stages=[*encoding.stages, estimator.fit(encoded)])
+        fitted[name] = logged(model, model_root, runs[name])
         measured[name] = model_metrics(staged(scored(fitted[name], test_rows), "scores"))
     # max() keeps the first of equal models.
     best = max(measured, key=lambda name: measured[name]["auc"] or 0.0)

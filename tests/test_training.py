@@ -2,7 +2,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from renewlens import schemas
+from renewlens import catalog, schemas
 from renewlens.plans import scoring, training
 from renewlens.session import fresh_path
 
@@ -47,6 +47,18 @@ def test_models_find_the_planted_signal(trained):
     assert len({r.run_id for r in rows.values()}) == 2
 
 
+def test_queries_train_with_the_settings_of_the_job():
+    assert catalog.SETTINGS == training.TrainingSettings()
+    assert catalog.SETTINGS.trees == 100
+
+
+def test_encoders_are_fitted_once(trained):
+    root, result = trained
+    stores = [training.PipelineModel.load(f"{root}/_runs/{r.run_id}") for r in result.metrics.collect()]
+    first, second = ([s.uid for s in m.stages[:-1]] for m in stores)
+    assert first == second
+
+
 def test_status_row(trained):
     root, result = trained
     status = result.status.first()
