@@ -12,6 +12,7 @@ from renewlens.llm import (
     duckdb_checks,
     host_reputation,
     language_id,
+    merkle_manifest,
     mixing,
     multi_index,
     order_minhash,
@@ -155,6 +156,24 @@ def op10_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op13_octopus_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf and proof, checked after tampering with some rows."""
+    tampered = _remainder("doc_id", 7) == 0
+    found = merkle_manifest.manifest(
+        _table(spark, folder, "documents"),
+        changed={"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))},
+    )
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle_manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -169,6 +188,7 @@ def queries() -> dict[str, Query]:
             op8_weak_label_quality,
             op9_bottom_sketch_dedup,
             op10_string_kernel_language,
+            op13_octopus_manifest,
         )
     }
 

@@ -98,5 +98,82 @@ FROM results r WHERE NOT EXISTS (
     SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)"""
 
 
+def _field(name: str) -> str:
+    return f"coalesce(concat(strlen({name}::VARCHAR), ':', {name}::VARCHAR), '-')"
+
+
+def _table_crc32() -> str:
+    """Rows (b, c): the CRC of every byte, by the eight steps of its polynomial."""
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    return f"""crc(b, c, k) AS (
+    SELECT range, range, 0 FROM range(256)
+    UNION ALL SELECT b, {step}, k + 1 FROM crc WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS entries FROM crc WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, byte by byte; needs ``crc_table`` in scope."""
+    return f"""xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''),
+                                                lambda z: ascii(z)::BIGINT)),
+        lambda s, z: xor(s // 256, entries[xor(s % 256, z) + 1])))"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE {_table_crc32()},
+hashed AS (
+    SELECT doc_id, coalesce('=' || lang, '-') AS tree,
+           sha256(concat({", ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}))
+               AS leaf,
+           sha256(concat({", ".join(_field(c) for c in ("doc_id", "source", "lang"))},
+               CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 7 = 0
+                    THEN {_field("(n_chars + 1)")} ELSE {_field("n_chars")} END,
+               {_field("text")})) AS changed
+    FROM documents, crc_table),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM hashed),
+nodes(tree, level, place, n, h) AS (
+    SELECT tree, 0, place, n, leaf FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, place // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY place))
+    FROM nodes WHERE n > 1 GROUP BY tree, level, place // 2),
+subroots AS (
+    SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place,
+           count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+tops(level, place, n, h) AS (
+    SELECT 0, place, n, subroot FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY place))
+    FROM tops WHERE n > 1 GROUP BY level, place // 2),
+walk(doc_id, tree, leaf, place, n, level, acc, seen) AS (
+    SELECT doc_id, tree, leaf, place, n, 0, changed, '' FROM leaves
+    UNION ALL
+    SELECT w.doc_id, w.tree, w.leaf, w.place // 2, (w.n + 1) // 2, w.level + 1,
+           sha256(CASE WHEN w.place % 2 = 1 THEN coalesce(s.h, '') || acc
+                       ELSE acc || coalesce(s.h, '') END), seen || coalesce(s.h, '')
+    FROM walk w LEFT JOIN nodes s
+         ON s.tree = w.tree AND s.level = w.level AND s.place = xor(w.place, 1)
+    WHERE w.n > 1),
+upper_walk(doc_id, leaf, subroot, place, n, level, acc, seen) AS (
+    SELECT doc_id, leaf, subroot, u.place, u.n, 0, acc, seen
+    FROM walk w JOIN subroots u USING (tree) WHERE w.n = 1
+    UNION ALL
+    SELECT w.doc_id, w.leaf, w.subroot, w.place // 2, (w.n + 1) // 2, w.level + 1,
+           sha256(CASE WHEN w.place % 2 = 1 THEN coalesce(s.h, '') || acc
+                       ELSE acc || coalesce(s.h, '') END), seen || coalesce(s.h, '')
+    FROM upper_walk w LEFT JOIN tops s ON s.level = w.level AND s.place = xor(w.place, 1)
+    WHERE w.n > 1)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(seen) AS proof_sha256, acc AS folded_root,
+       acc = t.h AS verified
+FROM upper_walk w, (SELECT h FROM tops WHERE n = 1) t WHERE w.n = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_host_reputation": _HOST_REPUTATION, "op3_tool_call_linking": _TOOL_CALLS}
+    return {
+        "op2_host_reputation": _HOST_REPUTATION,
+        "op3_tool_call_linking": _TOOL_CALLS,
+        "op13_octopus_manifest": _MERKLE,
+    }
