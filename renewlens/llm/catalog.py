@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from renewlens.llm import (
     bottom_sketch,
+    conversation_repair,
     duckdb_checks,
     host_reputation,
     language_id,
@@ -156,6 +157,14 @@ def op10_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_four_russians_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged by a checksum and repaired at the least cost."""
+    turns = _table(spark, folder, "conversations")
+    spoilt = conversation_repair.damaged(turns, "conv_id", "turn", "role", "text")
+    found = conversation_repair.repair(spoilt)
+    return conversation_repair.all_conversations(found.conversations, turns)
+
+
 def op13_octopus_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf and proof, checked after tampering with some rows."""
     tampered = _remainder("doc_id", 7) == 0
@@ -188,6 +197,7 @@ def queries() -> dict[str, Query]:
             op8_weak_label_quality,
             op9_bottom_sketch_dedup,
             op10_string_kernel_language,
+            op11_four_russians_repair,
             op13_octopus_manifest,
         )
     }

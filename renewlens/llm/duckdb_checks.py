@@ -171,9 +171,107 @@ SELECT doc_id, leaf, subroot, t.h AS root, sha256(seen) AS proof_sha256, acc AS
 FROM upper_walk w, (SELECT h FROM tops WHERE n = 1) t WHERE w.n = 1"""
 
 
+def _plus(path: str, cost: str, letter: str) -> str:
+    """A path (nine digits of cost, then its edits) made longer by one edit."""
+    more = f"lpad((left({path}, 9)::BIGINT + {cost})::VARCHAR, 9, '0')"
+    return f"({more} || substr({path}, 10) || '{letter}')"
+
+
+_SPACES = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+# Paths to each state before the next row, with rows inserted: states start, s, u, a.
+_INSERTED = f"""
+    SELECT key, p, v0 AS w0, v1 AS w1,
+           least(u, {_plus("a", "3", "I")}) AS w2, a AS w3
+    FROM (SELECT *, least(v3, {_plus("u", "3", "I")}) AS a
+          FROM (SELECT *, least(v2, {_plus("v0", "3", "I")}, {_plus("v1", "3", "I")},
+                                {_plus("v3", "3", "I")}) AS u
+                FROM paths) y) z"""
+
+
+def _to_user(state: str) -> str:
+    kept = f"CASE WHEN r.initial = 'u' AND NOT gone THEN {_plus(state, 'late', 'K')} END"
+    return f"{kept}, CASE WHEN NOT gone THEN {_plus(state, '3 + late', 'R')} END"
+
+
+_REPAIR = f"""
+WITH RECURSIVE {_table_crc32()},
+spoilt AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+           CASE k WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '')
+                  ELSE coalesce(text, ' ') END AS text, k
+    FROM (SELECT *, {_crc32("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")}
+                        % 20 AS k FROM conversations, crc_table) z
+    WHERE k <> 0),
+twice AS (SELECT * FROM spoilt UNION ALL SELECT * FROM spoilt WHERE k = 3),
+placed AS (
+    SELECT coalesce('=' || conv_id, '-') AS key, turn, role, text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS p,
+           rtrim(text, {_SPACES}) AS bare
+    FROM twice),
+faulted AS (
+    SELECT *, left(role, 1) AS initial,
+           CASE WHEN bare = '' THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY p) > 1 THEN 'duplicate'
+                WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+           lead(left(role, 1)) OVER (PARTITION BY key ORDER BY p) AS follows
+    FROM placed),
+judged AS (
+    SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS gone,
+           CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late
+    FROM faulted),
+counts AS (
+    SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (follows IS NOT NULL AND initial || follows NOT IN ('su', 'ua', 'au'))
+               AS illegal,
+           count(*) AS n
+    FROM judged GROUP BY key),
+paths(key, p, v0, v1, v2, v3) AS (
+    SELECT key, 1::BIGINT, '000000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM counts
+    UNION ALL
+    SELECT w.key, w.p + 1, {_plus("w0", "4", "D")},
+           least({_plus("w1", "4", "D")},
+                 CASE WHEN r.initial = 's' AND NOT gone THEN {_plus("w0", "late", "K")} END),
+           least({_plus("w2", "4", "D")}, {_to_user("w0")}, {_to_user("w1")}, {_to_user("w3")}),
+           least({_plus("w3", "4", "D")},
+                 CASE WHEN r.initial = 'a' AND NOT gone THEN {_plus("w2", "late", "K")} END,
+                 CASE WHEN NOT gone THEN {_plus("w2", "3 + late", "R")} END)
+    FROM ({_INSERTED}) w JOIN judged r ON r.key = w.key AND r.p = w.p),
+best AS (
+    SELECT key, left(path, 9)::BIGINT AS cost, substr(path, 10) AS audit
+    FROM (SELECT w.key, least(w0, w3) AS path
+          FROM ({_INSERTED}) w JOIN counts c ON c.key = w.key AND w.p = c.n + 1) z),
+letters AS (
+    SELECT key, i, audit[i] AS letter FROM (SELECT key, audit, unnest(range(1, len(audit) + 1)) AS i
+                                            FROM best) z),
+numbered AS (
+    SELECT *, sum((letter <> 'I')::INT) OVER w AS p, sum((letter <> 'D')::INT) OVER w AS m
+    FROM letters WINDOW w AS (PARTITION BY key ORDER BY i)),
+edited AS (
+    SELECT l.key, i, m, letter, r.role, r.text,
+           bool_or(m = 1 AND letter = 'K' AND initial = 's') OVER (PARTITION BY l.key) AS headed
+    FROM numbered l LEFT JOIN judged r ON r.key = l.key AND r.p = l.p AND letter <> 'I'
+    WHERE letter <> 'D'),
+digests AS (
+    SELECT key, sha256(string_agg(
+        concat(CASE WHEN letter = 'K' THEN role
+                    WHEN (m - headed::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END,
+               ':', CASE WHEN letter = 'I' THEN '' ELSE text END), chr(10) ORDER BY i)) AS digest
+    FROM edited GROUP BY key)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '-') AS key FROM conversations) k
+LEFT JOIN counts USING (key) LEFT JOIN best USING (key) LEFT JOIN digests USING (key)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_host_reputation": _HOST_REPUTATION,
         "op3_tool_call_linking": _TOOL_CALLS,
+        "op11_four_russians_repair": _REPAIR,
         "op13_octopus_manifest": _MERKLE,
     }
