@@ -21,6 +21,7 @@ from renewlens.llm import (
     pitman_yor,
     reachable,
     tool_calls,
+    toxic_spans,
     weak_quality,
 )
 
@@ -165,6 +166,15 @@ def op11_four_russians_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.all_conversations(found.conversations, turns)
 
 
+def op12_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity; learned where the remainder of its id by 5 is not 0."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False))
+    model = toxic_spans.fit(docs, labels.where(~held_out))
+    found = toxic_spans.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
 def op13_octopus_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf and proof, checked after tampering with some rows."""
     tampered = _remainder("doc_id", 7) == 0
@@ -198,6 +208,7 @@ def queries() -> dict[str, Query]:
             op9_bottom_sketch_dedup,
             op10_string_kernel_language,
             op11_four_russians_repair,
+            op12_toxic_spans,
             op13_octopus_manifest,
         )
     }

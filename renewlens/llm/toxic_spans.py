@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renewlens.llm import blocks
@@ -53,7 +53,9 @@ INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 UNKNOWN, NOTHING = -2, -1
 
 
-def tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens(
+    data: np.ndarray, bounds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end of every token, and where each row's tokens begin."""
     if len(data) == 0:
         none = np.zeros(0, np.int64)
@@ -294,7 +296,9 @@ def toxic_words(rows: DataFrame) -> np.ndarray:
     for side, table in zip(("before", "behind"), least):
         places = places.join(table, ["word", side])
     apart = places.where("place = least_before AND place = least_behind")
-    found = apart.groupBy("word").agg(F.count(F.lit(1)).alias("bad"), F.first("good").alias("good"))
+    found = apart.groupBy("word").agg(
+        F.count(F.lit(1)).alias("bad"), F.first("good").alias("good")
+    )
     # Log likelihood ratio of the word's own share of toxic places against everybody's.
     n, share = F.col("bad") + F.col("good"), total[0] / (total[0] + total[1])
     own = F.col("bad") / n
@@ -307,10 +311,10 @@ def toxic_words(rows: DataFrame) -> np.ndarray:
 
 
 def windows(rows: DataFrame, lexicon: np.ndarray) -> DataFrame:
-    """Labelled windows of the training rows: ``words`` and ``labels``, ``WINDOWS`` a row at most.
+    """Labelled windows of the training rows, ``WINDOWS`` a row at most: ``words``, ``labels``.
 
-    Of toxic rows, around words of the lexicon; of clean ones, anywhere. What a toxic row
-    holds besides is not known to be clean, and not learned.
+    Of toxic rows, around words of the lexicon; of clean ones, anywhere, such words
+    first. What a toxic row holds besides is not known to be clean, and not learned.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,13 +330,13 @@ def windows(rows: DataFrame, lexicon: np.ndarray) -> DataFrame:
                     middles = np.arange(a, b)
                     if toxic[begin + row]:
                         middles = middles[bad[a:b]]
-                    middles = middles[np.argsort(order[middles], kind="stable")[:WINDOWS]]
+                    middles = middles[np.lexsort((order[middles], ~bad[middles]))[:WINDOWS]]
                     for m in middles.tolist():
                         span = slice(max(a, m - REACH), min(b, m + REACH + 1))
                         words.append(hashes[span].view(np.int64))
                         labels.append((bad[span] & bool(toxic[begin + row])).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(words, pa.list_(pa.int64())), pa.array(labels, pa.list_(pa.int64()))],
+                    [pa.array(c, pa.list_(pa.int64())) for c in (words, labels)],
                     names=["words", "labels"],
                 )
 
@@ -437,8 +441,3 @@ def score(
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInArrow(run, f"{kept}, score double, predicted int, spans {SPANS}")
-
-
-def learnable(id_col: str, modulus: int, held_out: int) -> Column:
-    """Whether a row may be learned: the checksum of its id leaves another remainder."""
-    return F.crc32(F.col(id_col).cast("string")) % modulus != held_out
