@@ -282,6 +282,17 @@ def oracle_sql() -> dict[str, str]:
         "dq_gold_counts": _rule_counts("gold_mrr_by_plan_industry", "gold", gold_rules),
         "usage_90d": "SELECT * FROM usage_90d",
         "usage_90d_from_daily": "SELECT * FROM usage_90d",
+        "usage_90d_incremental": "SELECT * FROM usage_90d",
+        "stream_ledger_counts": """
+            SELECT 'total_rows' AS metric, count(*) AS row_count FROM usage_events
+            UNION ALL
+            SELECT 'valid_event_id', count(*) FROM usage_events WHERE event_id IS NULL""",
+        "committed_freshness": """
+            SELECT strftime(max(day + to_hours(urgent)), '%Y-%m-%d %H:%M:%S') AS refreshed_at
+            FROM (SELECT CAST(o_orderdate AS DATE) AS day,
+                         count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent
+                  FROM orders GROUP BY 1) z
+            WHERE urgent > 0""",
         "silver_account_health": "SELECT * FROM silver",
         "gold_mrr_by_plan_industry": "SELECT * FROM gold",
         "gold_snapshot": "SELECT * FROM gold",

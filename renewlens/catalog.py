@@ -17,7 +17,7 @@ from renewlens.plans import health, reports, scoring, training
 from renewlens.session import fresh_path, staged
 from renewlens.sources import star_tables as star
 from renewlens.sources import tables
-from renewlens.streaming import bronze
+from renewlens.streaming import bronze, ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +65,7 @@ def _streamed(spark, folder, source, transform, schema, rules, partition_by=())
         transform=lambda df: tables.conform(transform(df), schema),
         partition_by=partition_by,
     )
-    return tables.conform(spark.read.schema(schema).parquet(target), schema)
+    return tables.conform(ledger.committed_rows(spark, target, schema), schema)
 
 
 def bronze_stream_accounts(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,6 +114,62 @@ def usage_90d_from_daily(spark: SparkSession, folder: str) -> DataFrame:
     return health.usage_90d_from_daily(spark.read.parquet(target), star.AS_OF)
 
 
+def _streamed_usage(spark: SparkSession, folder: str) -> str:
+    """Events streamed in two runs, the second with late ones; the sink's folder.
+
+    Every fourth event comes in the second run, whatever its day.
+    """
+    source, target = fresh_path(spark, "arriving-events"), fresh_path(spark, "bronze-events")
+    offsets = fresh_path(spark, "offsets-events")
+    arriving = star.usage_events(spark, folder)
+    late = F.pmod(F.xxhash64("account_id", "event_date"), F.lit(4)) == 0
+
+    def roll_up(rows: DataFrame, query: str, batch: int) -> None:
+        health.append_daily_usage(rows, ledger.batch_folder(f"{target}-daily", query, batch))
+
+    for part in (~late, late):
+        arriving.filter(part).write.mode("append").parquet(source)
+        bronze.append_new(
+            bronze.read_appended(spark, source, arriving.schema),
+            target,
+            offsets,
+            schemas.BRONZE_USAGE_EVENTS_RULES,
+            transform=lambda df: tables.conform(df, schemas.USAGE_EVENTS),
+            partition_by=("event_date",),
+            along=roll_up,
+        )
+    return target
+
+
+def usage_90d_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Through daily rows added batch by batch, late events included, as a refresh does it."""
+    target = _streamed_usage(spark, folder)
+    daily = ledger.committed_rows(
+        spark, f"{target}-daily", health.daily_schema(spark), ledger_of=target
+    )
+    return health.usage_90d_from_daily(daily, star.AS_OF)
+
+
+def stream_ledger_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations of streamed events as the ledger has them, over all batches."""
+    target = _streamed_usage(spark, folder)
+    counts = ledger.logged_counts(spark, target)
+    return counts.groupBy("metric").agg(F.sum("row_count").alias("row_count"))
+
+
+def committed_freshness(spark: SparkSession, folder: str) -> DataFrame:
+    """Last complete batch of a ledger made of the orders: a batch a day, urgent ones complete."""
+    orders = star.table(spark, folder, "orders")
+    planted = orders.groupBy(F.to_timestamp(F.col("o_orderdate").cast("date")).alias("day")).agg(
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent")
+    )
+    complete = planted.filter("urgent > 0").select(
+        (F.col("day") + F.make_dt_interval(hours=F.col("urgent").cast("int"))).alias("committed_at")
+    )
+    last = ledger.committed_freshness(complete)
+    return last.select(F.date_format("refreshed_at", "yyyy-MM-dd HH:mm:ss").alias("refreshed_at"))
+
+
 def _joined(spark: SparkSession, folder: str, subscriptions: DataFrame) -> DataFrame:
     joined = health.account_health(
         subscriptions, bronze_accounts(spark, folder), usage_90d(spark, folder)
@@ -143,10 +199,16 @@ def _published(spark: SparkSession, df: DataFrame, schema, rules) -> tuple[str,
 
 
 def gold_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The published gold table, copied to a plain table."""
+    """The published gold table, copied under another name as the refresh does it.
+
+    Replaced once, as every refresh but the first does.
+    """
     gold = health.segment_revenue(silver_account_health(spark, folder))
     view, _ = _published(spark, gold, schemas.GOLD, schemas.GOLD_RULES)
-    return tables.snapshot_files(spark, view, fresh_path(spark, "gold-snapshot"))
+    copy, root = f"{view}_snapshot", fresh_path(spark, "gold-snapshot")
+    tables.overwrite_table(spark.range(1).select(F.col("id").alias("older")), copy, root)
+    tables.snapshot_table(spark, view, copy, root)
+    return spark.table(copy)
 
 
 def published_silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,11 +240,11 @@ def observed_counts(spark: SparkSession, folder: str) -> DataFrame:
 def appended_twice(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts appended to a table in two batches, then counted by plan."""
     accounts = bronze_accounts(spark, folder)
-    target = fresh_path(spark, "appended")
+    target = f"appended_{uuid.uuid4().hex[:12]}"
     early = F.col("account_idx") % 2 == 0
-    tables.append_files(accounts.filter(early), target)
-    tables.append_files(accounts.filter(~early), target)
-    stored = tables.conform(spark.read.schema(schemas.ACCOUNTS).parquet(target), schemas.ACCOUNTS)
+    tables.append_table(accounts.filter(early), target)
+    tables.append_table(accounts.filter(~early), target)
+    stored = tables.conform(spark.table(target), schemas.ACCOUNTS)
     return stored.groupBy("plan_type").agg(
         F.count(F.lit(1)).alias("accounts"), F.count_distinct("account_id").alias("different")
     )
@@ -461,6 +523,9 @@ def queries() -> dict[str, Query]:
         injected_violations,
         usage_90d,
         usage_90d_from_daily,
+        usage_90d_incremental,
+        stream_ledger_counts,
+        committed_freshness,
         silver_account_health,
         gold_mrr_by_plan_industry,
         gold_snapshot,

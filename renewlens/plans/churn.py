@@ -7,13 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from renewlens import schemas
 from renewlens.plans import scoring, training
 from renewlens.plans.refresh import FEATURE_TABLE, RefreshConfig
-from renewlens.sources.tables import overwrite_table
+from renewlens.sources.tables import overwrite_table, prune_versions
 
 
 def model_root(config: RefreshConfig) -> str:
     return config.folder("_models")
 
 
+def replace(spark: SparkSession, config: RefreshConfig, name: str, rows: DataFrame) -> None:
+    """A result table as a new version; the old one is served until it is complete."""
+    overwrite_table(rows, config.table(name), config.target_root)
+    prune_versions(spark, config.table(name), config.target_root, config.keep_versions)
+
+
 def train_job(
     spark: SparkSession,
     config: RefreshConfig,
@@ -22,9 +28,12 @@ def train_job(
     """Train on the feature table, write the result tables, return the new model version."""
     features = spark.table(config.table(FEATURE_TABLE))
     result = training.train(features, model_root(config), settings)
-    overwrite_table(result.metrics, config.table("churn_model_metrics"))
-    overwrite_table(result.importance, config.table("churn_feature_importance"))
-    overwrite_table(result.status, config.table("churn_training_status"))
+    for name, rows in (
+        ("churn_model_metrics", result.metrics),
+        ("churn_feature_importance", result.importance),
+        ("churn_training_status", result.status),
+    ):
+        replace(spark, config, name, rows)
     return result.status.first().version
 
 
@@ -32,5 +41,5 @@ def score_job(spark: SparkSession, config: RefreshConfig, version: int) -> DataF
     """Score the current accounts with a registered version and store the risk list."""
     model = training.load_model(model_root(config), schemas.REGISTERED_MODEL, version)
     risks = scoring.score_accounts(spark.table(config.table(FEATURE_TABLE)), model)
-    overwrite_table(scoring.ranked(risks), config.table("account_churn_scores"))
+    replace(spark, config, "account_churn_scores", scoring.ranked(risks))
     return spark.table(config.table("account_churn_scores"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from renewlens.functions import exact_sum, exact_total
 from renewlens.functions.columns import day, joined_total
 from renewlens.operators.skew import Layout, layout_for
-from renewlens.schemas import SILVER, USAGE_WINDOW_DAYS
+from renewlens.schemas import SILVER, USAGE_EVENTS, USAGE_WINDOW_DAYS
 
 AsOf = datetime.date | str | None
 
@@ -62,6 +63,20 @@ def write_daily_usage(events: DataFrame, target: str, since: AsOf = None) -> Non
     )
 
 
+def daily_schema(spark: SparkSession) -> StructType:
+    return daily_usage(spark.createDataFrame([], USAGE_EVENTS)).schema
+
+
+def append_daily_usage(events: DataFrame, folder: str) -> None:
+    """The daily rows of one batch of events, under the batch's own folder.
+
+    A day may have rows of many batches, which add up; so a late event costs a row, not
+    its day.
+    """
+    daily = daily_usage(events).hint("rebalance", "event_date")
+    daily.write.mode("overwrite").partitionBy("event_date").parquet(folder)
+
+
 def usage_90d_from_daily(daily: DataFrame, as_of: AsOf = None) -> DataFrame:
     """``usage_90d`` from day rows instead of events."""
     return (

@@ -4,27 +4,39 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from renewlens import schemas
 from renewlens.operators import arrival
-from renewlens.operators.quality import Expectation, ExpectationFailed
+from renewlens.operators.quality import Expectation
 from renewlens.plans.features import account_features
-from renewlens.plans.health import account_health, segment_revenue, usage_90d
+from renewlens.plans.health import (
+    account_health,
+    append_daily_usage,
+    daily_schema,
+    segment_revenue,
+    usage_90d_from_daily,
+)
 from renewlens.sources.tables import (
+    Publication,
     append_table,
     conform,
+    finish_publications,
     has_files,
     point_view,
     prune_versions,
     publish,
+    publish_all,
     quality_log,
     snapshot_table,
 )
+from renewlens.streaming import ledger
 from renewlens.streaming.bronze import append_new, read_appended_table
 
 SILVER_TABLE = "silver_account_health"
@@ -32,6 +44,7 @@ GOLD_TABLE = "gold_mrr_by_plan_industry"
 SNAPSHOT_TABLE = "app_gold_mrr_by_plan_industry"
 FEATURE_TABLE = "account_features"
 QUALITY_LOG = "data_quality_log"
+DAILY_USAGE = "daily_usage"
 
 
 @dataclass(frozen=True)
@@ -60,7 +73,6 @@ class BronzeTable:
     schema: StructType
     rules: tuple[Expectation, ...]
     partition_by: tuple[str, ...] = ()
-    files_per_partition: int = 0
 
     @property
     def target(self) -> str:
@@ -76,7 +88,6 @@ BRONZE_TABLES = (
         schemas.USAGE_EVENTS,
         schemas.BRONZE_USAGE_EVENTS_RULES,
         ("event_date",),
-        files_per_partition=32,
     ),
 )
 
@@ -114,75 +125,123 @@ def append_batch(
     return first
 
 
-def ingest(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> dict[str, int]:
-    """Append the new source rows to a bronze folder and show it as a table."""
+def ingest(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> None:
+    """Append the new source rows to a bronze folder and show it as a table.
+
+    Usage events are also added up by account and day, batch by batch: a late event
+    makes one more row of its day, and no day is read again.
+    """
     folder = config.folder(table.target)
-    counts = append_new(
+    daily = config.folder(DAILY_USAGE)
+
+    def roll_up(rows: DataFrame, query: str, batch: int) -> None:
+        append_daily_usage(rows, ledger.batch_folder(daily, query, batch))
+
+    append_new(
         read_appended_table(spark, config.source(table.name)),
         folder,
         config.folder(f"_checkpoints/{table.target}"),
         table.rules,
         transform=lambda df: conform(df, table.schema),
         partition_by=table.partition_by,
-        files_per_partition=table.files_per_partition,
+        along=roll_up if table.name == "usage_events" else None,
     )
-    if not has_files(spark, folder):
+    if has_files(spark, folder):
+        ledger.point_committed_view(spark, config.table(table.target), folder, table.schema)
+    else:
         # A view over no files has no schema: until rows arrive it shows an empty table.
-        folder = config.folder(f"_empty/{table.target}")
-        spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
-    point_view(spark, config.table(table.target), folder, table.schema)
-    return counts
+        empty = config.folder(f"_empty/{table.target}")
+        spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(empty)
+        point_view(spark, config.table(table.target), empty, table.schema)
+
+
+def pending_counts(
+    spark: SparkSession, config: RefreshConfig, table: BronzeTable
+) -> dict[str, dict[str, int]]:
+    """Counts by batch of complete batches that the quality log does not know yet.
+
+    Those of a run that died before it wrote its log are among them.
+    """
+    counts = ledger.logged_counts(spark, config.folder(table.target))
+    log = config.table(QUALITY_LOG)
+    if spark.catalog.tableExists(log):
+        known = spark.table(log).filter(F.col("table_name") == table.target)
+        counts = counts.join(known.select("batch").distinct(), "batch", "anti")
+    found: dict[str, dict[str, int]] = {}
+    # A handful of numbers per micro-batch since the last log.
+    for row in counts.collect():
+        found.setdefault(row.batch, {})[row.metric] = row.row_count
+    return found
 
 
 def read_bronze(spark: SparkSession, config: RefreshConfig, table: BronzeTable) -> DataFrame:
-    folder = config.folder(table.target)
-    if not has_files(spark, folder):
-        return spark.createDataFrame([], table.schema)
-    return spark.read.schema(table.schema).parquet(folder)
+    return ledger.committed_rows(spark, config.folder(table.target), table.schema)
+
+
+def read_daily_usage(spark: SparkSession, config: RefreshConfig) -> DataFrame:
+    """Usage by account, day and batch, for the complete batches of the events."""
+    events = config.folder("bronze_usage_events")
+    return ledger.committed_rows(spark, config.folder(DAILY_USAGE), daily_schema(spark), events)
 
 
 def refresh(spark: SparkSession, config: RefreshConfig) -> dict[str, dict[str, int]]:
     """Run all layers; returns the violation counts per table.
 
-    Stops at a broken FAIL rule with the published tables unchanged. The counts of a
-    table are logged as soon as they exist, those of a failing one included: what a
-    stream has taken is counted in the log of the run that took it.
+    Stops at a broken FAIL rule, of silver or of gold, with both published tables
+    unchanged. The counts of a table are logged as soon as they exist, those of a
+    failing one included; those of a stream batch by batch, each batch once, whichever
+    run took it.
     """
     run_id = uuid.uuid4().hex
     metrics: dict[str, dict[str, int]] = {}
+    finish_publications(spark, config.target_root)
 
-    def log(name: str, counts: dict[str, int]) -> None:
-        metrics[name] = counts
-        append_table(quality_log(spark, {name: counts}, run_id), config.table(QUALITY_LOG))
-
-    def published(name: str, *args) -> None:
-        try:
-            log(name, publish(args[0], config.table(name), config.target_root, *args[1:]))
-        except ExpectationFailed as failure:
-            log(name, failure.metrics)
-            raise
+    def log(name: str, counts: dict[str, int], batch: str | None = None) -> None:
+        rows = quality_log(spark, {name: counts}, run_id, batch)
+        append_table(rows, config.table(QUALITY_LOG))
 
     for t in BRONZE_TABLES:
-        log(t.target, ingest(spark, config, t))
-    accounts, subscriptions, events = (read_bronze(spark, config, t) for t in BRONZE_TABLES)
-
-    health = account_health(subscriptions, accounts, usage_90d(events, config.as_of))
-    published(
-        SILVER_TABLE,
-        health,
-        schemas.SILVER,
-        schemas.SILVER_RULES,
-        "Subscriptions with account attributes and recent usage",
-    )
-    published(
-        GOLD_TABLE,
-        segment_revenue(spark.table(config.table(SILVER_TABLE))),
-        schemas.GOLD,
-        schemas.GOLD_RULES,
-        "Revenue and accounts by plan and industry",
+        ingest(spark, config, t)
+        total = Counter({"total_rows": 0, **{rule.name: 0 for rule in t.rules}})
+        batches = pending_counts(spark, config, t)
+        for batch, counts in batches.items():
+            log(t.target, counts, batch)
+            total.update(counts)
+        if not batches:
+            log(t.target, dict(total))
+        metrics[t.target] = dict(total)
+    accounts, subscriptions, _ = (read_bronze(spark, config, t) for t in BRONZE_TABLES)
+    usage = usage_90d_from_daily(read_daily_usage(spark, config), config.as_of)
+    silver, gold = config.table(SILVER_TABLE), config.table(GOLD_TABLE)
+
+    def seen(table: str, counts: dict[str, int]) -> None:
+        name = table.split(".")[-1]
+        metrics[name] = counts
+        log(name, counts)
+
+    publish_all(
+        spark,
+        [
+            Publication(
+                silver,
+                lambda _: account_health(subscriptions, accounts, usage),
+                schemas.SILVER,
+                schemas.SILVER_RULES,
+                "Subscriptions with account attributes and recent usage",
+            ),
+            Publication(
+                gold,
+                lambda staged: segment_revenue(staged[silver]),
+                schemas.GOLD,
+                schemas.GOLD_RULES,
+                "Revenue and accounts by plan and industry",
+            ),
+        ],
+        config.target_root,
+        seen,
     )
-    snapshot_table(spark, config.table(GOLD_TABLE), config.table(SNAPSHOT_TABLE))
-    for name in (SILVER_TABLE, GOLD_TABLE):
+    snapshot_table(spark, gold, config.table(SNAPSHOT_TABLE), config.target_root)
+    for name in (SILVER_TABLE, GOLD_TABLE, SNAPSHOT_TABLE):
         prune_versions(spark, config.table(name), config.target_root, config.keep_versions)
     return metrics
 

@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from renewlens.operators.evaluation import confusion_metrics, roc_auc
+from renewlens.operators.evaluation import champion, confusion_metrics, roc_auc
 from renewlens.operators.ranking import dense_index
 from renewlens.plans.features import with_split
 from renewlens.schemas import (
@@ -32,6 +32,7 @@ from renewlens.schemas import (
     SPLIT_SEED,
 )
 from renewlens.session import staged
+from renewlens.sources.tables import claim
 
 LABEL, SCORE = "is_churned", "_score"
 SCALED_VECTOR, VECTOR = "_scaled_vector", "_vector"
@@ -200,9 +201,16 @@ def model_versions(spark: SparkSession, root: str, name: str) -> list[int]:
 
 
 def register_model(spark: SparkSession, model: PipelineModel, root: str, name: str) -> int:
-    """Save under the next version. Saving never replaces an existing version."""
+    """Save under the next version, which is claimed first.
+
+    Of registrations at the same time each gets a version of its own; no existing one
+    is ever replaced. A registration that dies leaves its version out.
+    """
+    folder = f"{root.rstrip('/')}/{name}"
     version = max(model_versions(spark, root, name), default=0) + 1
-    model.write().save(f"{root.rstrip('/')}/{name}/v{version}")
+    while not claim(spark, f"{folder}/_claims/v{version}"):
+        version += 1
+    model.write().save(f"{folder}/v{version}")
     return version
 
 
@@ -234,8 +242,8 @@ def train(
     """Fit both models, keep the one with the larger AUC, register and explain it.
 
     The split is written once, and so are the training rows as encoded for both
-    models: every pass of the iterative fits reads vectors from storage. Fitted parameters and metric rows are all that
-    reaches the driver.
+    models: every pass of the iterative fits reads vectors from storage. Fitted
+    parameters and metric rows are all that reaches the driver.
     """
     spark = features.sparkSession
     split = staged(with_split(features), "split")
@@ -260,8 +268,11 @@ def train(
         model = PipelineModel(stages=[*encoding.stages, estimator.fit(encoded)])
         fitted[name] = logged(model, model_root, runs[name])
         measured[name] = model_metrics(staged(scored(fitted[name], test_rows), "scores"))
-    # max() keeps the first of equal models.
-    best = max(measured, key=lambda name: measured[name]["auc"] or 0.0)
+    areas = spark.createDataFrame(
+        [(k, name, measured[name]["auc"]) for k, name in enumerate(candidates)],
+        "position int, model string, auc double",
+    )
+    best = champion(areas).first().model
 
     version = register_model(spark, fitted[best], model_root, registered_name)
     columns = ("auc", "accuracy", "precision", "recall", "f1")
