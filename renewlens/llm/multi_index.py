@@ -7,11 +7,14 @@ cells seen hold enough vectors; these are reranked by the exact inner product of
 original vectors in double precision.
 
 Equal vectors are indexed once, with the smallest ids that can be among anyone's
-nearest, so a large group of copies is one entry. Index and queries are cut into
-blocks of bounded size that meet by the centroid of the first half (an ordinary join,
-which adaptive execution may split); a task keeps the best of each query only.
+nearest, so a large group of copies is one entry. Queries are dealt in packs of bounded
+size, the index in blocks that come to every pack which looks into them; the task of a
+pack keeps the best of each query and writes them once.
 
 Centroids are fitted on at most ``SAMPLE`` different vectors; all vectors are indexed.
+The same settings hold at every size. Vectors without structure need many cells: with
+``3 * sqrt(n)`` centroids a half (``most_centroids`` at most), 60 % of the vectors hold
+0.95 or more of the nearest.
 
 Vectors that are NULL, zero, without components, with NULL or non-finite components,
 or of another length than most (the longest of equally frequent lengths) take no
@@ -40,15 +43,15 @@ SAMPLE = 16384
 class Settings:
     neighbours: int = 20
     share: float = 0.6  # of the vectors, to be seen by a query before it stops
-    least: int = 4096  # vectors seen at any rate
+    least: int = 0  # vectors seen at any rate
     rounds: int = 10  # of the centroids' fit
     most_centroids: int = 128
-    index_rows: int = 1024  # vectors in a block
-    query_rows: int = 256
+    index_rows: int = 4096  # vectors in a block
+    query_rows: int = 1024
     seed: int = 17
 
     def centroids(self, vectors: int) -> int:
-        return max(1, min(self.most_centroids, int(vectors**0.4)))
+        return max(1, min(self.most_centroids, int(3 * vectors**0.5)))
 
 
 def usable(vector: Column) -> Column:
@@ -204,54 +207,63 @@ def search(
     population = np.zeros((k, k), np.int64)
     for row in located.groupBy("first", "second").count().collect():  # k * k rows at most
         population[row["first"], row["second"]] = row["count"]
-    enough = max(settings.least, math.ceil(settings.share * total))
+    # A query leaves itself out; all candidates are seen where they are so few.
+    enough = max(settings.least, top + 1, math.ceil(settings.share * total))
+
+    # Blocks of neighbouring centroids; a centroid with too many vectors is cut by hash.
+    held = population.sum(1)
+    pieces = np.maximum(1, -(-held // settings.index_rows))
+    shard = (np.cumsum(held) - held) // settings.index_rows
+
+    def of_first(values: np.ndarray) -> Column:
+        return F.element_at(F.array(*map(F.lit, values.tolist())), F.col("first") + 1)
 
-    pieces = np.maximum(1, -(-population.sum(1) // settings.index_rows)).tolist()
-    chunks = F.element_at(F.array(*map(F.lit, pieces)), F.col("first") + 1)
     index = _blocks(
-        located.withColumn("chunk", F.pmod(F.xxhash64("key"), chunks)),
-        ["first", "chunk"],
-        ["key", "least_id", "second", "vector"],
+        located.withColumn("shard", of_first(shard)).withColumn(
+            "chunk", F.pmod(F.xxhash64("key"), of_first(pieces))
+        ),
+        ["shard", "chunk"],
+        ["key", "least_id", "first", "second", "vector"],
     )
 
     asked = rows.where("is_query").select(
         F.col("id").alias("query_id"), F.xxhash64("vector").alias("key"), "vector"
     )
     questions = asked.groupBy("key").agg(F.any_value("vector").alias("vector"))
-    parts = max(1, math.ceil(asked.count() / settings.query_rows))
+    # As many packs as the queries need, or as tasks can run: more only share out work.
+    asking = asked.count()
+    parallel = min(math.ceil(asking / 64), spark.sparkContext.defaultParallelism)
+    parts = max(1, math.ceil(asking / settings.query_rows), parallel)
     packs = _blocks(
         questions.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(parts))),
         ["pack"],
         ["key", "vector"],
-    )
+    ).repartition(parts, "pack")
 
     def probe(batches):
         for batch in batches:
             for r in range(batch.num_rows):
                 keys = batch.column(1)[r].values.to_numpy()
                 table = _matrix(batch.column(2).slice(r, 1), width)
-                seen = np.zeros((k, len(keys), k), bool)
+                seen = np.zeros((len(keys), k * k), bool)
                 for q, query in enumerate(table):
-                    for i, j in walk(query, book, population, enough):
-                        seen[i, q, j] = True
-                for i in range(k):
-                    on = np.flatnonzero(seen[i].any(1))
-                    if len(on):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([i], pa.int32()),
-                                pa.array([keys[on]], pa.list_(pa.int64())),
-                                pa.array(
-                                    [table[on].astype(np.float32).ravel()], pa.list_(pa.float32())
-                                ),
-                                pa.array([np.packbits(seen[i][on], axis=1).tobytes()], pa.binary()),
-                            ],
-                            names=["first", "queries", "questions", "seen"],
-                        )
+                    cells = walk(query, book, population, enough)
+                    seen[q, [i * k + j for i, j in cells]] = True
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(r, 1),
+                        pa.array([keys], pa.list_(pa.int64())),
+                        pa.array([table.astype(np.float32).ravel()], pa.list_(pa.float32())),
+                        pa.array([np.packbits(seen, axis=1).tobytes()], pa.binary()),
+                    ],
+                    names=["pack", "queries", "questions", "seen"],
+                )
 
     probes = packs.mapInArrow(
-        probe, "first int, queries array<long>, questions array<float>, seen binary"
+        probe, "pack long, queries array<long>, questions array<float>, seen binary"
     )
+    every_pack = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
+
     def rerank(batches):
         best = _Best(top + 1)
         for batch in batches:
@@ -259,14 +271,19 @@ def search(
             for r in range(batch.num_rows):
                 keys = column["key"][r].values.to_numpy()
                 least = column["least_id"][r].values.to_numpy()
-                second = column["second"][r].values.to_numpy()
+                first = column["first"][r].values.to_numpy().astype(np.int64)
+                cell = first * k + column["second"][r].values.to_numpy()
                 queries = column["queries"][r].values.to_numpy()
+                bits = np.frombuffer(column["seen"][r].as_py(), np.uint8)
+                bits = bits.reshape(len(queries), -1)
+                # The bit of each vector's cell, for every query at once.
+                seen = (bits[:, cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
+                if not seen.any():
+                    continue
                 scores = _matrix(column["questions"].slice(r, 1), width) @ (
                     _matrix(column["vector"].slice(r, 1), width).T
                 )
-                bits = np.frombuffer(column["seen"][r].as_py(), np.uint8)
-                seen = np.unpackbits(bits.reshape(len(queries), -1), axis=1)[:, :k].astype(bool)
-                scores[~seen[:, second]] = -np.inf
+                scores[seen == 0] = -np.inf
                 best.add(queries, keys, least, scores)
                 if best.full():
                     yield best.drain(names)
@@ -276,10 +293,12 @@ def search(
     near = joined_blocks(
         index,
         probes,
-        ["first"],
+        ["pack"],
         rerank,
         f"query long, key long, least_id {kind}, score double",
         "ann-near",
+        # Dealt by pack even where the packs are small, so that each is in one task.
+        spread=lambda blocks: blocks.withColumn("pack", every_pack).hint("merge"),
     )
     best = Window.partitionBy("query").orderBy(F.desc("score"), "least_id")
     nearest = (

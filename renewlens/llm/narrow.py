@@ -20,12 +20,19 @@ def _table(spark: SparkSession, table: DataFrame) -> DataFrame:
 
 
 def joined_blocks(
-    left: DataFrame, right: DataFrame, on: list[str], run: Callable, schema: str, name: str
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    run: Callable,
+    schema: str,
+    name: str,
+    spread: Callable[[DataFrame], DataFrame] = lambda blocks: blocks,
 ) -> DataFrame:
     """``run`` (as in mapInArrow) over the inner join of two tables of blocks, written.
 
     The size of Arrow batches is a setting of the session. The join runs in a session
-    of its own, so that the caller's keeps its settings.
+    of its own, so that the caller's keeps its settings. ``spread`` gives the blocks of
+    the left side, as written once, the columns on which they meet the right side.
     """
     spark = left.sparkSession
     own = spark.newSession()
@@ -33,5 +40,5 @@ def joined_blocks(
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         own.conf.set(key, spark.conf.get(key))
     left, right = staged(left, f"{name}-left"), staged(right, f"{name}-right")
-    met = _table(own, left).join(_table(own, right), on)
+    met = spread(_table(own, left)).join(_table(own, right), on)
     return _table(spark, staged(met.mapInArrow(run, schema), name))
