@@ -93,7 +93,8 @@ TOOLS = {
 def op3_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
     """User turns as calls of a tool, assistant turns as their results.
 
-    A call uses the result that stands on the turn before it, if there is one.
+    A call uses the result that stands on the turn before it, if there is one. Turns of
+    other roles are carried through.
     """
     turns = _table(spark, folder, "conversations")
 
@@ -111,7 +112,11 @@ def op3_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
     results = turns.where("role = 'assistant'").select(
         "conv_id", "turn", call_id(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
     )
-    return tool_calls.link(calls, results, TOOLS)
+    of_neither = ~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))
+    others = turns.where(of_neither).select(
+        "conv_id", "turn", "role", F.col("text").alias("content")
+    )
+    return tool_calls.link(calls, results, TOOLS, others)
 
 
 def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -78,9 +78,12 @@ WITH calls AS (
 results AS (
     SELECT conv_id, turn, concat(conv_id, '-', turn - 1) AS call_id, text
     FROM conversations WHERE role = 'assistant'),
-answers AS (
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, text)
-                                 AS rn FROM results) z WHERE rn = 1)
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, text) AS rn,
+           EXISTS (SELECT 1 FROM calls c
+                   WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id) AS known
+    FROM results r),
+answers AS (SELECT * FROM ranked WHERE rn = 1)
 SELECT c.conv_id, c.call_id, c.turn, 'answer' AS tool,
        CASE WHEN coalesce(length(c.text), 0) < 1 OR c.turn < 0 THEN 'invalid'
             WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'ok' END AS status,
@@ -91,11 +94,16 @@ SELECT c.conv_id, c.call_id, c.turn, 'answer' AS tool,
               coalesce(to_json(a.text)::VARCHAR, 'null'), '}') AS json
 FROM calls c LEFT JOIN answers a USING (conv_id, call_id)
 UNION ALL
-SELECT r.conv_id, r.call_id, r.turn, NULL, 'orphan', 0::INT, r.turn,
-       concat('{"arguments":null,"id":', to_json(r.call_id), ',"name":null,"result":',
-              coalesce(to_json(r.text)::VARCHAR, 'null'), '}')
-FROM results r WHERE NOT EXISTS (
-    SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)"""
+SELECT conv_id, call_id, turn, NULL, CASE WHEN known THEN 'extra_result' ELSE 'orphan' END,
+       0::INT, turn,
+       concat('{"arguments":null,"id":', to_json(call_id), ',"name":null,"result":',
+              coalesce(to_json(text)::VARCHAR, 'null'), '}')
+FROM ranked WHERE rn > 1 OR NOT known
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, 'other', 0::INT, NULL,
+       concat('{"content":', coalesce(to_json(text)::VARCHAR, 'null'), ',"role":',
+              coalesce(to_json(role)::VARCHAR, 'null'), '}')
+FROM conversations WHERE coalesce(role NOT IN ('user', 'assistant'), true)"""
 
 
 def _field(name: str) -> str:

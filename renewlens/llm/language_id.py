@@ -32,10 +32,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renewlens.llm import blocks
+from renewlens.llm.sampling import least_marks_by, row_mark
+from renewlens.session import staged
 
 MAX_RUN = 3
 WIDTH = 8192
@@ -141,16 +143,17 @@ def has_letter(column: pa.Array) -> np.ndarray:
     return found
 
 
-def _training_rows(labelled: DataFrame, id_col: str, lang_col: str) -> DataFrame:
-    """(id, language) of the sample: an equal share of each language, in hash order."""
-    order = Window.partitionBy("__lang").orderBy(F.xxhash64("__id"), "__id")
-    rows = labelled.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang")).where(
-        F.col("__lang").isNotNull() & F.col("__id").isNotNull()
-    )
+def _training_rows(rows: DataFrame) -> DataFrame:
+    """Marks of the sample: an equal share of each language, in hash order.
+
+    A mark stands for id, text and language, so a text is learned under its own row's
+    language and the bound holds however often an id comes again. With more languages
+    than the sample has room for, those with the least marks are learned.
+    """
     languages = max(1, rows.select("__lang").distinct().count())
     quota = max(2, SAMPLE // languages)
-    ranked = rows.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= quota)
-    return ranked.groupBy("__id").agg(F.min("__lang").alias("__lang")).limit(SAMPLE)
+    marks = least_marks_by(rows, "__lang", quota).select("mark")
+    return marks.orderBy("mark").limit(SAMPLE)
 
 
 def fit(
@@ -163,12 +166,15 @@ def fit(
 
     Only presence bits of the bounded sample reach the driver.
     """
-    sample = _training_rows(labelled, id_col, lang_col)
-    texts = labelled.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(
-        F.col("__text").isNotNull()
-    )
-    # At most SAMPLE ids, hence a bounded broadcast.
-    chosen = texts.join(F.broadcast(sample), "__id")
+    texts = labelled.select(
+        F.col(id_col).alias("__id"),
+        F.col(lang_col).alias("__lang"),
+        F.col(text_col).alias("__text"),
+        row_mark(id_col, lang_col, text_col).alias("mark"),
+    ).where("__id IS NOT NULL AND __lang IS NOT NULL AND __text IS NOT NULL")
+    # At most SAMPLE marks, hence a bounded broadcast; equal rows are learned once.
+    sample = staged(_training_rows(texts.select("__lang", "mark")), "language-sample")
+    chosen = texts.join(F.broadcast(sample), "mark").dropDuplicates(["mark"])
 
     def encode(batches):
         for whole in batches:

@@ -4,9 +4,10 @@ Leaves are (domain, language, source). A node's share of its parent's budget
 follows its weight. A node whose supply (tokens times ``max_epochs``) is below
 its share takes all it has, and what is missing goes to its siblings in
 proportion to their weights; only what all siblings together cannot take is
-missing one level higher, where the ancestor's own siblings make up for it. As
-the supply of a node is known to be the sum of its leaves', one pass from the
-root down gives exactly this.
+missing one level higher, where the ancestor's own siblings make up for it. The
+supply of a node is the sum of its children's that have a weight: it is added up
+from the leaves, and then one pass from the root down gives exactly this. Shares
+are cut to whole tokens, so up to a token a sibling stays unused.
 
 A leaf with budget B is read in seeded epochs: each epoch is an order of its
 documents by a hash of seed, epoch and id; whole epochs first, then the prefix
@@ -102,19 +103,27 @@ def budgets(leaves: DataFrame, levels: Sequence[str], mix: Mix) -> DataFrame:
 
     The tree has one row a node: bounded by the number of different sources.
     """
-    tree = leaves.where("tokens > 0").withColumn("supply", F.col("tokens") * mix.max_epochs)
+    tree = leaves.where("tokens > 0").select(
+        *levels, "tokens", (F.col("tokens") * mix.max_epochs).alias("supply")
+    )
     total = tree.agg(
         F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * F.lit(mix.budget_share)).alias("parent_budget")
     )
-    above: DataFrame | None = None
-    for depth in range(1, len(levels) + 1):
+    # From the leaves up: what of a node can be used, and its weight.
+    by_depth: dict[int, DataFrame] = {}
+    for depth in range(len(levels), 0, -1):
         path = list(levels[:depth])
         nodes = tree.groupBy(*path).agg(
             F.sum("tokens").alias("tokens"), F.sum("supply").alias("supply")
         )
-        nodes = nodes.withColumn("weight", _weight(mix, path, "tokens")).withColumn(
-            "path_key", F.to_json(F.struct(*path))
-        )
+        nodes = nodes.withColumn("weight", _weight(mix, path, "tokens"))
+        by_depth[depth] = nodes.withColumn("path_key", F.to_json(F.struct(*path)))
+        usable = F.when(F.col("weight") > 0, F.col("supply")).otherwise(F.lit(0))
+        tree = nodes.withColumn("supply", usable)
+    above: DataFrame | None = None
+    for depth in range(1, len(levels) + 1):
+        path = list(levels[:depth])
+        nodes = by_depth[depth]
         if above is None:
             nodes = nodes.join(F.broadcast(total))  # one row
         else:

@@ -8,16 +8,19 @@ calls that are left over in the end wait for each other in a circle. Sorting by
 (conversation, ``stage``, ``turn``) is a topological order; no conversation is
 gathered in one task for it.
 
-Arguments are checked against the tool's schema and written with sorted keys and
-no blanks.
+Arguments are checked against the tool's schema and written with sorted keys, no
+blanks, and one text for every number: ``1e2``, ``100`` and ``100.0`` are ``100``, and
+all of them integers.
 
 Status of a call: ``duplicate`` (its identifier was used on an earlier turn),
 ``unknown_tool``, ``invalid`` (no JSON object, or against the schema), ``circular``,
-``unanswered``, else ``ok``; the first that applies. A result without a call is
-``orphan``. The earliest result counts, then the least in text order. Named calls
-that do not exist are ignored. Rows without conversation or identifier are
-``orphan`` results, or calls that are never answered. Equal rows are duplicates of
-each other but for one; NULL texts are NULL in the JSON.
+``unanswered``, else ``ok``; the first that applies. The earliest result is the call's,
+then the least in text order; every other result is a row of its own, ``extra_result``
+if its call is known, else ``orphan``. Turns that are neither call nor result are
+carried through as ``other``. So no row is lost: calls, results that are no call's, and
+others come out once each. Named calls that do not exist are ignored. Rows without
+conversation or identifier are ``orphan`` results, or calls that are never answered.
+Equal rows are duplicates of each other but for one; NULL texts are NULL in the JSON.
 
 DataFrame functions only.
 """
@@ -44,17 +47,47 @@ class Argument:
 
 
 Schema = Mapping[str, Argument]
-_KINDS = {
-    "string": r"^STRING$",
-    "integer": r"^(BIGINT|DECIMAL\([0-9]+,0\))$",
-    "number": r"^(BIGINT|DOUBLE|DECIMAL\(.*\))$",
-    "boolean": r"^BOOLEAN$",
-}
+_NUMBER = r"^(BIGINT|DOUBLE|DECIMAL\(.*\))$"
+_KINDS = {"string": r"^STRING$", "integer": _NUMBER, "number": _NUMBER, "boolean": r"^BOOLEAN$"}
+# Signs that JSON text never holds as such; they stand for a backslash and a quote.
+_BACKSLASH, _QUOTE = "\x01", "\x02"
+
+
+def _plain_number(token: Column) -> Column:
+    """One text for a number, however written; whole ones below 1e38 in all digits."""
+    value = token.try_cast("double")
+    whole = F.abs(value) < 1e38
+    digits = F.when(whole & (value == F.rint(value)), value.try_cast("decimal(38,0)"))
+    fine = F.when(F.abs(value).between(1e-6, 1e15), token.try_cast("decimal(38,18)"))
+    exact = fine.cast("double") == value
+    fraction = F.rtrim(fine.cast("string"), F.lit("0"))
+    number = token.rlike(r"^-?[0-9][0-9.]*([eE][+-]?[0-9]+)?$") & token.rlike("[.eE]")
+    return F.when(
+        number, F.coalesce(digits.cast("string"), F.when(exact, fraction), token)
+    ).otherwise(token)
+
+
+def _numbers_alike(json: Column) -> Column:
+    """JSON text without blanks, its numbers rewritten, its strings as they are."""
+    parts = F.split(
+        F.replace(F.replace(json, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE)),
+        '"',
+    )
+    # Every second part is the inside of a string.
+    marks = r"(?<=[,:\[\]{}])|(?=[,:\[\]{}])"
+    rewritten = F.transform(
+        parts,
+        lambda part, at: F.when(at % 2 == 1, part).otherwise(
+            F.array_join(F.transform(F.split(part, marks), _plain_number), "")
+        ),
+    )
+    joined = F.array_join(rewritten, '"')
+    return F.replace(F.replace(joined, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
 
 
 def canonical(text: Column) -> Column:
-    """JSON with sorted keys and no blanks; NULL if it is none."""
-    return F.to_json(F.try_parse_json(text))
+    """JSON with sorted keys, no blanks and plain numbers; NULL if it is none."""
+    return _numbers_alike(F.to_json(F.try_parse_json(text)))
 
 
 def follows(text: Column, schema: Schema) -> Column:
@@ -74,8 +107,12 @@ def follows(text: Column, schema: Schema) -> Column:
                 fits = fits & (F.length(content) >= int(rule.least))
             if rule.choices:
                 fits = fits & content.isin(*rule.choices)
-        elif rule.least is not None:
-            fits = fits & (F.try_variant_get(value, at, "double") >= float(rule.least))
+        elif rule.kind != "boolean":
+            number = F.try_variant_get(value, at, "double")
+            if rule.kind == "integer":
+                fits = fits & (number == F.rint(number))
+            if rule.least is not None:
+                fits = fits & (number >= float(rule.least))
         absent = ~F.array_contains(names, name)
         good = good & (fits if rule.required else (absent | fits))
     return F.coalesce(good, F.lit(False))
@@ -100,11 +137,17 @@ def _levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         stage += 1
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
-    """One row per call and per orphaned result.
+def link(
+    calls: DataFrame,
+    results: DataFrame,
+    schemas: Mapping[str, Schema],
+    others: DataFrame | None = None,
+) -> DataFrame:
+    """One row per call, per result that is no call's, and per other turn.
 
     ``calls``: conv_id, turn, call_id, tool, arguments (JSON text), uses (array of
-    call_id). ``results``: conv_id, turn, call_id, content.
+    call_id). ``results``: conv_id, turn, call_id, content. ``others``: conv_id, turn,
+    role, content.
     Returns conv_id, turn, call_id, tool, status, stage, result_turn, json.
     """
     key = ["conv_id", "call_id"]
@@ -114,10 +157,14 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) ->
     # One call of each identifier is its first; counted before it is joined.
     first = calls.groupBy(*key).agg(F.min(F.struct("turn", "mark")).alias("first"))
     is_first = F.struct("turn", "mark").eqNullSafe(F.col("first"))
+    results = results.select(*key, "turn", "content")
+    results = staged(
+        results.withColumn("mark", F.monotonically_increasing_id()), "call-results"
+    )
     answers = (
         results.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
         .groupBy(*key)
-        .agg(F.min(F.struct("turn", "content")).alias("answer"))
+        .agg(F.min(F.struct("turn", "content", "mark")).alias("answer"))
     )
     linked = calls.join(
         first.select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), "first"),
@@ -166,35 +213,58 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) ->
         F.when(F.col("is_first"), F.col("answer.turn")).alias("result_turn"),
         _json("arguments", "call_id", "tool", F.when(F.col("is_first"), F.col("answer.content"))),
     )
-    alone = results.join(known.select(*key), key, "anti").select(
+    # Results that answer a call stand in its row; marks are unique, so no key is hot.
+    used = answers.join(known.select(*key), key, "semi").select(F.col("answer.mark").alias("mark"))
+    named = known.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
+    spare = results.join(used, "mark", "anti").join(
+        named.select(*key, F.lit("extra_result").alias("status")), key, "left"
+    )
+    alone = spare.select(
         *key,
         "turn",
         F.lit(None).cast("string").alias("tool"),
-        F.lit("orphan").alias("status"),
+        F.coalesce("status", F.lit("orphan")).alias("status"),
         F.lit(0).alias("stage"),
         F.col("turn").alias("result_turn"),
         _json(None, "call_id", None, F.col("content")),
     )
-    return answered.unionByName(alone)
+    found = answered.unionByName(alone)
+    if others is None:
+        return found
+    said = F.concat(
+        F.lit('{"content":'), _inner(F.col("content")), F.lit(',"role":'), _inner(F.col("role")), F.lit("}")
+    )
+    carried = others.select(
+        "conv_id",
+        F.lit(None).cast("string").alias("call_id"),
+        "turn",
+        F.lit(None).cast("string").alias("tool"),
+        F.lit("other").alias("status"),
+        F.lit(0).alias("stage"),
+        F.lit(None).cast(others.schema["turn"].dataType).alias("result_turn"),
+        said.alias("json"),
+    )
+    return found.unionByName(carried)
 
 
-def _json(arguments: str | None, call_id: str, tool: str | None, result: Column) -> Column:
-    """One call as canonical JSON: keys in order, NULLs written."""
+def _inner(value: Column) -> Column:
+    """A text as JSON."""
+    written = F.to_json(F.array(value))
+    return F.substring(written, F.lit(2), F.length(written) - 2)
 
-    def inner(value: Column) -> Column:
-        written = F.to_json(F.array(value))
-        return F.substring(written, F.lit(2), F.length(written) - 2)
 
+def _json(arguments: str | None, call_id: str, tool: str | None, result: Column) -> Column:
+    """One call as canonical JSON: keys in order, NULLs written."""
     given = F.coalesce(canonical(F.col(arguments)), F.lit("null")) if arguments else F.lit("null")
-    name = inner(F.col(tool)) if tool else F.lit("null")
+    name = _inner(F.col(tool)) if tool else F.lit("null")
     return F.concat(
         F.lit('{"arguments":'),
         given,
         F.lit(',"id":'),
-        inner(F.col(call_id)),
+        _inner(F.col(call_id)),
         F.lit(',"name":'),
         name,
         F.lit(',"result":'),
-        inner(result),
+        _inner(result),
         F.lit("}"),
     ).alias("json")

@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renewlens.llm import blocks
+from renewlens.llm.sampling import least_marks, row_mark
+from renewlens.session import staged
 
-# Rows used to train the scorer, in hash order of the id.
+# Different rows used to train the scorer, in hash order of id and text.
 SAMPLE = 4096
 WIDTH = 1024  # hashed features
 RUN = 3  # bytes in a feature
@@ -231,10 +233,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Qual
     if not rows:
         return None
     prior, table = estimate(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float))
-    ids = docs.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull())
-    sample = ids.distinct().orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    chosen = texts.join(F.broadcast(sample), "__id")  # SAMPLE ids at most
+    texts = docs.select(
+        F.col(id_col).alias("__id"),
+        F.col(text_col).alias("__text"),
+        row_mark(id_col, text_col).alias("mark"),
+    ).where("__id IS NOT NULL")
+    sample = staged(least_marks(texts, SAMPLE), "quality-sample")
+    # SAMPLE different rows at most, however often an id or a row comes again.
+    chosen = texts.join(F.broadcast(sample), "mark").dropDuplicates(["mark"])
 
     def encode(batches):
         for batch in batches:
@@ -254,7 +260,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Qual
                 yield part.filter(pa.array(stats["words"] > 0))
 
     found = chosen.mapInArrow(encode, "id string, good double, x binary").collect()
-    found = sorted(found, key=lambda r: (r.id, r.x))[: 2 * SAMPLE]
+    found = sorted(found, key=lambda r: (r.id, r.x))
     if not found:
         return QualityModel(prior, table, np.zeros(WIDTH, np.float32), 5.0)
     x = np.stack([np.frombuffer(r.x, np.float16) for r in found]).astype(np.float32)

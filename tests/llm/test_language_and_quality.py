@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import base64
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from frames_llm import documents, empty_documents
-from renewlens.llm import catalog, language_id, weak_quality
+from renewlens.llm import catalog, language_id, sampling, weak_quality
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -130,3 +131,34 @@ def test_quality_of_awkward_rows(spark):
     assert kept.columns == docs.columns
     assert weak_quality.fit(empty_documents(spark)) is None
     assert weak_quality.score(empty_documents(spark), None).collect() == []
+
+
+def test_samples_are_bounded_by_rows(spark):
+    """However many rows an id has; equal rows count once; groups have equal shares."""
+    rows = [(1, f"text {i}", "en") for i in range(700)] + [(2, "same", "de")] * 400
+    rows += [(3, f"texte {i}", "fr") for i in range(90)] + [(3, "un texte", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marked = docs.withColumn("mark", sampling.row_mark("doc_id", "text", "lang"))
+    found = sampling.least_marks_by(marked, "lang", 50).collect()
+    counts = Counter(r.lang for r in found)
+    assert counts == {"en": 50, "fr": 50, "de": 2}
+    every = {}
+    for r in marked.collect():
+        every.setdefault(r.lang, set()).add(r.mark % 2**64)
+    for lang in counts:
+        taken = {r.mark % 2**64 for r in found if r.lang == lang}
+        assert taken == set(sorted(every[lang])[:50])
+    assert sampling.least_marks(marked, 50).count() == 50
+    assert sampling.least_marks(marked.where("false"), 50).count() == 0
+
+
+def test_a_text_is_learned_under_its_own_language(spark):
+    """One id with a German and a French text."""
+    german = "der die das und nicht ein eine ist war wird haben sein dieser jener auch "
+    french = "le la les une des est sont avec pour dans nous vous mais plus tout "
+    rows = [(1, german * 3, "de", "s"), (1, french * 3, "fr", "s")] * 3
+    rows += [(i, (german if i % 2 else french) * (1 + i % 4), "de" if i % 2 else "fr", "s") for i in range(2, 40)]
+    docs = documents(spark, rows)
+    model = language_id.fit(docs)
+    found = language_id.predict(docs, model, ("doc_id", "lang")).collect()
+    assert all(r.lang == r.lang_pred for r in found)

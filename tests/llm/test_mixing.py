@@ -39,12 +39,22 @@ def budgets_by_hand(leaves, mix, weight):
         for path, tokens in leaves.items():
             if path[:depth] == prefix:
                 below[path[: depth + 1]] += tokens
-        nodes = {p: (weight(p), t * mix.max_epochs) for p, t in below.items()}
+        nodes = {p: (weight(p), usable(p)) for p in below}
         out = {}
         for p, part in poured(nodes, budget).items():
             out |= share(p, part)
         return out
 
+    def usable(prefix):
+        """Tokens below a node on paths whose nodes all have a weight, over all epochs."""
+        depth = len(prefix)
+        return mix.max_epochs * sum(
+            tokens
+            for path, tokens in leaves.items()
+            if path[:depth] == prefix
+            and all(weight(path[:d]) > 0 for d in range(depth + 1, 4))
+        )
+
     return share((), int(sum(leaves.values()) * mix.budget_share))
 
 
@@ -109,6 +119,17 @@ def test_given_weights_and_shortage_higher_up(spark):
     check(spark, mix, lambda p: weights.get(p, 1.0))
 
 
+def test_leaves_without_weight_hold_no_budget(spark):
+    """What a(3) cannot take, as one of its leaves has no weight, goes to b(1)."""
+    text = "w " * 100
+    rows = [(1, text, "en", "a1"), (2, text, "en", "a2"), (3, text, "en", "b1")]
+    weights = {("a",): 3.0, ("a", "en", "a1"): 0.0}
+    mix = mixing.Mix(budget_share=2 / 3, max_epochs=1, weights=weights)
+    _, plan = mixing.select(documents(spark, rows), levels(), mix)
+    assert {r.source: r.budget for r in plan.collect()} == {"a1": 0, "a2": 100, "b1": 100}
+    check(spark, mixing.Mix(budget_share=0.9, max_epochs=2, weights=weights), lambda p: weights.get(p, 1.0))
+
+
 def test_everything_is_short(spark):
     check(spark, mixing.Mix(budget_share=5.0, max_epochs=2), lambda p: 1.0)
 

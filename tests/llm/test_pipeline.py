@@ -7,6 +7,7 @@ from collections import Counter
 import corpus_pipeline
 import __spark_entry__ as entry_point
 from frames_llm import components_by_hand, documents, empty_documents, words
+from pyspark.sql import functions as F
 from renewlens.llm import pieces
 
 FOLDER = "/root/testdata/sf0.001"
@@ -58,6 +59,39 @@ def test_awkward_rows_pass_every_stage(spark):
     assert {40, 41, 42}.isdisjoint(ids) and None in ids
 
 
+CLEAN = "The quiet harbour, as every morning, was full of boats and people who waited there."
+
+
+def test_one_of_each_group_stays_whatever_its_ids(spark):
+    """Near-copies that share an id, and copies without one."""
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long + " end"), (1, long + " stop"), (2, long + " end")]
+    rows += [(None, CLEAN), (None, CLEAN), (7, "another text of nine words that stands quite alone")]
+    rows += [(8, CLEAN + " And so it went on for years."), (-9, "far below zero " + long)]
+    kept = corpus_pipeline.near_dedup(spark, documents(spark, rows), "")
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert max(found.values()) == 1
+    ids = Counter(r[0] for r in found)
+    assert ids[1] + ids[2] + ids[-9] == 1 and ids[-9] == 1
+    assert ids[7] == 1 and ids[None] + ids[8] <= 2 and ids[None] <= 1
+
+
+def test_columns_of_any_name_pass_every_stage(spark):
+    clashing = ("reads", "epoch", "tokens", "mark", "__mark", "key", "n", "row_key", "kept", "mix_id")
+    rows = [(i, f"{CLEAN} It was day {i} of the long and quiet year by the sea, they said.") for i in range(30)]
+    docs = documents(spark, [(i, t, "en", "s1") for i, t in rows])
+    for k, name in enumerate(clashing):
+        docs = docs.drop(name).withColumn(name, F.lit(k))
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = stage(spark, docs, FOLDER)
+        if name != "pieces":
+            assert docs.columns == columns
+            for k, column in enumerate(clashing):
+                assert {r[0] for r in docs.select(column).collect()} <= {k}
+    assert docs.count() > 0
+
+
 def test_no_rows_pass_every_stage(spark):
     docs = empty_documents(spark)
     for _, stage in corpus_pipeline.STAGES:
@@ -68,7 +102,7 @@ def test_no_rows_pass_every_stage(spark):
 def test_registered(spark):
     names = entry_point.queries()
     assert "pipeline" in names
-    assert {n for n in range(1, 11)} == {
+    assert {n for n in range(1, 14)} == {
         int(k[2:].split("_")[0]) for k in names if k.startswith("op") and k[2].isdigit()
     }
     assert [n for n, _ in corpus_pipeline.STAGES] == [

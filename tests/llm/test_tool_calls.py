@@ -33,11 +33,15 @@ def statuses(rows):
 
 def test_linking_and_canonical_json(spark):
     text = '{ "q" : "é \\"x\\"\\n/", "n" : 3 }'
-    (row,) = linked(
-        spark,
-        [(1, 0, "a", "search", text)],
-        [(1, 2, "a", "late"), (1, 1, "a", "found\t"), (2, 1, "a", "elsewhere")][:2],
+    row, late = sorted(
+        linked(
+            spark,
+            [(1, 0, "a", "search", text)],
+            [(1, 2, "a", "late"), (1, 1, "a", "found\t"), (2, 1, "a", "elsewhere")][:2],
+        ),
+        key=lambda r: r.turn,
     )
+    assert (late.status, late.result_turn) == ("extra_result", 2)
     assert (row.status, row.stage, row.result_turn) == ("ok", 0, 1)
     want = {"arguments": json.loads(text), "id": "a", "name": "search", "result": "found\t"}
     assert row.json == json.dumps(want, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
@@ -75,6 +79,48 @@ def test_statuses(spark):
     }
 
 
+def test_no_row_is_lost(spark):
+    """Calls, results that answer none, and other turns: each comes out once."""
+    ok = '{"q":"x"}'
+    calls = [(1, 0, "a", "search", ok), (1, 5, "a", "search", ok), (1, 6, "b", "search", ok)]
+    results = [(1, 2, "a", "second"), (1, 1, "a", "first"), (1, 1, "a", "first"), (1, 7, "c", None)]
+    left = spark.createDataFrame([(*c, None, "s", 1, 2, "j") for c in calls], CALLS)
+    right = spark.createDataFrame([(*r, "z") for r in results], RESULTS)
+    others = spark.createDataFrame(
+        [(1, 3, "system", "be \"kind\"", "x"), (None, None, None, None, "x")],
+        "conv_id long, turn long, role string, content string, status string",
+    )
+    rows = link(left, right, SCHEMAS, others).collect()
+    found = sorted((r.status, r.turn, r.result_turn) for r in rows if r.turn is not None)
+    assert found == [
+        ("duplicate", 5, None), ("extra_result", 1, 1), ("extra_result", 2, 2), ("ok", 0, 1),
+        ("orphan", 7, 7), ("other", 3, None), ("unanswered", 6, None),
+    ]
+    spoken = [json.loads(r.json) for r in rows if r.status == "other"]
+    assert {"content": 'be "kind"', "role": "system"} in spoken
+    assert {"content": None, "role": None} in spoken and len(spoken) == 2
+    assert "second" in {json.loads(r.json)["result"] for r in rows if r.status == "extra_result"}
+
+
+def test_numbers_have_one_text(spark):
+    schema = {"t": {"n": Argument("integer", False), "x": Argument("number", False), "s": Argument("string", False)}}
+
+    def made(arguments):
+        calls = spark.createDataFrame([(1, 0, "a", "t", arguments, None, "s", 1, 2, "j")], CALLS)
+        row = link(calls, spark.createDataFrame([], RESULTS), schema).first()
+        return row.status, row.json
+
+    alike = {made(f'{{"n":{n}}}') for n in ("100", "1e2", "100.0", "1.0E+2", "10000e-2")}
+    assert len(alike) == 1
+    status, text = alike.pop()
+    assert status == "unanswered" and '{"n":100}' in text
+    assert made('{"n":1.5}')[0] == "invalid" and made('{"x":1.50}') == made('{"x":15e-1}')
+    assert '{"x":1.5}' in made('{"x":1.50}')[1]
+    kept = 'a:1.0,\\"[2.0]\\\\'
+    assert f'"s":"{kept}"' in made(f'{{"s":"{kept}","x":[1.0,{{"y":2e0}}]}}')[1]
+    assert '"x":[1,{"y":2}]' in made(f'{{"s":"{kept}","x":[1.0,{{"y":2e0}}]}}')[1]
+
+
 def test_order(spark):
     ok = '{"q":"x"}'
     calls = [
@@ -104,7 +150,7 @@ def test_order(spark):
 def test_repeats_long_texts_and_no_rows(spark):
     ok = json.dumps({"q": "x" * 200_000})
     rows = linked(spark, [(1, 0, "a", "search", ok)] * 3, [(1, 1, "a", "y" * 200_000)] * 2)
-    assert sorted(r.status for r in rows) == ["duplicate", "duplicate", "ok"]
+    assert sorted(r.status for r in rows) == ["duplicate", "duplicate", "extra_result", "ok"]
     assert linked(spark, []) == []
 
 
