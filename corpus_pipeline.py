@@ -6,8 +6,8 @@ Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor:
    unlike all languages learned: other languages and scripts, codes, mere signs.
 2. ``quality``: rows that the weak-label classifier finds bad go.
 3. ``near_dedup``: of each group of near-copies (five-word shingles, likeness 0.8)
-   the row with the smallest id stays. Rows that repeat id and text stay once;
-   rows without an id are never copies of others.
+   the row with the smallest id stays, rows without an id counting last. Rows that
+   repeat id and text stay once; rows that share an id only are told apart by text.
 4. ``mix``: tokens of domains, languages and sources are brought to their target
    weights; a row is repeated for every epoch in which it is read. Rows are kept
    whole, so a leaf may exceed its budget by less than one document.
@@ -48,29 +48,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = bottom_sketch.near_copies(docs, bottom_sketch.Settings(width=5))
-    chosen = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = "__text_mark"
-    kept = (
-        docs.join(chosen, "doc_id", "semi")
-        .withColumn(first, F.xxhash64("text"))
-        .dropDuplicates(["doc_id", first])
-        .drop(first)
+    # A key for every different row, in the order of the ids.
+    number = F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    ordered = F.coalesce(F.lpad(number.cast("string"), 20, "0"), F.lit("~"))
+    mark = F.lpad(F.hex(F.xxhash64("text")), 16, "0")
+    keyed = docs.withColumn("__row_key", F.concat_ws("-", ordered, mark))
+    found = bottom_sketch.near_copies(
+        keyed.select(F.col("__row_key").alias("doc_id"), "text"), bottom_sketch.Settings(width=5)
     )
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    chosen = found.where("kept").select(F.col("doc_id").alias("__row_key")).distinct()
+    kept = keyed.join(chosen, "__row_key", "semi").dropDuplicates(["__row_key"])
+    return kept.select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     levels = {"domain": domain(), "lang": F.col("lang"), "source": F.col("source")}
     chosen, _ = mixing.select(docs, levels, MIX)
     # Exact repeats of a row are counted once here and repeated by the join again.
-    reads = chosen.groupBy("doc_id", "text_hash", "epoch").agg(F.count("*").alias("n"))
-    reads = reads.groupBy("doc_id", "text_hash").agg(F.count("*").cast("int").alias("reads"))
-    marked = docs.withColumn("__mark", F.xxhash64("text"))
-    same = marked["doc_id"].eqNullSafe(reads["doc_id"]) & (marked["__mark"] == reads["text_hash"])
-    joined = marked.join(reads, same).select(*(marked[c] for c in docs.columns), "reads")
-    copies = F.explode(F.sequence(F.lit(1), F.col("reads"))).alias("__read")
-    return joined.select(*docs.columns, copies).drop("__read")
+    reads = chosen.select(
+        F.col("doc_id").alias("__mix_id"), F.col("text_hash").alias("__mix_text"), "epoch"
+    ).distinct()
+    reads = reads.groupBy("__mix_id", "__mix_text").agg(
+        F.count("*").cast("int").alias("__mix_reads")
+    )
+    # Own names on both sides, whatever the columns of the documents are called.
+    marked = docs.withColumn("__mix_mark", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("__mix_id")) & (
+        F.col("__mix_mark") == F.col("__mix_text")
+    )
+    copies = F.explode(F.sequence(F.lit(1), F.col("__mix_reads"))).alias("__mix_read")
+    return marked.join(reads, same).select(*docs.columns, copies).drop("__mix_read")
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
