@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_BITS = 16
+PREFIX_BITS = 12
 
 
 def row_mark(*columns: str) -> Column:
