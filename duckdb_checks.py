@@ -109,6 +109,65 @@ _STEPS: dict[str, str] = {
         FROM fixed WHERE is_churned = 0""",
 }
 
+# The coefficients of the model that runs through the job's own stages.
+_NUMBERS = {
+    "tenure_days": -0.6,
+    "monthly_recurring_revenue": 0.1,
+    "total_events_90d": -0.8,
+    "total_session_minutes_90d": -0.3,
+    "total_pages_viewed_90d": 0.15,
+}
+_CATEGORIES = ("plan_type", "industry", "country")
+_LOG_ODDS = (
+    """0.2::DOUBLE
+       + CASE plan_type WHEN 'Starter' THEN 0.5::DOUBLE WHEN 'Enterprise' THEN -0.75::DOUBLE
+                        ELSE 0.0::DOUBLE END
+       + CASE WHEN industry = 'BUILDING' THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END
+       + CASE WHEN country = 'GERMANY' THEN -0.4::DOUBLE ELSE 0.0::DOUBLE END"""
+    + "".join(f" + {w}::DOUBLE * ({c} - mean_{c}) / dev_{c}" for c, w in _NUMBERS.items())
+)
+
+
+def _copies() -> str:
+    """Test rows with one feature after another taken from the donor row."""
+    features = (*_CATEGORIES, *_NUMBERS)
+
+    def copy(feature: str) -> str:
+        taken = ", ".join(f"{'d' if c == feature else 'o'}.{c}" for c in features)
+        return f"""
+            SELECT '{feature}' AS feature, repeat, o.is_churned, {taken}
+            FROM pairs JOIN test_rows o USING (account_id)
+            JOIN test_rows d ON d.account_id = donor_key
+            {"" if feature else "WHERE repeat = 0"}"""
+
+    return " UNION ALL ".join(copy(f) for f in (*features, ""))
+
+
+_STEPS |= {
+    "train_rows": "SELECT f.* FROM features f JOIN split USING (account_id) WHERE NOT is_test",
+    "test_rows": "SELECT f.* FROM features f JOIN split USING (account_id) WHERE is_test",
+    "scale": "SELECT "
+    + ", ".join(f"avg({c}) AS mean_{c}, stddev_samp({c}) AS dev_{c}" for c in _NUMBERS)
+    + " FROM train_rows",
+    "given_scores": f"""
+        SELECT *, round_even(1.0::DOUBLE / (1.0::DOUBLE + exp(-({_LOG_ODDS}))), 4) AS churn_risk
+        FROM features, scale""",
+    "pairs": """
+        SELECT r AS repeat, t.account_id, d.account_id AS donor_key
+        FROM (SELECT account_id, row_number() OVER (ORDER BY md5(account_id)) AS pos
+              FROM split WHERE is_test) t
+        JOIN (SELECT account_id, r, row_number() OVER (
+                         PARTITION BY r
+                         ORDER BY md5('42:' || CAST(r AS VARCHAR) || ':' || account_id)) AS pos
+              FROM split, (SELECT CAST(unnest(range(5)) AS INT) AS r) q
+              WHERE is_test) d USING (pos)""",
+    "copies": _copies(),
+    "copy_scores": f"""
+        SELECT feature, repeat, is_churned,
+               1.0::DOUBLE / (1.0::DOUBLE + exp(-({_LOG_ODDS}))) AS score
+        FROM copies, scale""",
+}
+
 
 def _subscriptions(orders: str) -> str:
     return f"""
@@ -330,6 +389,31 @@ def oracle_sql() -> dict[str, str]:
                 SELECT 1, 'gradient_boosted_trees', auc
                 FROM ({_auc(score='round_even(1.0::DOUBLE - churn_risk, 4)')}) b) m
             ORDER BY auc DESC, position LIMIT 1""",
+        "encoded_features": " UNION ALL ".join(
+            [
+                f"SELECT account_id, '{c}=' || {c} AS feature, 1.0::DOUBLE AS value "
+                f"FROM features WHERE {c} IN (SELECT {c} FROM train_rows)"
+                for c in _CATEGORIES
+            ]
+            + [
+                f"SELECT account_id, '{c}', "
+                f"round(({c} - mean_{c}) / dev_{c}, 6) + 0.0::DOUBLE FROM features, scale"
+                for c in _NUMBERS
+            ]
+        ),
+        "scores_fixed_model": """
+            SELECT account_id, plan_type, tenure_days, monthly_recurring_revenue,
+                   total_events_90d, total_session_minutes_90d, churn_risk,
+                   CASE WHEN churn_risk <= 0.4::DOUBLE THEN 'Low'
+                        WHEN churn_risk <= 0.7::DOUBLE THEN 'Medium' ELSE 'High' END AS risk_band
+            FROM given_scores WHERE is_churned = 0""",
+        "importance_fixed": f"""
+            SELECT feature, round_even(base - own, 4) AS importance
+            FROM (SELECT feature, avg(auc) AS own,
+                         max(CASE WHEN feature = '' THEN avg(auc) END) OVER () AS base
+                  FROM ({_auc("copy_scores", "score", "feature, repeat")}) a
+                  GROUP BY feature) m
+            WHERE feature <> ''""",
         "shuffled_pairs": """
             SELECT r AS repeat, t.account_id, d.account_id AS donor_key
             FROM (SELECT account_id, row_number() OVER (ORDER BY md5(account_id)) AS pos

@@ -13,7 +13,7 @@ from renewlens import schemas
 from renewlens.functions import md5_bucket
 from renewlens.operators import arrival, evaluation, quality, violations
 from renewlens.plans import features as feature_plans
-from renewlens.plans import health, reports, scoring, training
+from renewlens.plans import given_model, health, reports, scoring, training
 from renewlens.session import fresh_path, staged
 from renewlens.sources import star_tables as star
 from renewlens.sources import tables
@@ -473,6 +473,39 @@ def churn_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.ranked(scoring.score_accounts(features, model))
 
 
+def _encoding(spark: SparkSession, folder: str):
+    """All features with their part, and the job's encoders fitted on the training rows."""
+    split = staged(feature_plans.with_split(_stored_features(spark, folder)), "split")
+    return split, training.encoders().fit(split.filter(~F.col("is_test")))
+
+
+def encoded_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Categories and scaled numbers of every account, as the models see them."""
+    split, encoding = _encoding(spark, folder)
+    rows = given_model.encoded_rows(split, encoding)
+    return rows.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+def _given(spark: SparkSession, folder: str):
+    """A model of known coefficients, stored and loaded as a trained one is."""
+    split, encoding = _encoding(spark, folder)
+    model = given_model.given_model(spark, encoding)
+    root = fresh_path(spark, "models")
+    version = training.register_model(spark, model, root, schemas.REGISTERED_MODEL)
+    return split, training.load_model(root, schemas.REGISTERED_MODEL, version)
+
+
+def scores_fixed_model(spark: SparkSession, folder: str) -> DataFrame:
+    split, model = _given(spark, folder)
+    return scoring.ranked(scoring.score_accounts(split, model))
+
+
+def importance_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    split, model = _given(spark, folder)
+    test = split.filter("is_test").drop("is_test")
+    return training.permutation_importance(model, test, seed=schemas.SPLIT_SEED)
+
+
 # --- arrival ------------------------------------------------------------------
 
 
@@ -547,6 +580,9 @@ def queries() -> dict[str, Query]:
         revenue_at_risk,
         top10_risk,
         champion,
+        encoded_features,
+        scores_fixed_model,
+        importance_fixed,
         model_metrics,
         feature_importance,
         training_status,
