@@ -1,29 +1,39 @@
 """Language-model score of documents: a hierarchical Pitman-Yor model.
 
-A token is a word or the end of the text. The ``head`` most frequent words, the end
-and one class for all other words are the symbols. Each symbol is the context of a
-restaurant whose customers are the symbols that follow it; all these restaurants
-share one parent, whose customers are their tables and whose base is uniform. Which
-word of the class it was is served by one more restaurant, with a uniform base over
-the class's known words and one place for all unknown ones. So a text's probability
-is a product over the same V + 1 outcomes a token as for a plain unigram model.
-
-Seating is sampled by Gibbs, a dish of a restaurant at a time: given all other
-tables, the number of tables of its n customers has a closed form with generalised
-Stirling numbers. From ``exact`` customers on, the rest is seated in turn, in parties
-of a sixteenth of those already there. Restaurants are sampled side by side in Spark
-groups of at most ``head + 2`` rows; the parent (as many numbers) is sampled between
-sweeps. Words of the class differ only by their counts, hence the restaurant of the
-class is sampled by counts of counts, of which there are at most sqrt(2 N). Predictive
-probabilities are averaged over the sweeps after ``burn_in``.
-
-What is fitted grows with the corpus where the corpus does: the table of word
-counts is a distributed one, joined with each document's different rarer words. What
-tasks are sent has a fixed size: one number for each pair of symbols.
+A token is a word or the end of the text. Every token of the training texts is a context:
+a restaurant whose customers are the tokens that follow it (the first token of a text
+follows an end). All these restaurants share one parent, whose customers are their tables
+and whose base is uniform over the known tokens and one place for all unknown ones. So a
+text's probability is a product over the same V + 1 outcomes a token as for a plain
+unigram model, and a token after a context nobody trained on is drawn from the parent.
+
+Seating is sampled by Gibbs. Two auxiliary draws make it a matter of rows:
+
+* The tables of one restaurant meet in a factor (s)(s + d)(s + 2d)..., one term a table.
+  With a gamma variable of shape s/d + tables a restaurant, that factor becomes a power,
+  and the tables of its dishes are independent of each other.
+* The parent's probabilities are drawn as well (gammas of customers less discounts; the
+  mass it leaves to its base is spread evenly), and given them the restaurants are
+  independent of each other.
+
+So every (context, token) pair draws its tables from its own count, its context's gamma
+and its token's probability: two joins and no group, and no restaurant, however busy, is
+one task's work. A pair seen once has one table and need not be drawn. Up to ``exact``
+customers the draw is exact, by generalised Stirling numbers; beyond, their ratios follow
+from those at ``exact`` by a scaling law and from a saddle point, and where 500 tables or
+more could be expected the draw is normal around its mode. Predictive probabilities are averaged over the sweeps
+after ``burn_in``.
+
+All counts and seatings are distributed tables that grow with the corpus: one row a
+different pair, one a different token. The driver sees one row of sums a sweep. Random
+numbers are hashes of token, pair and sweep, so a repeated task draws the same ones.
+
+A training document finds all its pairs in the table of pairs. Pairs of other documents
+that are not in it take their context's and their token's share of the model.
 
 NULL and empty texts are one end token. Rows without id are learned from. Equal rows
 (same id and text) are scored once and repeated. Without any training row all scores
-are 0, the logarithm of the only outcome.
+are 0, the logarithm of the only outcome; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,22 +46,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from renewlens.llm import blocks
-from renewlens.session import staged
+from renewlens.session import fresh_path, staged
 
-END = 0
+END = 0  # among the 64-bit hashes that stand for words
 
 
 @dataclass(frozen=True)
 class Settings:
-    head: int = 1023  # words that are symbols of their own
     burn_in: int = 2
     samples: int = 3
     strength: float = 1.0
-    exact: int = 100
+    exact: int = 200
     seed: int = 23
 
 
-# --- seating ------------------------------------------------------------------
+# --- random numbers and seating -----------------------------------------------
+
+
+def uniforms(keys: np.ndarray, draw: int) -> np.ndarray:
+    """The ``draw``-th number between 0 and 1 of each 64-bit key."""
+    step = np.uint64(draw * 0x9E3779B97F4A7C15 % (1 << 64))
+    return ((blocks.mix(keys + step) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+
+
+def gammas(shapes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """One gamma variable of each shape, by Marsaglia and Tsang's rejection."""
+    small = shapes < 1
+    d = np.where(small, shapes + 1, shapes) - 1 / 3
+    c = 1 / np.sqrt(9 * d)
+    out = np.zeros(len(shapes))
+    rows, draw = np.arange(len(shapes)), 1
+    while len(rows):
+        u, angle, limit = (uniforms(keys[rows], draw + k) for k in range(3))
+        z = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * angle)
+        v = (1 + c[rows] * z) ** 3
+        level = z * z / 2 + d[rows] * (1 - v + np.log(np.maximum(v, 1e-300)))
+        taken = (v > 0) & (np.log(limit) < level)
+        out[rows[taken]] = d[rows[taken]] * v[taken]
+        rows, draw = rows[~taken], draw + 3
+    out[small] *= uniforms(keys[small], 0) ** (1 / shapes[small])
+    return out
 
 
 def log_stirling(discount: float, most: int) -> np.ndarray:
@@ -68,41 +102,74 @@ def log_stirling(discount: float, most: int) -> np.ndarray:
 
 def draw_tables(
     customers: np.ndarray,
-    others: np.ndarray,
-    base: np.ndarray,
+    pull: np.ndarray,
     discount: float,
-    strength: float,
     stirling: np.ndarray,
-    rng: np.random.Generator,
+    keys: np.ndarray,
 ) -> np.ndarray:
-    """Tables of each dish, given the restaurant's tables for other dishes.
-
-    p(t) ~ S(n, t) base**t (strength + discount * others)(... one table more) ...
-    """
+    """Tables of each dish: p(t) ~ S(customers, t) pull**t."""
     exact = len(stirling) - 1
     tables = np.minimum(customers, 1)
     sizes = np.minimum(customers, exact)
-    for n in np.unique(sizes[sizes > 1]):
-        rows = np.flatnonzero(sizes == n)
+    for n in np.unique(sizes[(sizes > 1) & (customers <= exact)]):
+        rows = np.flatnonzero(customers == n)
         t = np.arange(1, n + 1)
-        rise = np.log(strength + discount * (others[rows, None] + t[None, :] - 1))
-        weight = stirling[n, 1 : n + 1] + t * np.log(base[rows, None]) + np.cumsum(rise, axis=1)
-        weight = np.exp(weight - weight.max(1, keepdims=True))
-        edge = np.cumsum(weight, axis=1)
-        tables[rows] = 1 + (edge < rng.random(len(rows))[:, None] * edge[:, -1:]).sum(1)
-    rows = np.flatnonzero(customers > exact)
-    seated = np.full(len(rows), exact)
-    while len(rows):
-        party = np.minimum(np.maximum(seated // 16, 1), customers[rows] - seated)
-        new = (strength + discount * (others[rows] + tables[rows])) * base[rows]
-        chance = new / (new + seated - discount * tables[rows])
-        tables[rows] += rng.binomial(party, np.clip(chance, 0, 1))
-        seated = seated + party
-        open_ = seated < customers[rows]
-        rows, seated = rows[open_], seated[open_]
+        weight = stirling[n, 1 : n + 1] + t * np.log(pull[rows, None])
+        edge = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), axis=1)
+        tables[rows] = 1 + (edge < uniforms(keys[rows], 0)[:, None] * edge[:, -1:]).sum(1)
+    many = np.flatnonzero(customers > exact)
+    if len(many):
+        first, second = uniforms(keys[many], 0), uniforms(keys[many], 1)
+        falls = _falls(discount, stirling)
+        for row, u, v in zip(many, first, second):
+            tables[row] = _draw_many(int(customers[row]), pull[row], discount, falls, u, v)
     return tables
 
 
+def _falls(discount: float, stirling: np.ndarray):
+    """Slopes of log S(n, t) in t for many customers n, as two functions to interpolate.
+
+    For few tables S(n, t) is about a multiple of f(t / n**discount) / (discount**t
+    gamma(t)); the largest exact row shows the slope of log f for all n beyond. For many,
+    S(n, t) = n! / (t! discount**t) times the coefficient of z**n in F(z)**t, where
+    F(z) = 1 - (1 - z)**discount, and the slope is log F at the saddle point, where
+    z t F'(z) = n F(z): a function of n / t.
+    """
+    exact = len(stirling) - 1
+    t, scale = np.arange(1, exact // 10 + 1), exact**discount
+    ratio = stirling[exact, 2 : len(t) + 2] - stirling[exact, 1 : len(t) + 1]
+    gap = np.concatenate([1 - np.logspace(-9, -1, 2000), np.logspace(np.log10(0.9), -30, 4000)])
+    value = -np.expm1(discount * np.log(gap))
+    turn = np.log((1 - gap) * discount / value) + (discount - 1) * np.log(gap)
+    return (t + 0.5) / scale, (ratio + np.log(discount * t)) * scale, turn, np.log(value)
+
+
+def _draw_many(n: int, pull: float, discount: float, falls, u: float, v: float) -> int:
+    """Tables of a dish with many customers; 1 + Poisson(pull / discount) is the most."""
+    mean = pull / discount
+    places, few, turns, many = falls
+
+    def slope(t):
+        place = (t + 0.5) / n**discount
+        near = np.log(mean / t) + np.interp(place, places, few) / n**discount
+        far = np.log(mean / (t + 1)) + np.interp(np.log(n / (t + 0.5)), turns, many)
+        return np.where(place <= places[-1], near, far)
+
+    if mean < 500:
+        t = np.arange(1, min(n, int(mean + 12 * np.sqrt(mean) + 30)) + 1)
+        weight = np.concatenate([[0.0], np.cumsum(slope(t[:-1]))])
+        edge = np.cumsum(np.exp(weight - weight.max()))
+        return 1 + int((edge < u * edge[-1]).sum())
+    low, high = 1.0, float(min(n, mean + 1))
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if slope(middle) > 0 else (low, middle)
+    width = max(low * 1e-3, 1.0)
+    bend = (slope(low + width) - slope(max(low - width, 0.5))) / (2 * width)
+    normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
+    return int(np.clip(np.rint(low + 0.5 + normal / np.sqrt(max(-bend, 1e-12))), 1, n))
+
+
 def estimated_discount(ones: int, twos: int) -> float:
     """From the numbers of dishes with one and with two customers."""
     return float(np.clip(ones / max(ones + 2 * twos, 1), 0.1, 0.9))
@@ -111,318 +178,336 @@ def estimated_discount(ones: int, twos: int) -> float:
 # --- counting -----------------------------------------------------------------
 
 
-def _symbols(data, bounds, head: np.ndarray, number: np.ndarray):
-    """Symbols of a block with an end after each row; word hashes; where rows end."""
+def _tokens(data, bounds):
+    """Tokens of a block with an end after each row, the token before each, its row."""
     hashes, first = blocks.words(data, bounds)
-    found = np.searchsorted(head, hashes)
-    found[found == len(head)] = 0
-    known = head[found] == hashes if len(head) else np.zeros(len(hashes), bool)
-    other = len(head) + 1
-    symbol = np.where(known, number[found], other) if len(head) else np.full(len(hashes), other)
     rows = len(bounds) - 1
-    ends = first[1:] + np.arange(rows)
-    out = np.full(len(hashes) + rows, END)
-    place = np.arange(len(hashes)) + np.repeat(np.arange(rows), np.diff(first))
-    out[place] = symbol
-    return out, hashes, place, ends
+    length = np.diff(first) + 1
+    out = np.full(len(hashes) + rows, END, np.uint64)
+    out[np.arange(len(hashes)) + np.repeat(np.arange(rows), np.diff(first))] = hashes
+    before = np.concatenate([np.array([END], np.uint64), out[:-1]])
+    return out, before, np.repeat(np.arange(rows), length)
+
 
+def _different(before: np.ndarray, tokens: np.ndarray, owner: np.ndarray):
+    """Where each different (owner, pair) first stands, and how often it does."""
+    key = blocks.mix(before + np.uint64(1)) + tokens
+    key = blocks.mix(key) + owner.astype(np.uint64)
+    _, at, times = np.unique(blocks.mix(key), return_index=True, return_counts=True)
+    order = np.argsort(at)
+    return at[order], times[order].astype(np.int64)
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over all rows of (text); words by their 64-bit hash."""
+
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(context, word, n): how often a token follows another, over all rows of (text)."""
 
     def run(batches):
         for batch in batches:
-            found = [
-                blocks.words(data, bounds)[0]
-                for _, _, data, bounds in blocks.blocks(blocks.string_column(batch, "text"))
-            ]
-            words, n = np.unique(np.concatenate(found or [[]]).astype(np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]
-            )
+            for _, _, data, bounds in blocks.blocks(blocks.string_column(batch, "text")):
+                tokens, before, owner = _tokens(data, bounds)
+                at, times = _different(before, tokens, np.zeros_like(owner))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(before[at].view(np.int64)),
+                        pa.array(tokens[at].view(np.int64)),
+                        pa.array(times),
+                    ],
+                    names=["context", "word", "n"],
+                )
 
-    return texts.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    pairs = texts.mapInArrow(run, "context long, word long, n long")
+    return pairs.groupBy("context", "word").agg(F.sum("n").alias("n"))
+
+
+def _token_table(pairs: DataFrame) -> DataFrame:
+    """A row a token: its count, its pairs, and those seen once, as dish and as context.
+
+    Every token is followed by one, so its count is also the number of its restaurant's
+    customers.
+    """
+    once = F.count_if(F.col("n") == 1)
+    dishes = pairs.groupBy("word").agg(
+        F.sum("n").alias("n"), F.count("*").alias("served"), once.alias("lone_served")
+    )
+    seats = pairs.groupBy(F.col("context").alias("word")).agg(
+        F.count("*").alias("seated"), once.alias("lone_seated")
+    )
+    return dishes.join(seats, "word")
+
+
+# --- fitting ------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
-class Counts:
-    """What the model knows of the corpus; all but ``vocabulary`` of fixed size."""
-
-    vocabulary: DataFrame  # word, n
-    head: np.ndarray  # hashes, ascending
-    number: np.ndarray  # symbol of each
-    symbol_counts: np.ndarray
-    texts: int
+class Model:
+    """``pairs``: context, word, n, tables (mean over the samples). ``words``: word, n,
+    and for every sample i its share{i} of customers sent to the parent, as a context,
+    and its probability parent{i} there, as a token."""
+
+    pairs: DataFrame
+    words: DataFrame
     tokens: int
     types: int
+    discount: float
+    strength: float
+    unknown: tuple[float, ...]  # an unknown token's probability in the parent, by sample
 
 
-def count(texts: DataFrame, settings: Settings) -> Counts:
-    vocabulary = staged(word_counts(texts), "words")
-    total = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
-    rows = texts.count()
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(settings.head).collect()
-    words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(words)
-    counts = np.zeros(len(top) + 2, np.int64)
-    counts[END] = rows
-    counts[1:-1] = [r["n"] for r in top]
-    counts[-1] = (total["n"] or 0) - counts[1:-1].sum()
-    return Counts(
-        vocabulary,
-        words[order],
-        np.arange(1, len(top) + 1)[order],
-        counts,
-        rows,
-        (total["n"] or 0) + rows,
-        total["types"] + (rows > 0),
-    )
+def _drop(spark, path: str | None) -> None:
+    if path:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def pair_counts(texts: DataFrame, counts: Counts) -> DataFrame:
-    """(context, symbol, n): how often a symbol follows another."""
-    size = len(counts.head) + 2
-    head, number = counts.head, counts.number
+def _replaced(df: DataFrame, name: str, old: str | None) -> tuple[DataFrame, str]:
+    """``df`` written; the table of the sweep before, which nothing needs now, goes."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    _drop(spark, old)
+    return spark.read.schema(df.schema).parquet(path), path
 
-    def run(batches):
-        total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            for _, _, data, bounds in blocks.blocks(blocks.string_column(batch, "text")):
-                symbols, _, _, _ = _symbols(data, bounds, head, number)
-                before = np.concatenate([[END], symbols[:-1]])
-                total += np.bincount(before * size + symbols, minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen // size), pa.array(seen % size), pa.array(total[seen])],
-            names=["context", "symbol", "n"],
-        )
 
-    pairs = texts.mapInArrow(run, "context long, symbol long, n long")
-    return pairs.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+def _seat(discount: float, stirling: np.ndarray, seed: int):
+    """Draws ``tables`` of (context, word, n, kept, pull) rows."""
 
+    def run(batches):
+        for batch in batches:
+            context, word, n = (batch.column(i).to_numpy() for i in range(3))
+            keys = blocks.mix(context.view(np.uint64) + np.uint64(seed)) + word.view(np.uint64)
+            pull = batch.column(4).to_numpy()
+            tables = draw_tables(n, pull, discount, stirling, blocks.mix(keys))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(4)), pa.array(tables)],
+                names=["context", "word", "n", "kept", "tables"],
+            )
 
-# --- fitting ------------------------------------------------------------------
+    return run
 
 
-@dataclass(frozen=True)
-class Model:
-    log_pairs: np.ndarray  # log10 P(symbol | context)
-    class_counts: np.ndarray  # different counts of words of the class, ascending
-    log_class: np.ndarray  # log10 P(word | class) for each of them
-    log_unknown: float
+def _seat_parent(concentration, discount, parent_discount, parent_pull, stirling, seed):
+    """Adds the draws of a sweep to (word, served, seated) rows."""
 
+    def run(batches):
+        for batch in batches:
+            word, served, seated = (batch.column(i).to_numpy() for i in range(3))
+            keys = blocks.mix(word.view(np.uint64) + np.uint64(seed))
+            pull = np.full(len(word), parent_pull)
+            tables = draw_tables(served, pull, parent_discount, stirling, keys)
+            weight = gammas(served - parent_discount * tables, blocks.mix(keys + np.uint64(1)))
+            rate = gammas(concentration / discount + seated, blocks.mix(keys + np.uint64(2)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(tables), pa.array(weight), pa.array(rate)],
+                names=["word", "served", "seated", "parent_tables", "weight", "rate"],
+            )
 
-def _fit_class(counts: Counts, settings: Settings) -> tuple[np.ndarray, np.ndarray, float]:
-    """The restaurant of the words that are no symbols, by counts of counts."""
-    heads = counts.vocabulary.sparkSession.createDataFrame(
-        [(int(w),) for w in counts.head.view(np.int64)], "word long"
-    )
-    rare = counts.vocabulary.join(F.broadcast(heads), "word", "anti")
-    rows = sorted(rare.groupBy("n").agg(F.count("*").alias("words")).collect())
-    n = np.array([r[0] for r in rows], np.int64)
-    words = np.array([r[1] for r in rows], np.int64)
-    base = 1 / (words.sum() + 1)
-    if not len(rows):
-        return n, np.zeros(0), 0.0
-    by_count = dict(zip(n.tolist(), words.tolist()))
-    discount = estimated_discount(by_count.get(1, 0), by_count.get(2, 0))
-    stirling = log_stirling(discount, settings.exact)
-    rng = np.random.default_rng(settings.seed)
-    customers, theta = int((n * words).sum()), settings.strength
-    mean = np.ones(len(n))
-    shares, means = [], []
-    for sweep in range(settings.burn_in + settings.samples):
-        # A bounded number of words of each count stands for all with that count.
-        draws = np.minimum(words, 64)
-        each = np.repeat(np.arange(len(n)), draws)
-        others = np.full(len(each), float((mean * words).sum())) - mean[each]
-        tables = draw_tables(
-            n[each], others, np.full(len(each), base), discount, theta, stirling, rng
+    return run
+
+
+def fit(texts: DataFrame, settings: Settings = Settings()) -> Model | None:
+    """The model of all rows of (text); None without rows."""
+    s, theta = settings, settings.strength
+    pairs = staged(pair_counts(texts), "pairs")
+    known = staged(_token_table(pairs), "tokens")
+    totals = known.agg(
+        F.sum("n").alias("tokens"),
+        F.count("*").alias("types"),
+        F.sum("lone_served").alias("ones"),
+        F.count_if(F.col("served") == 1).alias("parent_ones"),
+        F.count_if(F.col("served") == 2).alias("parent_twos"),
+    ).first()
+    if not totals["types"]:
+        return None
+    outcomes = totals["types"] + 1
+    twos = pairs.where("n = 2").count()
+    discount = estimated_discount(totals["ones"], twos)
+    parent_discount = estimated_discount(totals["parent_ones"], totals["parent_twos"])
+    stirling = log_stirling(discount, s.exact)
+    parent_stirling = log_stirling(parent_discount, s.exact)
+    rng = np.random.default_rng(s.seed)
+
+    def parent(counts: DataFrame, old: str | None, dishes: int, sweep: int):
+        """The parent seated anew and its probabilities drawn."""
+        pull = parent_discount * rng.gamma(theta / parent_discount + dishes) / outcomes
+        draws = _seat_parent(
+            theta, discount, parent_discount, pull, parent_stirling, s.seed * 1000 + 2 * sweep
         )
-        mean = np.bincount(each, tables, len(n)) / draws
-        if sweep >= settings.burn_in:
-            total = float((mean * words).sum())
-            shares.append((theta + discount * total) / (theta + customers))
-            means.append(mean)
-    share, mean = float(np.mean(shares)), np.mean(means, axis=0)
-    seen = (n - discount * mean) / (theta + customers) + share * base
-    return n, np.log10(seen), float(np.log10(share * base))
-
-
-def fit(texts: DataFrame, counts: Counts, settings: Settings) -> Model:
-    size = len(counts.head) + 2
-    rng = np.random.default_rng(settings.seed + 1)
-    theta = settings.strength
-    pairs = staged(pair_counts(texts, counts), "pairs")
-    few = pairs.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    discount = estimated_discount(few[0], few[1])
-    stirling = log_stirling(discount, settings.exact)
-    parent_discount = 0.5
-    parent_stirling = log_stirling(parent_discount, settings.exact)
-    state = pairs.select("context", "symbol", "n", F.lit(1).cast("long").alias("tables"))
-    parent = (counts.symbol_counts + 0.5) / (counts.symbol_counts + 0.5).sum()
-    parent_tables = np.ones(size, np.int64)
-    served = np.zeros(size)
-    context_share, parents, seen = [], [], None
-    customers = np.zeros(size)
-    for row in pairs.groupBy("context").agg(F.sum("n").alias("n")).collect():
-        customers[row["context"]] = row["n"]
-
-    for sweep in range(settings.burn_in + settings.samples):
-        state = staged(
-            state.groupBy("context").applyInArrow(
-                _seat(parent, discount, theta, stirling, settings.seed, sweep),
-                "context long, symbol long, n long, tables long",
+        table, path = _replaced(
+            counts.mapInArrow(
+                draws,
+                "word long, served long, seated long, parent_tables long, weight double, rate double",
             ),
-            "seating",
+            "parent",
+            old,
         )
-        # At most one row for each symbol and context.
-        served[:] = 0
-        for row in state.groupBy("symbol").agg(F.sum("tables").alias("n")).collect():
-            served[row["symbol"]] = row["n"]
-        tables = np.zeros(size)
-        for row in state.groupBy("context").agg(F.sum("tables").alias("n")).collect():
-            tables[row["context"]] = row["n"]
-        drawn = served.astype(np.int64)
-        for half in (0, 1):
-            part = np.flatnonzero(np.arange(size) % 2 == half)
-            others = parent_tables.sum() - parent_tables[part]
-            parent_tables[part] = draw_tables(
-                drawn[part],
-                others.astype(float),
-                np.full(len(part), 1 / size),
-                parent_discount,
-                theta,
-                parent_stirling,
-                rng,
-            )
-        rest = (theta + parent_discount * parent_tables.sum()) / (theta + drawn.sum())
-        parent = (drawn - parent_discount * parent_tables) / (theta + drawn.sum()) + rest / size
-        if sweep >= settings.burn_in:
-            context_share.append((theta + discount * tables) / (theta + customers))
-            parents.append(parent)
-            now = state.select("context", "symbol", "n", "tables")
-            seen = now if seen is None else seen.unionByName(now)
-
-    chance = np.array(context_share).T @ np.array(parents) / settings.samples
-    mean = seen.groupBy("context", "symbol").agg(
-        F.max("n").alias("n"), F.avg("tables").alias("tables")
+        sums = table.agg(F.sum("served"), F.sum("parent_tables"), F.sum("weight")).first()
+        return table, path, sums
+
+    # To begin with, every pair has one table and every token one in the parent.
+    state, state_path = pairs.where("n > 1").select(
+        "context", "word", "n", F.lit(0).cast("long").alias("kept"), F.lit(1).cast("long").alias("tables")
+    ), None
+    table, path, sums = parent(
+        known.select("word", "served", "seated"), None, totals["types"], 0
     )
-    # size * size numbers at most, whatever the corpus.
-    table = mean.toArrow()
-    context, symbol, n, t = (table.column(i).to_numpy() for i in range(4))
-    chance[context, symbol] += (n - discount * t) / (theta + customers[context])
-    return Model(np.log10(chance), *_fit_class(counts, settings))
-
-
-def _seat(parent, discount, theta, stirling, seed, sweep):
-    def seat(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks().sort_by("symbol")
-        context = group.column("context").to_numpy()
-        symbol = group.column("symbol").to_numpy()
-        n = group.column("n").to_numpy()
-        tables = group.column("tables").to_numpy().copy()
-        rng = np.random.default_rng((seed, sweep, int(context[0])))
-        for half in (0, 1):  # the second half sees the tables drawn for the first
-            part = np.flatnonzero(symbol % 2 == half)
-            others = (tables.sum() - tables[part]).astype(float)
-            tables[part] = draw_tables(
-                n[part], others, parent[symbol[part]], discount, theta, stirling, rng
+    samples, unknown = None, []
+    for sweep in range(1, s.burn_in + s.samples + 1):
+        rest = rng.gamma(theta + parent_discount * sums[1])
+        chance = (F.col("weight") + F.lit(rest / outcomes)) / F.lit(sums[2] + rest)
+        rates = table.select(F.col("word").alias("context"), "rate")
+        chances = table.select("word", chance.alias("chance"))
+        kept = F.col("kept") + (F.col("tables") if sweep > s.burn_in + 1 else F.lit(0))
+        drawn = (
+            state.join(rates, "context")
+            .join(chances, "word")
+            .select(
+                "context",
+                "word",
+                "n",
+                kept.alias("kept"),
+                (F.lit(discount) * F.col("rate") * F.col("chance")).alias("pull"),
+            )
+            .mapInArrow(
+                _seat(discount, stirling, s.seed * 1000 + 2 * sweep + 1),
+                "context long, word long, n long, kept long, tables long",
             )
-        return pa.table(
-            {"context": context, "symbol": symbol, "n": n, "tables": tables}
         )
-
-    return seat
+        state, state_path = _replaced(drawn, "seating", state_path)
+        served = state.groupBy("word").agg(F.sum("tables").alias("more_served"))
+        seated = state.groupBy(F.col("context").alias("word")).agg(
+            F.sum("tables").alias("more_seated")
+        )
+        none = F.lit(0)
+        counts = (
+            known.join(served, "word", "left")
+            .join(seated, "word", "left")
+            .select(
+                "word",
+                (F.col("lone_served") + F.coalesce("more_served", none)).alias("served"),
+                (F.col("lone_seated") + F.coalesce("more_seated", none)).alias("seated"),
+            )
+        )
+        last = sweep > s.burn_in
+        table, path, sums = parent(counts, None if sweep > s.burn_in + 1 else path, sums[1], sweep)
+        if last:
+            i = sweep - s.burn_in - 1
+            rest_share = (theta + parent_discount * sums[1]) / (theta + sums[0]) / outcomes
+            unknown.append(rest_share)
+            found = table.select(
+                "word",
+                F.col("seated").alias(f"seated{i}"),
+                (
+                    (F.col("served") - parent_discount * F.col("parent_tables"))
+                    / F.lit(theta + sums[0])
+                    + F.lit(rest_share)
+                ).alias(f"parent{i}"),
+            )
+            samples = found if samples is None else samples.join(found, "word")
+    words = known.select("word", "n").join(samples, "word")
+    shares = [
+        ((theta + discount * F.col(f"seated{i}")) / (theta + F.col("n"))).alias(f"share{i}")
+        for i in range(s.samples)
+    ]
+    parents = [f"parent{i}" for i in range(s.samples)]
+    words = staged(words.select("word", "n", *shares, *parents), "words")
+    lone = pairs.where("n = 1").select(
+        "context", "word", "n", F.lit(1.0).cast("double").alias("tables")
+    )
+    mean = (F.col("kept") + F.col("tables")) / F.lit(float(s.samples))
+    several = state.select("context", "word", "n", mean.alias("tables"))
+    return Model(
+        lone.unionByName(several),
+        words,
+        totals["tokens"],
+        totals["types"],
+        discount,
+        theta,
+        tuple(unknown),
+    )
 
 
 # --- scoring ------------------------------------------------------------------
 
 
-def _parts(rows: DataFrame, counts: Counts, model: Model) -> DataFrame:
-    """For each row one record of its own, and one for each different rarer word."""
-    size = len(counts.head) + 2
-    head, number = counts.head, counts.number
-    log_pairs = model.log_pairs
-    floor = counts.tokens + 0.5 * (counts.types + 1)
-    base = np.log10((counts.symbol_counts + 0.5) / floor)
-    base[-1] = 0.0  # the rarer words come with their own counts
-    known = counts.symbol_counts > 0
-    known[-1] = False
-    names = ["mark", "word", "times", "doc_id", "copies", "n_tokens", "head", "score", "base"]
-    kinds = "mark long, word long, times long, doc_id {}, copies long, n_tokens long, head long, score double, base double"
+def _base(n: Column, model: Model) -> Column:
+    return F.log10((n + 0.5) / F.lit(model.tokens + 0.5 * (model.types + 1)))
+
+
+def _from_parent(model: Model) -> Column:
+    """A token's probability by way of the parent, of share{i} and parent{i} columns."""
+    each = [
+        F.coalesce(F.col(f"share{i}"), F.lit(1.0)) * F.coalesce(F.col(f"parent{i}"), F.lit(p))
+        for i, p in enumerate(model.unknown)
+    ]
+    return sum(each[1:], each[0]) / len(each)
+
+
+def _as_context(model: Model) -> DataFrame:
+    shares = [f"share{i}" for i in range(len(model.unknown))]
+    return model.words.select(F.col("word").alias("context"), F.col("n").alias("customers"), *shares)
+
+
+def _as_word(model: Model) -> DataFrame:
+    parents = [f"parent{i}" for i in range(len(model.unknown))]
+    return model.words.select("word", F.col("n").alias("count"), *parents)
+
+
+def pair_scores(model: Model) -> DataFrame:
+    """(context, word, score, base): log10 probabilities of every pair of the training texts."""
+    own = (F.col("n") - F.lit(model.discount) * F.col("tables")) / (
+        F.lit(model.strength) + F.col("customers")
+    )
+    return (
+        model.pairs.join(_as_context(model), "context")
+        .join(_as_word(model), "word")
+        .select(
+            "context",
+            "word",
+            F.log10(own + _from_parent(model)).alias("score"),
+            _base(F.col("count"), model).alias("base"),
+        )
+    )
+
+
+def _document_pairs(rows: DataFrame) -> DataFrame:
+    """For each row one record for each different pair: how often, and how often an end."""
+    names = ["mark", "doc_id", "context", "word", "times", "ends"]
 
     def run(batches):
         for batch in batches:
-            marks = batch.column(0).to_numpy()
-            ids = batch.column(1)
-            texts = blocks.string_column(batch, "text")
-            for first, end, data, bounds in blocks.blocks(texts):
-                symbols, hashes, place, ends = _symbols(data, bounds, head, number)
-                before = np.concatenate([[END], symbols[:-1]])
-                rows = end - first
-                owner = np.repeat(np.arange(rows), np.diff([-1, *ends]))
-                score = np.bincount(owner, log_pairs[before, symbols], rows)
-                plain = np.bincount(owner, base[symbols], rows)
-                common = np.bincount(owner, known[symbols], rows).astype(np.int64)
-                own = marks[first:end]
-                length = np.diff([-1, *ends]).astype(np.int64)
-                # Dealt out like a word that does not exist.
-                dealt = blocks.mix(own.view(np.uint64) + np.uint64(1)).view(np.int64)
+            marks, ids = batch.column(0), batch.column(1)
+            for first, end, data, bounds in blocks.blocks(blocks.string_column(batch, "text")):
+                tokens, before, owner = _tokens(data, bounds)
+                at, times = _different(before, tokens, owner)
+                who = pa.array(owner[at] + first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(own),
-                        pa.array(dealt),
-                        pa.array(np.zeros(rows, np.int64)),
-                        ids.slice(first, rows),
-                        *(pa.array(x) for x in (np.ones(rows, np.int64), length, common)),
-                        pa.array(score),
-                        pa.array(plain),
-                    ],
-                    names=names,
-                )
-                rare = symbols[place] == size - 1
-                word, who = hashes[rare], owner[place][rare]
-                key = blocks.mix(word + who.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                _, at, times = np.unique(key, return_index=True, return_counts=True)
-                n = len(at)
-                blank = [pa.nulls(n, t) for t in (pa.int64(),) * 3 + (pa.float64(),) * 2]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(own[who[at]]),
-                        pa.array(word[at].view(np.int64)),
-                        pa.array(times.astype(np.int64)),
-                        pa.nulls(n, ids.type),
-                        *blank,
+                        marks.take(who),
+                        ids.take(who),
+                        pa.array(before[at].view(np.int64)),
+                        pa.array(tokens[at].view(np.int64)),
+                        pa.array(times),
+                        pa.array(np.where(tokens[at] == END, times, 0)),
                     ],
                     names=names,
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, kinds.format(kind))
-
-
-def _word_scores(counts: Counts, model: Model) -> DataFrame:
-    """(word, class_score, class_base): what one occurrence of a rarer word adds."""
-    floor = counts.tokens + 0.5 * (counts.types + 1)
-    known, logs = model.class_counts, model.log_class
+    return rows.mapInArrow(
+        run, f"mark long, doc_id {kind}, context long, word long, times long, ends long"
+    )
 
-    def run(batches):
-        for batch in batches:
-            n = batch.column(1).to_numpy()
-            at = np.searchsorted(known, n)
-            fits = at < len(known)
-            fits[fits] = known[at[fits]] == n[fits]
-            score = np.full(len(n), np.nan)
-            score[fits] = logs[at[fits]]
-            # A head word may have a count that no word of the class has; it is not joined.
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score), pa.array(np.log10((n + 0.5) / floor))],
-                names=["word", "class_score", "class_base"],
-            )
 
-    return counts.vocabulary.select("word", "n").mapInArrow(
-        run, "word long, class_score double, class_base double"
+def _sums(found: DataFrame) -> DataFrame:
+    times = F.col("times")
+    return found.select(
+        "mark",
+        "doc_id",
+        times.alias("n_tokens"),
+        F.when(F.col("known"), times).otherwise(0).alias("n_known"),
+        "ends",
+        (times * F.col("base")).alias("base_score"),
+        (times * F.col("score")).alias("score"),
     )
 
 
@@ -433,45 +518,57 @@ def scores(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens,
-    base_score and score (log10 probabilities of the whole text)."""
+    """One row per input row: id, n_tokens, n_known, train_tokens, base_score and score
+    (log10 probabilities of the whole text)."""
     rows = docs.select(
         F.xxhash64(id_col, F.coalesce(F.col(text_col), F.lit(""))).alias("mark"),
         F.col(id_col).alias("doc_id"),
         F.col(text_col).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    train = rows.where("NOT held_out").select("text")
-    counts = count(train, settings)
-    if not counts.texts:
-        model = Model(np.zeros((2, 2)), np.zeros(0, np.int64), np.zeros(0), 0.0)
+    train = rows.where("NOT held_out").select("mark", "doc_id", "text")
+    rest = rows.where("held_out").select("mark", "doc_id", "text")
+    model = fit(train.select("text"), settings)
+    if model is None:
+        zero = F.lit(0.0)
+        found = _document_pairs(rest).select(
+            "*", zero.alias("base"), zero.alias("score"), F.lit(False).alias("known")
+        )
+        parts = _sums(found)
     else:
-        model = fit(train, counts, settings)
-    floor = counts.tokens + 0.5 * (counts.types + 1)
-    unknown = float(np.log10(0.5 / floor))
-    parts = _parts(rows.select("mark", "doc_id", "text"), counts, model)
-    joined = parts.join(_word_scores(counts, model), "word", "left")
-    times = F.col("times")
-    rare = F.coalesce(F.col("class_score"), F.lit(model.log_unknown))
-    plain = F.coalesce(F.col("class_base"), F.lit(unknown))
-    total = joined.groupBy("mark").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("copies").alias("copies"),
-        F.max("n_tokens").alias("n_tokens"),
-        F.sum(
-            F.when(times == 0, F.col("head")).when(F.col("class_base").isNotNull(), times)
-        ).alias("n_known"),
-        F.sum(F.when(times == 0, F.col("base")).otherwise(times * plain)).alias("base_score"),
-        F.sum(F.when(times == 0, F.col("score")).otherwise(times * rare)).alias("score"),
+        known = pair_scores(model)
+        # Every pair of a training text is known.
+        own = _document_pairs(train).join(known, ["context", "word"])
+        parts = _sums(own.withColumn("known", F.lit(True)))
+        other = _document_pairs(rest)
+        other = staged(other.join(known, ["context", "word"], "left"), "held-out-pairs")
+        seen = other.where("score IS NOT NULL").withColumn("known", F.lit(True))
+        new = (
+            other.where("score IS NULL")
+            .drop("score", "base")
+            .join(_as_context(model), "context", "left")
+            .join(_as_word(model), "word", "left")
+        )
+        new = new.select(
+            *("mark", "doc_id", "times", "ends"),
+            F.col("count").isNotNull().alias("known"),
+            _base(F.coalesce("count", F.lit(0)), model).alias("base"),
+            F.log10(_from_parent(model)).alias("score"),
+        )
+        parts = parts.unionByName(_sums(seen)).unionByName(_sums(new))
+    total = parts.groupBy("mark", "doc_id").agg(
+        *(
+            F.sum(c).alias(c)
+            for c in ("n_tokens", "n_known", "ends", "base_score", "score")
+        )
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
-    each = total.select("*", copies)
-    train_share = F.col("copies")
+    copies = F.col("ends")  # every copy of a row has one end
+    each = total.select("*", F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
     return each.select(
         F.col("doc_id").alias(id_col),
-        "n_tokens",
-        (F.coalesce("n_known", F.lit(0)) / train_share).cast("long").alias("n_known"),
-        F.lit(counts.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") / train_share).alias("base_score"),
-        (F.col("score") / train_share).alias("score"),
+        (F.col("n_tokens") / copies).cast("long").alias("n_tokens"),
+        (F.col("n_known") / copies).cast("long").alias("n_known"),
+        F.lit(model.tokens if model else 0).cast("long").alias("train_tokens"),
+        (F.col("base_score") / copies).alias("base_score"),
+        (F.col("score") / copies).alias("score"),
     )
