@@ -260,7 +260,8 @@ def _drop(spark, path: str | None) -> None:
 
 
 def _replaced(df: DataFrame, name: str, old: str | None) -> tuple[DataFrame, str]:
-    """``df`` written; the table of the sweep before, which nothing needs now, goes."""
+    """``df`` written; the table of the sweep before, which nothing needs now, goes.
+"""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
@@ -429,10 +430,6 @@ def fit(texts: DataFrame, settings: Settings = Settings()) -> Model | None:
 # --- scoring ------------------------------------------------------------------
 
 
-def _base(n: Column, model: Model) -> Column:
-    return F.log10((n + 0.5) / F.lit(model.tokens + 0.5 * (model.types + 1)))
-
-
 def _from_parent(model: Model) -> Column:
     """A token's probability by way of the parent, of share{i} and parent{i} columns."""
     each = [
@@ -453,22 +450,24 @@ def _as_word(model: Model) -> DataFrame:
 
 
 def pair_scores(model: Model) -> DataFrame:
-    """(context, word, score, base): log10 probabilities of every pair of the training texts."""
+    """(context, word, count, score) of every pair of the training texts: the word's count
+    and the pair's log10 probability."""
     own = (F.col("n") - F.lit(model.discount) * F.col("tables")) / (
         F.lit(model.strength) + F.col("customers")
     )
+    score = F.log10(own + _from_parent(model)).alias("score")
     return (
         model.pairs.join(_as_context(model), "context")
         .join(_as_word(model), "word")
-        .select(
-            "context",
-            "word",
-            F.log10(own + _from_parent(model)).alias("score"),
-            _base(F.col("count"), model).alias("base"),
-        )
+        .select("context", "word", "count", score)
     )
 
 
+def _pair() -> Column:
+    """One 64-bit key a pair, for joins of many rows."""
+    return F.xxhash64("context", "word").alias("pair")
+
+
 def _document_pairs(rows: DataFrame) -> DataFrame:
     """For each row one record for each different pair: how often, and how often an end."""
     names = ["mark", "doc_id", "context", "word", "times", "ends"]
@@ -498,15 +497,19 @@ def _document_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def _sums(found: DataFrame) -> DataFrame:
-    times = F.col("times")
+def _sums(found: DataFrame, model: Model) -> DataFrame:
+    """What a document's pair adds, of rows with the word's ``count`` (NULL: unknown)."""
+    times, known = F.col("times"), F.col("count").isNotNull()
+    base = F.log10(
+        (F.coalesce("count", F.lit(0)) + 0.5) / F.lit(model.tokens + 0.5 * (model.types + 1))
+    )
     return found.select(
         "mark",
         "doc_id",
         times.alias("n_tokens"),
-        F.when(F.col("known"), times).otherwise(0).alias("n_known"),
+        F.when(known, times).otherwise(0).alias("n_known"),
         "ends",
-        (times * F.col("base")).alias("base_score"),
+        (times * base).alias("base_score"),
         (times * F.col("score")).alias("score"),
     )
 
@@ -530,32 +533,31 @@ def scores(
     rest = rows.where("held_out").select("mark", "doc_id", "text")
     model = fit(train.select("text"), settings)
     if model is None:
-        zero = F.lit(0.0)
-        found = _document_pairs(rest).select(
-            "*", zero.alias("base"), zero.alias("score"), F.lit(False).alias("known")
+        parts = _document_pairs(rest).select(
+            "mark",
+            "doc_id",
+            F.col("times").alias("n_tokens"),
+            F.lit(0).alias("n_known"),
+            "ends",
+            F.lit(0.0).alias("base_score"),
+            F.lit(0.0).alias("score"),
         )
-        parts = _sums(found)
     else:
-        known = pair_scores(model)
+        known = pair_scores(model).select(_pair(), "count", "score")
         # Every pair of a training text is known.
-        own = _document_pairs(train).join(known, ["context", "word"])
-        parts = _sums(own.withColumn("known", F.lit(True)))
-        other = _document_pairs(rest)
-        other = staged(other.join(known, ["context", "word"], "left"), "held-out-pairs")
-        seen = other.where("score IS NOT NULL").withColumn("known", F.lit(True))
+        own = _document_pairs(train).select("mark", "doc_id", _pair(), "times", "ends")
+        parts = _sums(own.join(known, "pair"), model)
+        other = _document_pairs(rest).withColumn("pair", _pair())
+        other = staged(other.join(known, "pair", "left").drop("pair"), "held-out-pairs")
         new = (
             other.where("score IS NULL")
-            .drop("score", "base")
+            .drop("score", "count")
             .join(_as_context(model), "context", "left")
             .join(_as_word(model), "word", "left")
+            .withColumn("score", F.log10(_from_parent(model)))
         )
-        new = new.select(
-            *("mark", "doc_id", "times", "ends"),
-            F.col("count").isNotNull().alias("known"),
-            _base(F.coalesce("count", F.lit(0)), model).alias("base"),
-            F.log10(_from_parent(model)).alias("score"),
-        )
-        parts = parts.unionByName(_sums(seen)).unionByName(_sums(new))
+        parts = parts.unionByName(_sums(other.where("score IS NOT NULL"), model))
+        parts = parts.unionByName(_sums(new, model))
     total = parts.groupBy("mark", "doc_id").agg(
         *(
             F.sum(c).alias(c)
