@@ -8,8 +8,8 @@ blocked if even the upper posterior bound of its good share is below a limit, so
 that hosts with few outcomes follow their domain.
 
 Everything is DataFrame functions; the driver sees one row of sums for each level.
-Pages are counted before anything is joined by host, and the join by host is an
-ordinary one, which adaptive execution may split at a busy host.
+Pages are counted by host once, into a table that all levels read, and the join by host is
+an ordinary one, which adaptive execution may split at a busy host.
 
 A NULL URL, or one without ``://``, has an empty host and path and is judged like
 any host. Repeated pages count each; a page with several outcomes counts as bad if
@@ -25,12 +25,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from renewlens.session import staged
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
 class Policy:
-    """``rules``: (host and path, verdict); a host with its path from ``/`` on."""
+    """``rules``: (host and path, verdict); a host with its path from ``/`` on.
+
+    ``long_suffixes``: public suffixes of several labels, as rules like ``co.uk``, ``*.ck``
+    (any one label) and ``!www.ck`` (no suffix, although a rule with a star fits).
+    """
 
     rules: Sequence[tuple[str, str]] = ()
     long_suffixes: Sequence[str] = ("co.uk", "org.uk", "com.au", "co.jp", "com.br")
@@ -53,21 +59,42 @@ def _named(name: Column) -> Column:
     return F.regexp_replace(name, r"^.*@|:[0-9]*$|\.$", "")
 
 
+def _tail(labels: Column, first: Column) -> Column:
+    """The labels from the ``first`` (from 1) on, as a name."""
+    return F.array_join(F.slice(labels, first, F.size(labels)), ".")
+
+
+def _suffix_start(labels: Column, policy: Policy) -> Column:
+    """The place of the suffix's first label: the longest rule that fits, exceptions first."""
+    kinds: dict[str, list[str]] = {"!": [], "*": [], "": []}
+    for rule in policy.long_suffixes:
+        kind = rule[0] if rule[0] in "!*" else ""
+        kinds[kind].append(rule[2:] if kind == "*" else rule[len(kind) :])
+    size = F.size(labels)
+    places = F.sequence(F.lit(1), size)
+
+    def first(fits, rules: list[str]) -> Column:
+        return F.array_min(F.filter(places, fits)) if rules else F.lit(None).cast("int")
+
+    exception = first(lambda i: _tail(labels, i).isin(kinds["!"]), kinds["!"])
+    # A star stands for one label: the rest of the rule begins a label later.
+    starred = first(lambda i: (i < size) & _tail(labels, i + 1).isin(kinds["*"]), kinds["*"])
+    plain = first(lambda i: _tail(labels, i).isin(kinds[""]), kinds[""])
+    # Without a rule the last label is the suffix. least() leaves out NULL.
+    return F.coalesce(exception + 1, F.least(starred, plain, size))
+
+
 def suffix(name: Column, policy: Policy) -> Column:
-    plain = _named(name)
-    two = F.substring_index(plain, ".", -2)
-    return F.when(two.isin(*policy.long_suffixes), two).otherwise(
-        F.substring_index(plain, ".", -1)
-    )
+    labels = F.split(_named(name), r"\.")
+    return _tail(labels, _suffix_start(labels, policy))
 
 
 def registered_domain(name: Column, policy: Policy) -> Column:
     """One label more than the suffix; the whole host if it has no more, or is an address."""
     plain = _named(name)
-    two = F.substring_index(plain, ".", -2)
-    three = F.substring_index(plain, ".", -3)
-    found = F.when(two.isin(*policy.long_suffixes), three).otherwise(two)
-    return F.when(plain.rlike(r"^[0-9.]+$"), plain).otherwise(found)
+    labels = F.split(plain, r"\.")
+    start = F.greatest(_suffix_start(labels, policy) - 1, F.lit(1))
+    return F.when(plain.rlike(r"^[0-9.]+$"), plain).otherwise(_tail(labels, start))
 
 
 def matched_rule(name: Column, route: Column, policy: Policy) -> Column:
@@ -113,6 +140,8 @@ def host_reputation(visits: DataFrame, policy: Policy) -> DataFrame:
         registered_domain(F.col("host"), policy).alias("domain"),
         suffix(F.col("host"), policy).alias("suffix"),
     )
+    # Every level and its sums are read from here; pages and outcomes are read once.
+    hosts = staged(hosts, "hosts")
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)

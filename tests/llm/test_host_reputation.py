@@ -69,6 +69,35 @@ def test_domains(spark):
     ]
 
 
+def test_suffix_rules_with_stars_and_exceptions(spark):
+    policy = Policy(long_suffixes=("uk", "co.uk", "github.io", "*.ck", "!www.ck", "b.c.kobe.jp"))
+    want = {
+        "a.b.co.uk": ("co.uk", "b.co.uk"),
+        "co.uk": ("co.uk", "co.uk"),
+        "b.uk": ("uk", "b.uk"),
+        "me.github.io": ("github.io", "me.github.io"),
+        "x.me.github.io": ("github.io", "me.github.io"),
+        "a.b.other.ck": ("other.ck", "b.other.ck"),
+        "other.ck": ("other.ck", "other.ck"),
+        "ck": ("ck", "ck"),
+        "a.www.ck": ("ck", "www.ck"),
+        "www.ck": ("ck", "www.ck"),
+        "x.b.c.kobe.jp": ("b.c.kobe.jp", "x.b.c.kobe.jp"),
+        "x.c.kobe.jp": ("jp", "kobe.jp"),
+        "noco.uk": ("uk", "noco.uk"),
+    }
+    df = spark.createDataFrame([(n,) for n in want], "n string")
+    got = df.select("n", suffix(F.col("n"), policy), registered_domain(F.col("n"), policy))
+    assert {r[0]: (r[1], r[2]) for r in got.collect()} == want
+
+
+def test_pages_are_read_twice(spark):
+    """Once for the hosts' counts, once for the verdicts; the rest reads the counts."""
+    found = catalog.op2_host_reputation(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("pages.parquet") == 1 and "labels.parquet" not in plan
+
+
 def test_shrinkage(spark):
     rows, good, k = [], [], 0
     for name, n, share in [("bad.x.com", 200, 0.02), ("fine.x.com", 200, 0.9), ("few.x.com", 2, 0.0),
