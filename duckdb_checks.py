@@ -57,6 +57,10 @@ _STEPS: dict[str, str] = {
         FROM bronze_subscriptions s
         JOIN bronze_accounts a USING (account_id)
         LEFT JOIN usage_90d u USING (account_id)""",
+    "heavy_subscriptions": """
+        SELECT * REPLACE (CASE WHEN left(md5(subscription_id), 1) < '5' THEN 'ACC-000000001'
+                               ELSE account_id END AS account_id)
+        FROM bronze_subscriptions""",
     "silver": "SELECT * FROM silver_rows WHERE status IN ('active', 'churned', 'trial')",
     "gold": """
         SELECT plan_type, industry,
@@ -353,6 +357,17 @@ def oracle_sql() -> dict[str, str]:
                   FROM orders GROUP BY 1) z
             WHERE urgent > 0""",
         "silver_account_health": "SELECT * FROM silver",
+        "silver_one_heavy_account": """
+            SELECT s.account_id, s.subscription_id, a.company_name, a.industry, a.plan_type,
+                   a.country, a.contract_start_date, s.monthly_recurring_revenue, s.status,
+                   s.renewal_date, s.status = 'churned' AS is_churned,
+                   coalesce(u.usage_event_count_90d, 0) AS usage_event_count_90d,
+                   coalesce(u.total_session_minutes_90d, 0.0::DOUBLE) AS total_session_minutes_90d,
+                   coalesce(u.total_pages_viewed_90d, 0) AS total_pages_viewed_90d
+            FROM heavy_subscriptions s
+            JOIN bronze_accounts a USING (account_id)
+            LEFT JOIN usage_90d u USING (account_id)
+            WHERE s.status IN ('active', 'churned', 'trial')""",
         "gold_mrr_by_plan_industry": "SELECT * FROM gold",
         "gold_snapshot": "SELECT * FROM gold",
         "published_silver": "SELECT * FROM silver",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from renewlens import schemas
 from renewlens.functions import md5_bucket
-from renewlens.operators import arrival, evaluation, quality, violations
+from renewlens.operators import arrival, evaluation, quality, skew, violations
 from renewlens.plans import features as feature_plans
 from renewlens.plans import given_model, health, reports, scoring, training
 from renewlens.session import fresh_path, staged
@@ -182,6 +182,20 @@ def silver_account_health(spark: SparkSession, folder: str) -> DataFrame:
     return quality.gate(joined, schemas.SILVER_RULES)
 
 
+def silver_one_heavy_account(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver where 5 of 16 subscriptions are one account's, whose rows are spread.
+
+    The search for heavy keys runs whatever the size of the tables.
+    """
+    moved = F.substring(F.md5("subscription_id"), 1, 1) < "5"
+    owner = F.when(moved, F.lit("ACC-000000001")).otherwise(F.col("account_id"))
+    subscriptions = bronze_subscriptions(spark, folder).withColumn("account_id", owner)
+    accounts = bronze_accounts(spark, folder)
+    layout = skew.layout_for(subscriptions, accounts, "account_id", parts=32, small=0, min_rows=0)
+    joined = health.account_health(subscriptions, accounts, usage_90d(spark, folder), layout)
+    return quality.gate(tables.conform(joined, schemas.SILVER), schemas.SILVER_RULES)
+
+
 def _gold(silver: DataFrame) -> DataFrame:
     gold = tables.conform(health.segment_revenue(silver), schemas.GOLD)
     return quality.gate(gold, schemas.GOLD_RULES)
@@ -560,6 +574,7 @@ def queries() -> dict[str, Query]:
         stream_ledger_counts,
         committed_freshness,
         silver_account_health,
+        silver_one_heavy_account,
         gold_mrr_by_plan_industry,
         gold_snapshot,
         published_silver,

@@ -5,7 +5,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from renewlens import catalog
 from renewlens.operators.skew import (
+    LINE,
     Layout,
     balanced_inner_join,
     heavy_keys,
@@ -92,3 +94,10 @@ def test_join_keeps_integer_keys(spark, pieces):
     right = spark.createDataFrame([(0, "x"), (1, "y")], "k bigint, v string")
     layout = Layout("k", {0: v for v in pieces.values()})
     assert balanced_inner_join(left, right, "k", layout).count() == 20
+
+
+def test_silver_spreads_a_heavy_account(spark):
+    found = catalog.silver_one_heavy_account(spark, "/root/testdata/sf0.001")
+    assert LINE in found._jdf.queryExecution().optimizedPlan().toString()
+    rows = found.groupBy("account_id").count().orderBy(F.desc("count")).first()
+    assert rows.account_id == "ACC-000000001" and rows["count"] > found.count() / 5
