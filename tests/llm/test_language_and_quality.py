@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from frames_llm import documents, empty_documents
+from frames_llm import LOWER, documents, empty_documents
 from renewlens.llm import catalog, language_id, sampling, weak_quality
 
 FOLDER = "/root/testdata/sf0.01"
@@ -41,6 +42,60 @@ def test_languages_of_held_out_documents(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.98
 
 
+def places(text):
+    """Places of a text's different byte runs, one by one."""
+    raw = (text or "").translate(LOWER).encode()
+    runs = {raw[i : i + n] for n in (1, 2, 3) for i in range(len(raw) - n + 1)}
+    shift = 64 - language_id.WIDTH.bit_length() + 1
+    step = 0x9E3779B97F4A7C15
+    return {
+        ((int.from_bytes(r, "big") + (len(r) << 56)) * step % (1 << 64)) >> shift for r in runs
+    }
+
+
+def alike(a, b):
+    return len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))
+
+
+def test_whole_query_by_hand(spark):
+    """Every document of a table small enough for all its training rows to be the sample."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    lettered = {d.doc_id: any(map(str.isalpha, d.text or "")) for d in docs}
+    learned = [
+        d for d in docs if lettered[d.doc_id] and d.lang and zlib.crc32(b"%d" % d.doc_id) % 3 != 1
+    ]
+    learned.sort(key=lambda d: (d.lang, str(d.doc_id)))
+    assert len(learned) < language_id.SAMPLE
+    languages = sorted({d.lang for d in learned})
+    rng = np.random.default_rng(5)
+    landmarks = []
+    for lang in languages:
+        own = [i for i, d in enumerate(learned) if d.lang == lang]
+        landmarks += sorted(rng.permutation(own)[: language_id.LANDMARKS // len(languages)])
+    sets = [places(d.text) for d in learned]
+    cross = np.array([[alike(a, sets[m]) for m in landmarks] for a in sets])
+    inner = np.array([[alike(sets[k], sets[m]) for m in landmarks] for k in landmarks])
+    target = np.array([[1.0 if d.lang == k else -1.0 for k in languages] for d in learned])
+    system = cross.T @ cross + language_id.RIDGE * len(learned) * inner
+    system += 1e-8 * np.trace(system) / len(system) * np.eye(len(system))
+    weights = np.linalg.solve(system, cross.T @ target)
+
+    found = {r.doc_id: r for r in catalog.op10_string_kernel_language(spark, folder).collect()}
+    assert set(found) == {d.doc_id for d in docs}
+    for d in docs:
+        own = places(d.text)
+        values = np.array([alike(own, sets[m]) for m in landmarks]) @ weights
+        r = found[d.doc_id]
+        if not lettered[d.doc_id]:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        assert abs(r.score - min(1, max(0, (1 + values.max()) / 2))) < 1e-3
+        top = np.sort(values)
+        if top[-1] - top[-2] > 1e-3:
+            assert r.lang_pred == languages[values.argmax()]
+
+
 def test_languages_of_awkward_rows(spark):
     rows = [(i, "the and of that with this", "en", "s") for i in range(6)]
     rows += [(10 + i, "der die das und nicht", "de", "s") for i in range(6)]
