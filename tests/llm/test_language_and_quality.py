@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from frames_llm import LOWER, documents, empty_documents
+from frames_llm import LOWER, documents, empty_documents, words
 from renewlens.llm import catalog, language_id, sampling, weak_quality
 
 FOLDER = "/root/testdata/sf0.01"
@@ -152,6 +153,105 @@ def test_quality_agrees_with_labels_it_never_saw(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.05
 
 
+SYMBOLS = set(b"#$%&*|!<>{}[]\\^~=+@_")
+
+
+def shares(text):
+    """The labellers' statistics of one text, byte by byte and word by word."""
+    raw = (text or "").encode()
+    tokens = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    own = words(text)
+    ink = max(sum(map(len, tokens)), 1)
+    some = max(len(tokens), 1)
+    capitals = sum(65 <= b <= 90 for b in raw)
+    letters = capitals + sum(97 <= b <= 122 for b in raw)
+    begun = sum(65 <= t[0] <= 90 for t in tokens)
+    plain = letters - capitals + begun + sum(b >= 128 or b in b".," for b in raw)
+    repeats = sum(a == b for a, b in zip(own, own[1:])) / max(len(own) - 1, 1)
+    return {
+        "words": len(own),
+        "symbol_share": sum(b in SYMBOLS for b in raw) / ink,
+        "ragged_share": sum(t[-1] in SYMBOLS for t in tokens) / some,
+        "capital_share": capitals / max(letters, 1),
+        "bang_share": raw.count(b"!") / some,
+        "repeat_share": repeats,
+        "same_share": (len(own) - len(set(own))) / some,
+        "plain_share": plain / ink,
+        "prose_share": plain / ink * (1 - repeats),
+    }
+
+
+def features(text, stats):
+    kind = {**{b: 97 for b in range(97, 123)}, **{b: 65 for b in range(65, 91)}}
+    kind |= {**{b: 97 for b in range(128, 256)}, **{b: 48 for b in range(48, 58)}}
+    raw = bytes(kind.get(b, b) for b in (text or "").encode())
+    runs = Counter()
+    shift = 64 - weak_quality.WIDTH.bit_length() + 1
+    for i in range(len(raw) - 2):
+        code = int.from_bytes(raw[i : i + 3], "big") * 0x9E3779B97F4A7C15 % (1 << 64)
+        runs[code >> shift] += 1
+    out = np.zeros(weak_quality.WIDTH)
+    for place, n in runs.items():
+        out[place] = math.sqrt(n / (sum(runs.values()) + weak_quality.SHORT))
+    for k, name in enumerate(weak_quality.SHARES):
+        out[-1 - k] = math.sqrt(min(stats[name], 1))
+        if name == "same_share" and stats["words"] < 40:
+            out[-1 - k] = 0
+    return out
+
+
+def test_whole_quality_query_by_hand(spark):
+    """Votes, expectation-maximisation by document, and the scorer, in plain Python."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    stats = [shares(d.text) for d in docs]
+    votes = []
+    for s in stats:
+        own = []
+        for _, name, side, order, share, least in weak_quality.LABELLERS:
+            met = s[name] >= share if order == ">=" else s[name] < share
+            own.append(None if s["words"] < least else side if met else "silent")
+        votes.append(own)
+    judged = [i for i, s in enumerate(stats) if s["words"]]
+    good = {i: 0.05 if "bad" in votes[i] else 0.95 for i in judged}
+    for _ in range(weak_quality.EM_ROUNDS):
+        prior = sum(good.values()) / len(judged)
+        chance = []
+        for sign in (1, 0):
+            table = []
+            for k in range(len(weak_quality.LABELLERS)):
+                n = Counter()
+                for i in judged:
+                    if votes[i][k]:
+                        n[votes[i][k]] += (good[i] if sign else 1 - good[i]) / len(judged)
+                total = sum(n.values()) + 3e-4
+                table.append({v: (n[v] + 1e-4) / total for v in ("good", "bad", "silent")})
+            chance.append(table)
+        for i in judged:
+            a, b = prior, 1 - prior
+            for k, v in enumerate(votes[i]):
+                if v:
+                    a, b = a * chance[0][k][v], b * chance[1][k][v]
+            good[i] = a / (a + b)
+    x = np.array([features(docs[i].text, stats[i]) for i in judged])
+    y = np.array([good[i] for i in judged])
+    w, b, last_w, last_b = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
+    for k in range(300):
+        at_w, at_b = w + k / (k + 3) * (w - last_w), b + k / (k + 3) * (b - last_b)
+        error = 1 / (1 + np.exp(-(x @ at_w + at_b))) - y
+        last_w, last_b = w, b
+        w, b = at_w - 3 * (x.T @ error / len(x) + 1e-5 * at_w), at_b - 3 * error.mean()
+    value = dict(zip(judged, 1 / (1 + np.exp(-(x @ w + b)))))
+
+    found = {r.doc_id: r for r in catalog.op8_weak_label_quality(spark, folder).collect()}
+    assert len(found) == len(docs) <= weak_quality.SAMPLE
+    for i, d in enumerate(docs):
+        r = found[d.doc_id]
+        assert abs(r.weak_posterior - good.get(i, 0)) < 1e-4
+        assert abs(r.score - value.get(i, 0)) < 0.03
+        assert r.kept == (r.score >= weak_quality.THRESHOLD)
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(0)
     good = rng.random(40_000) < 0.8
