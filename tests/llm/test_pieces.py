@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import itertools
 
 import pytest
@@ -54,6 +55,65 @@ def test_round_trip_of_any_text(text):
     assert weight == pytest.approx(machine.shortest_path("▁" + text.replace(" ", "▁"))[1] if text else 0)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("ab c▁\n é🙂", max_size=70), max_size=8))
+def test_many_chains_at_a_time_equal_one_by_one(texts):
+    machine = pieces.Transducer(SMALL)
+    for text, (ids, weight, same) in zip(texts, machine.encode_all(texts)):
+        chain = machine.normaliser.compose(text, pieces.Normaliser.BEGIN)
+        path, least = machine.shortest_path(chain)
+        assert same and weight == pytest.approx(least)
+        written = machine.decode(ids.tolist())
+        assert written == machine.decode(path) == pieces.normalised(text)
+
+
+def test_ids_equal_one_by_one():
+    machine = _machine()
+    texts = ["Überall naïve words, déjà vu", "a" * 47 + " " + "b" * 300, "x\n\n y  z▁ \t", "日本 🙂"]
+    for text, (ids, _, _) in zip(texts, machine.encode_all(texts)):
+        begin, *rest = machine.segments(text)
+        want = machine.shortest_path("▁" + pieces.Normaliser(dict(SMALL.changes)).compose(begin, 1))[0]
+        for segment in rest:
+            want += machine.shortest_path(machine.normaliser.compose(segment, 1))[0]
+        assert ids.tolist() == want
+
+
+def changed(*changes):
+    return pieces.Transducer(dataclasses.replace(SMALL, changes=changes))
+
+
+def test_a_changed_normaliser_changes_the_path():
+    named = [SMALL.pieces[i] for i in changed((" ", "▁")).encode("aB b")[0]]
+    assert named == ["▁a", "<0x42>", "▁", "b"]
+    lower = changed((" ", "▁"), ("B", "b"))
+    assert [SMALL.pieces[i] for i in lower.encode("aB b")[0]] == ["▁ab", "▁", "b"]
+    assert lower.decode(lower.encode("aB b")[0].tolist()) == "ab b"
+    # Without a change of blanks, they are written by their byte.
+    assert [SMALL.pieces[i] for i in changed().encode("a b")[0]] == ["▁a", "<0x20>", "b"]
+
+
+@pytest.mark.parametrize("changes", [
+    ((" ", "▁"), ("x", "")), ((" ", "▁"), ("x", "a▁")), ((" ", "▁"), ("x", "ab")), (("▁", "b"),), (),
+])
+def test_any_normaliser_composes_whole_texts(changes):
+    """Texts are cut only where no path is lost, whatever the normaliser writes."""
+    machine = changed(*changes)
+    for letters in itertools.product("ab x▁", repeat=4):
+        text = "".join(letters)
+        symbols = "▁" + "".join(dict(changes).get(c, c) for c in text)
+        assert machine.encode(text)[1] == pytest.approx(best_weight(machine, symbols))
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    machine = pieces.Transducer(SMALL)
+    for low in range(0, 400, 10):
+        texts = [f"a b{i} c{i % 7} {'ab' * 40}{i}" for i in range(low, low + 10)]
+        found = machine.encode_all(texts)
+        assert all(same for _, _, same in found)
+        assert len(machine.memory) < 80 and max(map(len, machine.memory)) <= 48
+
+
 _kept = []
 
 
