@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from renewlens.session import staged
+
 PREFIX_BITS = 12
 
 
@@ -21,24 +23,21 @@ def least_marks(rows: DataFrame, quota: int) -> DataFrame:
 def least_marks_by(rows: DataFrame, group: str, quota: int) -> DataFrame:
     """(group, mark): the ``quota`` least different marks of each group.
 
-    A count by group and leading bits of the mark tells how far each group has to be
-    read; only what lies below is ordered, about ``quota`` rows of a group and not the
-    group.
+    A count by group and leading bits of the mark tells which leading bits are read of each
+    group; only the rows with those are ordered, about ``quota`` of a group and not the
+    group. They are found by group and bits together, so a frequent group is many keys.
     """
-    different = rows.select(group, "mark").distinct()
     # Unsigned order, as the leading bits have it.
-    prefix = F.shiftrightunsigned("mark", 64 - PREFIX_BITS)
-    different = different.withColumn("__prefix", prefix)
+    prefix = F.shiftrightunsigned("mark", 64 - PREFIX_BITS).alias("__prefix")
+    different = staged(rows.select(group, "mark", prefix).distinct(), "marks")
     counts = different.groupBy(group, "__prefix").agg(F.count(F.lit(1)).alias("__n"))
     # At most 2 ** PREFIX_BITS rows a group.
     before = Window.partitionBy(group).orderBy("__prefix").rowsBetween(
         Window.unboundedPreceding, -1
     )
     needed = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    reach = needed.where(F.col("__before") < quota).groupBy(group).agg(
-        F.max("__prefix").alias("__reach")
-    )
-    low = different.join(reach, group).where(F.col("__prefix") <= F.col("__reach"))
+    needed = needed.where(F.col("__before") < quota).select(group, "__prefix")
+    low = different.join(needed, [group, "__prefix"], "left_semi")
     order = Window.partitionBy(group).orderBy("__prefix", "mark")
     ranked = low.withColumn("__rank", F.row_number().over(order))
     return ranked.where(F.col("__rank") <= quota).select(group, "mark")

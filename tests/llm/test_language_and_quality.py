@@ -317,3 +317,24 @@ def test_a_text_is_learned_under_its_own_language(spark):
     model = language_id.fit(docs)
     found = language_id.predict(docs, model, ("doc_id", "lang")).collect()
     assert all(r.lang == r.lang_pred for r in found)
+
+
+def test_least_marks_of_every_group(spark):
+    """A frequent group, a small one, one with repeated marks; marks of both signs."""
+    rows = [("en", (i * 7919 - 50_000) << 44) for i in range(20_000)] + [("de", i << 60) for i in range(-4, 4)]
+    rows += [("fr", 5), ("fr", 5), ("fr", -5)] * 50
+    rows = [(g, (m + (1 << 63)) % (1 << 64) - (1 << 63)) for g, m in rows]
+    frame = spark.createDataFrame(rows, "lang string, mark long").repartition(5)
+    found = sampling.least_marks_by(frame, "lang", 30)
+    joins = [
+        line
+        for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        if "Join" in line
+    ]
+    assert len(joins) == 1 and "lang" in joins[0] and "__prefix" in joins[0]
+    want = []
+    for group in ("en", "de", "fr"):
+        own = sorted({m % (1 << 64) for g, m in rows if g == group})[:30]
+        want += [(group, m - (1 << 64) if m >> 63 else m) for m in own]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert sampling.least_marks_by(frame.limit(0), "lang", 30).collect() == []
