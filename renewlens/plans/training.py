@@ -7,6 +7,7 @@ leaves. The regularisation of the logistic model is written for a mean loss.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -36,6 +37,8 @@ from renewlens.sources.tables import claim
 
 LABEL, SCORE = "is_churned", "_score"
 SCALED_VECTOR, VECTOR = "_scaled_vector", "_vector"
+# Rows that are worth a task of a pass, and the most in a file where cores run out.
+TASK_ROWS, FILE_ROWS = 10_000, 250_000
 
 
 @dataclass(frozen=True)
@@ -232,6 +235,17 @@ def logged(model: PipelineModel, root: str, run_id: str) -> PipelineModel:
 # --- the training job ---------------------------------------------------------
 
 
+def spread(rows: DataFrame, n: int, key: str = "account_id") -> DataFrame:
+    """The ``n`` rows over as many partitions as a fit can use.
+
+    Each tree takes a pass a level. Written as the shuffle before leaves them, so few
+    bytes lie in one file or some, and every pass runs in as many tasks.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    most = max(2 * cores, math.ceil(n / FILE_ROWS))
+    return rows.repartition(max(1, min(n // TASK_ROWS, most)), key)
+
+
 def train(
     features: DataFrame,
     model_root: str,
@@ -261,7 +275,8 @@ def train(
     runs: dict[str, str] = {}
     encoding = encoders().fit(train_rows)
     encoded = staged(
-        encoding.transform(train_rows).select(LABEL, SCALED_VECTOR, VECTOR), "encoded"
+        encoding.transform(spread(train_rows, n_train)).select(LABEL, SCALED_VECTOR, VECTOR),
+        "encoded",
     )
     for name, estimator in candidates.items():
         runs[name] = uuid.uuid4().hex

@@ -138,3 +138,30 @@ def test_ranking_counts_and_revenue(spark):
     assert tuple(scoring.revenue_at_risk(df.filter("risk_band = 'Low'")).first()) == (0, 0.0)
     plan = scoring.top_risks(df)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_every_pass_over_many_rows_runs_in_several_tasks(spark, features, monkeypatch):
+    kept = {}
+
+    def keep(df, name, write=training.staged):
+        # As few bytes as these lie in one file on larger tables, too.
+        kept[name] = write(df.coalesce(1) if name == "split" else df, name)
+        return kept[name]
+
+    monkeypatch.setattr(training, "staged", keep)
+    key = F.concat("account_id", F.lit("-"), F.col("copy").cast("string"))
+    many = features.crossJoin(spark.range(34).withColumnRenamed("id", "copy"))
+    many = many.withColumn("account_id", key).drop("copy")
+    root = fresh_path(spark, "test-models")
+    settings = training.TrainingSettings(max_iterations=2, trees=1, depth=1)
+    status = training.train(many, root, settings, with_importance=False).status.first()
+    parts = kept["encoded"].rdd.glom().map(len).collect()
+    assert sum(parts) == status.n_train > 32_000
+    assert len([n for n in parts if n]) >= 2
+    assert max(parts) < 0.7 * sum(parts)
+
+
+def test_few_rows_stay_in_one_task(spark):
+    rows = spark.range(100).withColumn("account_id", F.col("id").cast("string"))
+    for n in (0, 1, 100):
+        assert training.spread(rows, n).rdd.getNumPartitions() == 1
