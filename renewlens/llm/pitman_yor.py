@@ -17,38 +17,54 @@ Seating is sampled by Gibbs. Two auxiliary draws make it a matter of rows:
   independent of each other.
 
 So every (context, token) pair draws its tables from its own count, its context's gamma
-and its token's probability: two joins and no group, and no restaurant, however busy, is
-one task's work. A pair seen once has one table and need not be drawn. Up to ``exact``
-customers the draw is exact, by generalised Stirling numbers; beyond, their ratios follow
-from those at ``exact`` by a scaling law and from a saddle point, and where 500 tables or
-more could be expected the draw is normal around its mode. Predictive probabilities are averaged over the sweeps
-after ``burn_in``.
-
-All counts and seatings are distributed tables that grow with the corpus: one row a
-different pair, one a different token. The driver sees one row of sums a sweep. Random
-numbers are hashes of token, pair and sweep, so a repeated task draws the same ones.
-
-A training document finds all its pairs in the table of pairs. Pairs of other documents
-that are not in it take their context's and their token's share of the model.
-
-NULL and empty texts are one end token. Rows without id are learned from. Equal rows
-(same id and text) are scored once and repeated. Without any training row all scores
-are 0, the logarithm of the only outcome; an empty table gives no rows.
+and its token's probability, and no restaurant, however busy, is one task's work. A pair
+seen once has one table and need not be drawn. Up to ``exact`` customers the draw is exact,
+by generalised Stirling numbers; beyond, their ratios follow from those at ``exact`` by a
+scaling law and from a saddle point, and where 500 tables or more could be expected the
+draw is normal around its mode. Predictive probabilities are averaged over the sweeps after
+``burn_in``.
+
+Everything is stored in blocks, an array a row, and every table grows with the corpus:
+
+* Texts are encoded once, some megabytes a row: their different words, and tokens as places
+  among these. Words are dealt by hash into slices, where they get a number.
+* Pairs lie in a grid of cells, context slice by token slice, so the pairs of a context
+  are spread over a row of cells and those of a token over a column. A block of texts tells
+  each cell its different pairs; the cell counts them and notes who told which. In a sweep
+  a cell sends the tables of its words to their slices, and gets draws for these words.
+* Counts and tables go back from the cells to the blocks, in the order in which pairs were
+  told, and shares from the slices; scores are taken there. A pair or word that no training
+  text has is in the tables with a count of 0.
+
+The number of cells grows with the tokens, so cells and blocks keep their size; a slice
+holds the words of a row of cells, and grows with the square root. The driver sees one row of sums a sweep. Random numbers are hashes of
+token, pair and sweep, so a repeated task draws the same ones.
+
+NULL and empty texts are one end token. Rows without id are learned from. Without any
+training row all scores are 0, the logarithm of the only outcome; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renewlens.llm import blocks
-from renewlens.session import fresh_path, staged
+from renewlens.session import fresh_path
 
-END = 0  # among the 64-bit hashes that stand for words
+END = 0  # among the 64-bit hashes that stand for words; the least of them
+BLOCK_BYTES = 4 << 20  # of texts in one row
+CELL_TOKENS = 2 << 20  # a cell of the grid for so many tokens
+_MARK = np.dtype("<u2")  # the low bits of a word's hash, which tell its slice
+_ROWS = 4  # of blocks in one Arrow batch
 
 
 @dataclass(frozen=True)
@@ -175,56 +191,431 @@ def estimated_discount(ones: int, twos: int) -> float:
     return float(np.clip(ones / max(ones + 2 * twos, 1), 0.1, 0.9))
 
 
+# --- blocks -------------------------------------------------------------------
+
+
+def _packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Integers in few bytes: (steps of) 64-bit values, byte by byte, compressed."""
+    values = values.view(np.int64) if values.dtype == np.uint64 else values.astype(np.int64)
+    if ascending:
+        values = np.diff(values, prepend=0)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, ascending: bool = False) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, "zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(8, n).T).view(np.int64).ravel()
+    return np.cumsum(values) if ascending else values
+
+
+def _hashes(data: bytes) -> np.ndarray:
+    """Ascending 64-bit hashes, packed."""
+    return _unpacked(data, True).view(np.uint64)
+
+
+def _doubles(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.float64)
+
+
+def _rows(batch) -> Iterator[dict]:
+    """Rows of a table or batch, one at a time."""
+    for i in range(batch.num_rows):
+        yield {k: batch.column(j)[i].as_py() for j, k in enumerate(batch.schema.names)}
+
+
+def _arrow(schema: str):
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+    kinds |= {"binary": pa.binary(), "boolean": pa.bool_()}
+    return pa.schema([(name, kinds[kind]) for name, kind in map(str.split, schema.split(","))])
+
+
+def _each(df: DataFrame, row, schema: str) -> DataFrame:
+    """``row`` of a dict yields the dicts of the rows that come of it."""
+
+    def run(batches):
+        for batch in batches:
+            for found in _rows(batch):
+                for made in row(found):
+                    yield pa.RecordBatch.from_pylist([made], schema=_arrow(schema))
+
+    return df.mapInArrow(run, schema)
+
+
+def _met(left: DataFrame, right: DataFrame, on: list[str], rows, schema: str) -> DataFrame:
+    """``rows`` of the dicts of both sides with the same key yields dicts."""
+
+    def run(a, b):
+        made = list(rows([*_rows(a)], [*_rows(b)]))
+        return pa.Table.from_pylist(made, schema=_arrow(schema))
+
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(run, schema)
+
+
+def _own_session(spark: SparkSession) -> SparkSession:
+    """One for rows of blocks: few in a batch, and shuffles deleted as soon as a table is
+    written. The caller's session keeps its settings."""
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_ROWS))
+    own.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    # A row is large, so that few bytes are many rows' work.
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return own
+
+
+class _Tables:
+    """Tables written by one run, each in a folder that can be dropped."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)  # that of the sweep before, which nothing needs now
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for path in filter(None, (self.paths.pop(name, None) for name in names)):
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 # --- counting -----------------------------------------------------------------
 
 
-def _tokens(data, bounds):
-    """Tokens of a block with an end after each row, the token before each, its row."""
-    hashes, first = blocks.words(data, bounds)
-    rows = len(bounds) - 1
-    length = np.diff(first) + 1
-    out = np.full(len(hashes) + rows, END, np.uint64)
-    out[np.arange(len(hashes)) + np.repeat(np.arange(rows), np.diff(first))] = hashes
-    before = np.concatenate([np.array([END], np.uint64), out[:-1]])
-    return out, before, np.repeat(np.arange(rows), length)
+def _tokens(column: pa.Array):
+    """Hashes of the tokens of some texts, an end after each, and tokens a text."""
+    out, lengths = [], []
+    for _, _, data, bounds in blocks.blocks(column):
+        hashes, first = blocks.words(data, bounds)
+        out.append(np.insert(hashes, first[1:], np.uint64(END)))
+        lengths.append(np.diff(first) + 1)
+    return np.concatenate(out), np.concatenate(lengths)
 
 
-def _different(before: np.ndarray, tokens: np.ndarray, owner: np.ndarray):
-    """Where each different (owner, pair) first stands, and how often it does."""
-    key = blocks.mix(before + np.uint64(1)) + tokens
-    key = blocks.mix(key) + owner.astype(np.uint64)
-    _, at, times = np.unique(blocks.mix(key), return_index=True, return_counts=True)
-    order = np.argsort(at)
-    return at[order], times[order].astype(np.int64)
+_TEXTS = (
+    "block long, lengths binary, held binary, tokens binary, words binary, marks binary,"
+    " times binary, trained binary"
+)
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """(context, word, n): how often a token follows another, over all rows of (text)."""
+def _by_times(times: np.ndarray) -> np.ndarray:
+    """Places of words, the most frequent first: tokens packed as ranks take fewer bytes."""
+    return np.argsort(-times, kind="stable")
+
+
+def _encoded(rows: DataFrame) -> DataFrame:
+    """Rows of (id, text, held_out) in blocks: ids, tokens a row, whether it is held out,
+    tokens as places among the different words, and how often these are learned from."""
+
+    limit = BLOCK_BYTES
 
     def run(batches):
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for _, _, data, bounds in blocks.blocks(blocks.string_column(batch, "text")):
-                tokens, before, owner = _tokens(data, bounds)
-                at, times = _different(before, tokens, np.zeros_like(owner))
+            column = blocks.string_column(batch, "text")
+            for first, end, _, _ in blocks.blocks(column, limit):
+                tokens, lengths = _tokens(column.slice(first, end - first))
+                held = batch.column(2).slice(first, end - first).to_numpy(zero_copy_only=False)
+                words, places, times = np.unique(tokens, return_inverse=True, return_counts=True)
+                learned = places[np.repeat(~held.astype(bool), lengths)]
+                values = [
+                    _packed(lengths),
+                    _packed(held),
+                    _packed(np.argsort(_by_times(times))[places]),
+                    _packed(words, True),
+                    words.astype(_MARK).tobytes(),
+                    _packed(times),
+                    _packed(np.bincount(learned, minlength=len(words))),
+                ]
+                ids = batch.column(0).slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(before[at].view(np.int64)),
-                        pa.array(tokens[at].view(np.int64)),
-                        pa.array(times),
+                        pa.array([block]),
+                        *(pa.array([v], pa.binary()) for v in values),
+                        pa.array([len(tokens)]),
+                        pa.array([len(learned)]),
+                        pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                     ],
-                    names=["context", "word", "n"],
+                    names=[f.split()[0] for f in _TEXTS.split(",")] + ["size", "learned", "ids"],
                 )
+                block += 1
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"{_TEXTS}, size long, learned long, ids array<{kind}>")
+
+
+def _numbered(texts: DataFrame, side: int) -> DataFrame:
+    """Words' numbers ``at`` in their slice and training counts n: a row (slice, block) for
+    the words of a block, and one of block -1 with all words of the slice."""
+
+    def deal(row):
+        words, trained = _hashes(row["words"]), _unpacked(row["trained"])
+        slices = words.astype(_MARK) % side
+        for k in np.unique(slices).tolist():
+            own = slices == k
+            yield {
+                "slice": k,
+                "block": row["block"],
+                "words": _packed(words[own], True),
+                "n": _packed(trained[own]),
+            }
+
+    def number(table):
+        found, words = [*_rows(table)], np.zeros(0, np.uint64)
+        for first in range(0, len(found), 64):
+            some = (_hashes(r["words"]) for r in found[first : first + 64])
+            words = np.unique(np.concatenate([words, *some]))
+        n, made = np.zeros(len(words), np.int64), []
+        for r in found:
+            at, own = np.searchsorted(words, _hashes(r["words"])), _unpacked(r["n"])
+            n[at] += own
+            made.append(r | {"words": b"", "at": _packed(at, True), "n": _packed(own)})
+        key = {"slice": found[0]["slice"], "block": -1}
+        made.append(key | {"words": _packed(words, True), "n": _packed(n)})
+        return pa.Table.from_pylist(made, schema=_arrow(f"{schema}, at binary"))
+
+    schema = "slice int, block long, words binary, n binary"
+    dealt = _each(texts.select("block", "words", "trained"), deal, schema)
+    return dealt.groupBy("slice").applyInArrow(number, f"{schema}, at binary")
+
+
+def _slices(row: dict, side: int) -> np.ndarray:
+    return np.frombuffer(row["marks"], _MARK).astype(np.int64) % side
+
+
+def _places(row: dict) -> np.ndarray:
+    """The tokens of a block, as places among its words."""
+    return _by_times(_unpacked(row["times"]))[_unpacked(row["tokens"])]
+
+
+def _block_pairs(row: dict, side: int):
+    """The different pairs of a block, ordered by cell and words: each token's pair, how
+    often a pair is learned from, the places of its words, the cells and where each begins."""
+    slices, tokens = _slices(row, side), _places(row)
+    before = np.concatenate([[0], tokens[:-1]])  # an end, the first word of any block
+    pairs, own = np.unique(before * len(slices) + tokens, return_inverse=True)
+    contexts, follow = pairs // len(slices), pairs % len(slices)
+    cell = slices[contexts] * side + slices[follow]
+    order = np.argsort(cell, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    held = np.repeat(_unpacked(row["held"]), _unpacked(row["lengths"]))
+    times = np.bincount(own[held == 0], minlength=len(pairs))
+    cells, first = np.unique(cell[order], return_index=True)
+    return place[own], times[order], contexts[order], follow[order], cells, first
+
+
+def _told(texts: DataFrame, numbered: DataFrame, side: int) -> DataFrame:
+    """(i, j, block, contexts, follow, n): the different pairs of a block in a cell."""
+
+    def tell(left, right):
+        (row,) = left
+        slices = _slices(row, side)
+        at = np.zeros(len(slices), np.int64)
+        for r in right:
+            at[slices == r["slice"]] = _unpacked(r["at"], True)
+        _, times, contexts, follow, cells, first = _block_pairs(row, side)
+        contexts, follow = at[contexts], at[follow]
+        for k, own in zip(cells.tolist(), _spans(first, len(times))):
+            yield {
+                "i": k // side,
+                "j": k % side,
+                "block": row["block"],
+                "pairs": _packed(contexts[own] << 32 | follow[own], True),
+                "n": _packed(times[own]),
+            }
+
+    texts = texts.select("block", "lengths", "held", "tokens", "marks", "times")
+    numbers = numbered.where("block >= 0").select("block", "slice", "at")
+    schema = "i int, j int, block long, pairs binary, n binary"
+    return _met(texts, numbers, ["block"], tell, schema)
+
+
+def _spans(first: np.ndarray, size: int) -> list[slice]:
+    return [slice(a, b) for a, b in zip(first.tolist(), [*first[1:].tolist(), size])]
+
+
+def _gathered(told: DataFrame) -> DataFrame:
+    """A row a cell: its different pairs (numbers of context and token in one), their
+    training counts, and for the blocks the places of the pairs that each told."""
+    schema = "i int, j int, pairs binary, n binary, blocks binary, sizes binary, places binary"
+
+    def gather(table):
+        found = sorted(_rows(table), key=lambda r: r["block"])
+        parts = [_unpacked(r["pairs"], True) for r in found]
+        pairs, places = np.unique(np.concatenate(parts), return_inverse=True)
+        n = np.zeros(len(pairs), np.int64)
+        np.add.at(n, places, np.concatenate([_unpacked(r["n"]) for r in found]))
+        row = {
+            "i": found[0]["i"],
+            "j": found[0]["j"],
+            "pairs": _packed(pairs, True),
+            "n": _packed(n),
+            "blocks": _packed(np.array([r["block"] for r in found])),
+            "sizes": _packed(np.array([len(p) for p in parts])),
+            "places": _packed(places, True),
+        }
+        return pa.Table.from_pylist([row], schema=_arrow(schema))
+
+    return told.groupBy("i", "j").applyInArrow(gather, schema)
+
+
+def _halves(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pairs >> 32, pairs & 0xFFFFFFFF
+
+
+def _sums(pairs: np.ndarray, tables: np.ndarray) -> dict:
+    """The different contexts and tokens of a cell's pairs and the tables of each."""
+    made = {}
+    for name, words in zip(("context", "token"), _halves(pairs)):
+        at, own = np.unique(words, return_inverse=True)
+        made[f"{name}s"] = _packed(at, True)
+        made[f"{name}_tables"] = _packed(np.bincount(own, tables, len(at)))
+    return made
+
+
+_SUMS = "contexts binary, context_tables binary, tokens binary, token_tables binary"
+_SEATING = f"i int, j int, pairs binary, n binary, kept binary, tables binary, {_SUMS}"
+
+
+def _begun(cells: DataFrame) -> DataFrame:
+    """Pairs that come more than once, one table each, and sums of those that come once."""
+    names = [f.split()[0] for f in _SUMS.split(",")]
+
+    def begin(row):
+        pairs, n = _unpacked(row["pairs"], True), _unpacked(row["n"])
+        lone, several = pairs[n == 1], n > 1
+        once, ones = _sums(lone, np.ones(len(lone))), np.ones(several.sum(), np.int64)
+        yield {
+            "i": row["i"],
+            "j": row["j"],
+            "pairs": _packed(pairs[several], True),
+            "n": _packed(n[several]),
+            "kept": _packed(0 * ones),
+            "tables": _packed(ones),
+            "twos": int((n == 2).sum()),
+            **_sums(pairs[several], ones),
+            **{f"lone_{c}": once[c] for c in names},
+        }
+
+    lone = ", ".join(f"lone_{c} binary" for c in names)
+    return _each(cells.select("i", "j", "pairs", "n"), begin, f"{_SEATING}, {lone}, twos long")
+
+
+def _partials(seating: DataFrame, prefix: str = "") -> DataFrame:
+    """(slice, i, j, seated, at, tables): a cell's sums by context (seated) and by token."""
+    sides = [
+        seating.select(
+            F.col(k).alias("slice"),
+            "i",
+            "j",
+            F.lit(c == "context").alias("seated"),
+            F.col(f"{prefix}{c}s").alias("at"),
+            F.col(f"{prefix}{c}_tables").alias("tables"),
+        )
+        for k, c in (("i", "context"), ("j", "token"))
+    ]
+    return sides[0].unionByName(sides[1])
 
-    pairs = texts.mapInArrow(run, "context long, word long, n long")
-    return pairs.groupBy("context", "word").agg(F.sum("n").alias("n"))
 
+def _added(size: int, parts: list[dict], begin: dict | None = None) -> list[np.ndarray]:
+    """Sums of a slice's words as dish (served) and as context (seated)."""
+    names = ("lone_served", "lone_seated")
+    out = [_unpacked(begin[c]) if begin else np.zeros(size, np.int64) for c in names]
+    for r in parts:
+        out[r["seated"]][_unpacked(r["at"], True)] += _unpacked(r["tables"])
+    return out
 
-def _token_table(pairs: DataFrame) -> DataFrame:
-    """A row a token: its count, its pairs, and those seen once, as dish and as context.
+
+def _known(numbered: DataFrame, begun: DataFrame) -> DataFrame:
+    """A row a slice: hashes and counts of its words, the pairs of each that were seen once,
+    as dish and as context, and what the driver needs to know of the slice.
 
     Every token is followed by one, so its count is also the number of its restaurant's
     customers.
     """
+
+    def add(left, right):
+        (row,) = left
+        n = _unpacked(row["n"])
+        lone = _added(len(n), [r for r in right if r["lone"]])
+        more = _added(len(n), [r for r in right if not r["lone"]])
+        served = lone[0] + more[0]
+        yield {
+            "slice": row["slice"],
+            "words": row["words"],
+            "n": row["n"],
+            "lone_served": _packed(lone[0]),
+            "lone_seated": _packed(lone[1]),
+            "tokens": int(n.sum()),
+            "types": int((n > 0).sum()),
+            "ones": int(lone[0].sum()),
+            "parent_ones": int((served == 1).sum()),
+            "parent_twos": int((served == 2).sum()),
+        }
+
+    parts = _partials(begun, "lone_").withColumn("lone", F.lit(True))
+    parts = parts.unionByName(_partials(begun).withColumn("lone", F.lit(False)))
+    schema = (
+        "slice int, words binary, n binary, lone_served binary, lone_seated binary,"
+        " tokens long, types long, ones long, parent_ones long, parent_twos long"
+    )
+    vocabulary = numbered.where("block < 0").select("slice", "words", "n")
+    return _met(vocabulary, parts, ["slice"], add, schema)
+
+
+def _grid(rows: DataFrame, written: _Tables):
+    """Rows of (id, text, held_out) encoded and, if any is learned from, the numbers of
+    their words, the cells of their pairs and the side of the grid."""
+    texts = written.write(_encoded(rows), "texts")
+    size, learned = texts.agg(F.sum("size"), F.sum("learned")).first()
+    if not learned:
+        return texts, None, None, 0
+    side = min(max(1, math.ceil(math.sqrt(size / CELL_TOKENS))), 1 << 8 * _MARK.itemsize)
+    numbered = written.write(_numbered(texts, side), "numbers")
+    return texts, numbered, written.write(_gathered(_told(texts, numbered, side)), "cells"), side
+
+
+def _plain(texts: DataFrame) -> DataFrame:
+    return texts.select(F.lit(None).cast("int").alias("id"), "text", F.lit(False).alias("held_out"))
+
+
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(context, word, n): how often a token follows another, over all rows of (text)."""
+    schema = "context long, word long, n long"
+    written = _Tables(_own_session(texts.sparkSession))
+    _, numbered, cells, side = _grid(_plain(texts), written)
+    if cells is None:
+        return texts.sparkSession.createDataFrame([], schema)
+
+    def run(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                at, to = _halves(_unpacked(row["pairs"], True))
+                columns = [
+                    _hashes(row["contexts"]).view(np.int64)[at],
+                    _hashes(row["words"]).view(np.int64)[to],
+                    _unpacked(row["n"]),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["context", "word", "n"]
+                )
+
+    slices = numbered.where("block < 0")
+    cells = cells.select("i", "j", "pairs", "n")
+    return _beside(cells, slices, side, {"contexts": "words"}, {"words": "words"}).mapInArrow(run, schema)
+
+
+def _token_table(pairs: DataFrame) -> DataFrame:
+    """A row a token: its count, its pairs, and those seen once, as dish and as context."""
     once = F.count_if(F.col("n") == 1)
     dishes = pairs.groupBy("word").agg(
         F.sum("n").alias("n"), F.count("*").alias("served"), once.alias("lone_served")
@@ -239,278 +630,385 @@ def _token_table(pairs: DataFrame) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class Model:
-    """``pairs``: context, word, n, tables (mean over the samples). ``words``: word, n,
-    and for every sample i its share{i} of customers sent to the parent, as a context,
-    and its probability parent{i} there, as a token."""
+class Fit:
+    """What tasks need to know of a model besides its tables."""
 
-    pairs: DataFrame
-    words: DataFrame
-    tokens: int
-    types: int
     discount: float
     strength: float
+    parent_discount: float
+    customers: tuple[int, ...]  # of the parent, by sample
     unknown: tuple[float, ...]  # an unknown token's probability in the parent, by sample
 
+    def shares(self, words: dict) -> list[np.ndarray]:
+        """Of words as contexts, the share of customers sent to the parent, by sample."""
+        n, theta = words["n"], self.strength
+        return [
+            np.where(
+                n > 0,
+                (theta + self.discount * words[f"seated{i}"]) / np.maximum(theta + n, theta or 1),
+                1.0,
+            )
+            for i in range(len(self.unknown))
+        ]
 
-def _drop(spark, path: str | None) -> None:
-    if path:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def _replaced(df: DataFrame, name: str, old: str | None) -> tuple[DataFrame, str]:
-    """``df`` written; the table of the sweep before, which nothing needs now, goes."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    _drop(spark, old)
-    return spark.read.schema(df.schema).parquet(path), path
-
+    def parents(self, words: dict) -> list[np.ndarray]:
+        """The parent's probabilities of words, by sample."""
+        return [
+            (words[f"served{i}"] - self.parent_discount * words[f"parent_tables{i}"])
+            / (self.strength + self.customers[i])
+            + rest
+            for i, rest in enumerate(self.unknown)
+        ]
 
-def _seat(discount: float, stirling: np.ndarray, seed: int):
-    """Draws ``tables`` of (context, word, n, kept, pull) rows."""
 
-    def run(batches):
-        for batch in batches:
-            context, word, n = (batch.column(i).to_numpy() for i in range(3))
-            keys = blocks.mix(context.view(np.uint64) + np.uint64(seed)) + word.view(np.uint64)
-            pull = batch.column(4).to_numpy()
-            tables = draw_tables(n, pull, discount, stirling, blocks.mix(keys))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(4)), pa.array(tables)],
-                names=["context", "word", "n", "kept", "tables"],
-            )
+@dataclass(frozen=True)
+class Model:
+    """``cells``: all pairs and counts; ``seating``: tables of those that come more than once
+    (summed over the samples); ``slices``: words, counts and for every sample i their tables
+    as a token, served{i}, and as a context, seated{i}, and tables in the parent."""
+
+    cells: DataFrame
+    seating: DataFrame
+    slices: DataFrame
+    side: int
+    tokens: int
+    types: int
+    fit: Fit
+
+    @property
+    def discount(self) -> float:
+        return self.fit.discount
+
+    @property
+    def strength(self) -> float:
+        return self.fit.strength
+
+    @property
+    def unknown(self) -> tuple[float, ...]:
+        return self.fit.unknown
+
+    @property
+    def words(self) -> DataFrame:
+        """(word, n, share{i}, parent{i}), a row a token of the training texts."""
+        fit = self.fit
+        names = [f"{c}{i}" for c in ("share", "parent") for i in range(len(fit.unknown))]
+
+        def run(batches):
+            for batch in batches:
+                for row in _rows(batch):
+                    found = {c: _unpacked(row[c]) for c in row if c not in ("slice", "words")}
+                    n = found["n"]
+                    columns = [_hashes(row["words"]).view(np.int64), n]
+                    columns += [*fit.shares(found), *fit.parents(found)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c[n > 0]) for c in columns], names=["word", "n", *names]
+                    )
+
+        return self.slices.mapInArrow(
+            run, "word long, n long, " + ", ".join(f"{c} double" for c in names)
+        )
 
-    return run
 
+def _drawn_parent(known, partials, concentration, discount, parent_discount, pull, stirling, seed):
+    """The draws of a sweep: a row a slice of the words, and for each cell one with the
+    rates of its contexts and one with the weights of its tokens."""
 
-def _seat_parent(concentration, discount, parent_discount, parent_pull, stirling, seed):
-    """Adds the draws of a sweep to (word, served, seated) rows."""
+    def draw(left, right):
+        (row,) = left
+        words, n = _hashes(row["words"]), _unpacked(row["n"])
+        served, seated = _added(len(n), right, row)
+        own = n > 0
+        tables, weight, rate = np.zeros(len(n), np.int64), np.zeros(len(n)), np.zeros(len(n))
+        keys = blocks.mix(words[own] + np.uint64(seed))
+        tables[own] = draw_tables(
+            served[own], np.full(own.sum(), pull), parent_discount, stirling, keys
+        )
+        weight[own] = gammas(
+            served[own] - parent_discount * tables[own], blocks.mix(keys + np.uint64(1))
+        )
+        rate[own] = gammas(concentration / discount + seated[own], blocks.mix(keys + np.uint64(2)))
+        yield {
+            "slice": row["slice"],
+            "served": _packed(served),
+            "seated": _packed(seated),
+            "parent_tables": _packed(tables),
+            "all_served": int(served.sum()),
+            "all_tables": int(tables.sum()),
+            "all_weight": float(weight.sum()),
+        }
+        for r in right:
+            at = _unpacked(r["at"], True)
+            values = (rate if r["seated"] else weight)[at]
+            made = {"words": _packed(words[at], True), "draws": values.tobytes()}
+            yield {"slice": row["slice"], "i": r["i"], "j": r["j"], "contexts": r["seated"]} | made
+
+    schema = (
+        "slice int, served binary, seated binary, parent_tables binary, all_served long,"
+        " all_tables long, all_weight double, i int, j int, contexts boolean, words binary, draws binary"
+    )
+    return _met(known, partials, ["slice"], draw, schema)
 
-    def run(batches):
-        for batch in batches:
-            word, served, seated = (batch.column(i).to_numpy() for i in range(3))
-            keys = blocks.mix(word.view(np.uint64) + np.uint64(seed))
-            pull = np.full(len(word), parent_pull)
-            tables = draw_tables(served, pull, parent_discount, stirling, keys)
-            weight = gammas(served - parent_discount * tables, blocks.mix(keys + np.uint64(1)))
-            rate = gammas(concentration / discount + seated, blocks.mix(keys + np.uint64(2)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(tables), pa.array(weight), pa.array(rate)],
-                names=["word", "served", "seated", "parent_tables", "weight", "rate"],
-            )
 
-    return run
+def _beside(cells: DataFrame, slices: DataFrame, side: int, contexts: dict, tokens: dict) -> DataFrame:
+    """Cells with columns of the slice of their contexts and of that of their tokens, each
+    given as {new name: name}."""
+    every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    across = slices.select(
+        F.col("slice").alias("i"), every.alias("j"), *(F.col(v).alias(k) for k, v in contexts.items())
+    )
+    down = slices.select(
+        every.alias("i"), F.col("slice").alias("j"), *(F.col(v).alias(k) for k, v in tokens.items())
+    )
+    return cells.join(across, ["i", "j"]).join(down, ["i", "j"])
+
+
+def _seated_anew(seating, parent, discount, stirling, rest, outcomes, weights, keep, seed):
+    """The seating of a sweep; ``keep``: the tables of the one before count as a sample."""
+
+    def seat(left, right):
+        (row,), drawn = left, {r["contexts"]: r for r in right}
+        pairs, n = _unpacked(row["pairs"], True), _unpacked(row["n"])
+        at, to = (np.unique(x, return_inverse=True)[1] for x in _halves(pairs))
+        kept, tables = _unpacked(row["kept"]), _unpacked(row["tables"])
+        chance = (_doubles(drawn[False]["draws"])[to] + rest / outcomes) / (weights + rest)
+        pull = discount * _doubles(drawn[True]["draws"])[at] * chance
+        contexts, words = _hashes(drawn[True]["words"])[at], _hashes(drawn[False]["words"])[to]
+        keys = blocks.mix(blocks.mix(contexts + np.uint64(seed)) + words)
+        anew = draw_tables(n, pull, discount, stirling, keys)
+        yield {
+            **{c: row[c] for c in ("i", "j", "pairs", "n")},
+            "kept": _packed(kept + tables) if keep else row["kept"],
+            "tables": _packed(anew),
+            **_sums(pairs, anew),
+        }
+
+    state = seating.select("i", "j", "pairs", "n", "kept", "tables")
+    drawn = parent.where("i IS NOT NULL").select("i", "j", "contexts", "words", "draws")
+    return _met(state, drawn, ["i", "j"], seat, _SEATING)
 
 
 def fit(texts: DataFrame, settings: Settings = Settings()) -> Model | None:
     """The model of all rows of (text); None without rows."""
-    s, theta = settings, settings.strength
-    pairs = staged(pair_counts(texts), "pairs")
-    known = staged(_token_table(pairs), "tokens")
+    written = _Tables(_own_session(texts.sparkSession))
+    _, numbered, cells, side = _grid(_plain(texts), written)
+    return _fitted(numbered, cells, side, written, settings) if side else None
+
+
+def _fitted(numbered: DataFrame, cells: DataFrame, side: int, written: _Tables, s: Settings) -> Model:
+    theta = s.strength
+    seating = begun = written.write(_begun(cells), "begun")
+    known = written.write(_known(numbered, begun), "known")
     totals = known.agg(
-        F.sum("n").alias("tokens"),
-        F.count("*").alias("types"),
-        F.sum("lone_served").alias("ones"),
-        F.count_if(F.col("served") == 1).alias("parent_ones"),
-        F.count_if(F.col("served") == 2).alias("parent_twos"),
+        *(F.sum(c).alias(c) for c in ("tokens", "types", "ones", "parent_ones", "parent_twos"))
     ).first()
-    if not totals["types"]:
-        return None
     outcomes = totals["types"] + 1
-    twos = pairs.where("n = 2").count()
+    twos = begun.agg(F.sum("twos")).first()[0]
     discount = estimated_discount(totals["ones"], twos)
     parent_discount = estimated_discount(totals["parent_ones"], totals["parent_twos"])
     stirling = log_stirling(discount, s.exact)
     parent_stirling = log_stirling(parent_discount, s.exact)
     rng = np.random.default_rng(s.seed)
 
-    def parent(counts: DataFrame, old: str | None, dishes: int, sweep: int):
+    def parent(dishes: int, sweep: int):
         """The parent seated anew and its probabilities drawn."""
         pull = parent_discount * rng.gamma(theta / parent_discount + dishes) / outcomes
-        draws = _seat_parent(
-            theta, discount, parent_discount, pull, parent_stirling, s.seed * 1000 + 2 * sweep
+        seed = s.seed * 1000 + 2 * sweep
+        drawn = _drawn_parent(
+            known, _partials(seating), theta, discount, parent_discount, pull, parent_stirling, seed
         )
-        table, path = _replaced(
-            counts.mapInArrow(
-                draws,
-                "word long, served long, seated long, parent_tables long, weight double, rate double",
-            ),
-            "parent",
-            old,
-        )
-        sums = table.agg(F.sum("served"), F.sum("parent_tables"), F.sum("weight")).first()
-        return table, path, sums
+        table = written.write(drawn, "parent")
+        return table, table.agg(F.sum("all_served"), F.sum("all_tables"), F.sum("all_weight")).first()
 
     # To begin with, every pair has one table and every token one in the parent.
-    state, state_path = pairs.where("n > 1").select(
-        "context", "word", "n", F.lit(0).cast("long").alias("kept"), F.lit(1).cast("long").alias("tables")
-    ), None
-    table, path, sums = parent(
-        known.select("word", "served", "seated"), None, totals["types"], 0
-    )
-    samples, unknown = None, []
+    table, sums = parent(totals["types"], 0)
+    samples, unknown, customers = None, [], []
     for sweep in range(1, s.burn_in + s.samples + 1):
         rest = rng.gamma(theta + parent_discount * sums[1])
-        chance = (F.col("weight") + F.lit(rest / outcomes)) / F.lit(sums[2] + rest)
-        rates = table.select(F.col("word").alias("context"), "rate")
-        chances = table.select("word", chance.alias("chance"))
-        kept = F.col("kept") + (F.col("tables") if sweep > s.burn_in + 1 else F.lit(0))
-        drawn = (
-            state.join(rates, "context")
-            .join(chances, "word")
-            .select(
-                "context",
-                "word",
-                "n",
-                kept.alias("kept"),
-                (F.lit(discount) * F.col("rate") * F.col("chance")).alias("pull"),
-            )
-            .mapInArrow(
-                _seat(discount, stirling, s.seed * 1000 + 2 * sweep + 1),
-                "context long, word long, n long, kept long, tables long",
-            )
-        )
-        state, state_path = _replaced(drawn, "seating", state_path)
-        served = state.groupBy("word").agg(F.sum("tables").alias("more_served"))
-        seated = state.groupBy(F.col("context").alias("word")).agg(
-            F.sum("tables").alias("more_seated")
-        )
-        none = F.lit(0)
-        counts = (
-            known.join(served, "word", "left")
-            .join(seated, "word", "left")
-            .select(
-                "word",
-                (F.col("lone_served") + F.coalesce("more_served", none)).alias("served"),
-                (F.col("lone_seated") + F.coalesce("more_seated", none)).alias("seated"),
-            )
+        seating = written.write(
+            _seated_anew(
+                seating,
+                table,
+                discount,
+                stirling,
+                rest,
+                outcomes,
+                sums[2],
+                sweep > s.burn_in + 1,
+                s.seed * 1000 + 2 * sweep + 1,
+            ),
+            "seating",
         )
-        last = sweep > s.burn_in
-        table, path, sums = parent(counts, None if sweep > s.burn_in + 1 else path, sums[1], sweep)
-        if last:
+        table, sums = parent(sums[1], sweep)
+        if sweep > s.burn_in:
             i = sweep - s.burn_in - 1
-            rest_share = (theta + parent_discount * sums[1]) / (theta + sums[0]) / outcomes
-            unknown.append(rest_share)
-            found = table.select(
-                "word",
-                F.col("seated").alias(f"seated{i}"),
-                (
-                    (F.col("served") - parent_discount * F.col("parent_tables"))
-                    / F.lit(theta + sums[0])
-                    + F.lit(rest_share)
-                ).alias(f"parent{i}"),
+            unknown.append((theta + parent_discount * sums[1]) / (theta + sums[0]) / outcomes)
+            customers.append(sums[0])
+            found = table.where("i IS NULL").select(
+                "slice", *(F.col(c).alias(f"{c}{i}") for c in ("served", "seated", "parent_tables"))
             )
-            samples = found if samples is None else samples.join(found, "word")
-    words = known.select("word", "n").join(samples, "word")
-    shares = [
-        ((theta + discount * F.col(f"seated{i}")) / (theta + F.col("n"))).alias(f"share{i}")
-        for i in range(s.samples)
-    ]
-    parents = [f"parent{i}" for i in range(s.samples)]
-    words = staged(words.select("word", "n", *shares, *parents), "words")
-    lone = pairs.where("n = 1").select(
-        "context", "word", "n", F.lit(1.0).cast("double").alias("tables")
-    )
-    mean = (F.col("kept") + F.col("tables")) / F.lit(float(s.samples))
-    several = state.select("context", "word", "n", mean.alias("tables"))
+            found = written.write(found, f"sample{i}")
+            samples = found if samples is None else samples.join(found, "slice")
+
+    slices = written.write(known.select("slice", "words", "n").join(samples, "slice"), "slices")
+    written.drop("begun", "known", "parent", *(f"sample{i}" for i in range(s.samples)))
     return Model(
-        lone.unionByName(several),
-        words,
+        cells,
+        seating,
+        slices,
+        side,
         totals["tokens"],
         totals["types"],
-        discount,
-        theta,
-        tuple(unknown),
+        Fit(discount, theta, parent_discount, tuple(customers), tuple(unknown)),
     )
 
 
 # --- scoring ------------------------------------------------------------------
 
 
-def _from_parent(model: Model) -> Column:
-    """A token's probability by way of the parent, of share{i} and parent{i} columns."""
-    each = [
-        F.coalesce(F.col(f"share{i}"), F.lit(1.0)) * F.coalesce(F.col(f"parent{i}"), F.lit(p))
-        for i, p in enumerate(model.unknown)
-    ]
-    return sum(each[1:], each[0]) / len(each)
+def _tables_of_pairs(row: dict, samples: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the pairs of a cell, and their tables summed over the samples."""
+    n = _unpacked(row["n"])
+    tables = np.minimum(n, 1) * samples
+    tables[n > 1] = _unpacked(row["kept"]) + _unpacked(row["tables"])
+    return n, tables
 
 
-def _as_context(model: Model) -> DataFrame:
-    shares = [f"share{i}" for i in range(len(model.unknown))]
-    return model.words.select(F.col("word").alias("context"), F.col("n").alias("customers"), *shares)
+def _log_scores(n, tables, customers, shares, parents, fit: Fit):
+    """Log10 probabilities of pairs; ``shares``, ``parents``: those of each sample."""
+    own, seen = np.zeros(len(n)), n > 0
+    taken = n[seen] - fit.discount * (tables[seen] / len(shares))
+    own[seen] = taken / (fit.strength + customers[seen])
+    each = [share * parent for share, parent in zip(shares, parents)]
+    return np.log10(own + sum(each[1:], each[0]) / len(each))
 
 
-def _as_word(model: Model) -> DataFrame:
-    parents = [f"parent{i}" for i in range(len(model.unknown))]
-    return model.words.select("word", F.col("n").alias("count"), *parents)
+def _counted_cells(model: Model, *columns: str) -> DataFrame:
+    seating = model.seating.select("i", "j", "kept", "tables")
+    return model.cells.select("i", "j", "n", *columns).join(seating, ["i", "j"])
 
 
 def pair_scores(model: Model) -> DataFrame:
     """(context, word, count, score) of every pair of the training texts: the word's count
     and the pair's log10 probability."""
-    own = (F.col("n") - F.lit(model.discount) * F.col("tables")) / (
-        F.lit(model.strength) + F.col("customers")
-    )
-    score = F.log10(own + _from_parent(model)).alias("score")
-    return (
-        model.pairs.join(_as_context(model), "context")
-        .join(_as_word(model), "word")
-        .select("context", "word", "count", score)
-    )
-
-
-def _pair() -> Column:
-    """One 64-bit key a pair, for joins of many rows."""
-    return F.xxhash64("context", "word").alias("pair")
-
-
-def _document_pairs(rows: DataFrame) -> DataFrame:
-    """For each row one record for each different pair: how often, and how often an end."""
-    names = ["mark", "doc_id", "context", "word", "times", "ends"]
+    fit, samples = model.fit, range(len(model.unknown))
+    sent = [f"seated{i}" for i in samples]
+    top = [f"{c}{i}" for c in ("served", "parent_tables") for i in samples]
 
     def run(batches):
         for batch in batches:
-            marks, ids = batch.column(0), batch.column(1)
-            for first, end, data, bounds in blocks.blocks(blocks.string_column(batch, "text")):
-                tokens, before, owner = _tokens(data, bounds)
-                at, times = _different(before, tokens, owner)
-                who = pa.array(owner[at] + first)
+            for row in _rows(batch):
+                n, tables = _tables_of_pairs(row, len(samples))
+                at, to = _halves(_unpacked(row["pairs"], True))
+                customers = _unpacked(row["customers"])
+                words = {c: _unpacked(row[c]) for c in sent + top} | {"n": customers}
+                shares = [c[at] for c in fit.shares(words)]
+                parents = [c[to] for c in fit.parents(words)]
+                columns = [
+                    _hashes(row["contexts"]).view(np.int64)[at],
+                    _hashes(row["words"]).view(np.int64)[to],
+                    _unpacked(row["counts"])[to],
+                    _log_scores(n, tables, customers[at], shares, parents, fit),
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        marks.take(who),
-                        ids.take(who),
-                        pa.array(before[at].view(np.int64)),
-                        pa.array(tokens[at].view(np.int64)),
-                        pa.array(times),
-                        pa.array(np.where(tokens[at] == END, times, 0)),
-                    ],
-                    names=names,
+                    [pa.array(c[n > 0]) for c in columns], names=["context", "word", "count", "score"]
                 )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        run, f"mark long, doc_id {kind}, context long, word long, times long, ends long"
-    )
+    contexts = {"contexts": "words", "customers": "n"} | {c: c for c in sent}
+    tokens = {"words": "words", "counts": "n"} | {c: c for c in top}
+    cells = _beside(_counted_cells(model, "pairs"), model.slices, model.side, contexts, tokens)
+    return cells.mapInArrow(run, "context long, word long, count long, score double")
+
+
+def _answers(model: Model) -> DataFrame:
+    """(block, cell, pair_n, tables): what became of the pairs that a block told a cell."""
+    samples, side = len(model.unknown), model.side
+
+    def answer(row):
+        n, tables = _tables_of_pairs(row, samples)
+        places, ends = _unpacked(row["places"], True), np.cumsum(_unpacked(row["sizes"]))
+        for block, own in zip(_unpacked(row["blocks"]).tolist(), np.split(places, ends[:-1])):
+            found = {"pair_n": _packed(n[own]), "tables": _packed(tables[own])}
+            yield {"block": block, "cell": row["i"] * side + row["j"]} | found
+
+    cells = _counted_cells(model, "blocks", "sizes", "places")
+    return _each(cells, answer, "block long, cell int, pair_n binary, tables binary")
+
+
+def _words_of_blocks(numbered: DataFrame, model: Model) -> DataFrame:
+    """Counts and tables, as in the model's slices, of the words of a block in a slice."""
+    names = [c for c in model.slices.columns if c not in ("slice", "words")]
+
+    def take(left, right):
+        (row,) = left
+        columns = {c: _unpacked(row[c]) for c in names}
+        for r in right:
+            at = _unpacked(r["at"], True)
+            own = {c: _packed(values[at]) for c, values in columns.items()}
+            yield {"block": r["block"], "slice": r["slice"]} | own
+
+    asked = numbered.where("block >= 0").select("slice", "block", "at")
+    schema = "block long, slice int, " + ", ".join(f"{c} binary" for c in names)
+    return _met(model.slices.select("slice", *names), asked, ["slice"], take, schema)
+
+
+def _totals(texts: DataFrame, words: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
+    """Blocks with the sums of each text: known tokens, base score and score."""
+    side, outcomes = model.side, model.tokens + 0.5 * (model.types + 1)
+    fit, names = model.fit, [c for c in model.slices.columns if c not in ("slice", "words")]
+
+    def add(left, right):
+        (row,) = left
+        tokens, lengths, slices = _places(row), _unpacked(row["lengths"]), _slices(row, side)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        known = {c: np.zeros(len(slices), np.int64) for c in names}
+        for r in right:
+            if r["slice"] is not None:
+                for c, values in known.items():
+                    values[slices == r["slice"]] = _unpacked(r[c])
+        own, _, contexts, follow, _, _ = _block_pairs(row, side)
+        cells = sorted((r for r in right if r["cell"] is not None), key=lambda r: r["cell"])
+        n, tables = (np.concatenate([_unpacked(r[c]) for r in cells]) for c in ("pair_n", "tables"))
+        count = known["n"]
+        shares = [c[contexts] for c in fit.shares(known)]
+        parents = [c[follow] for c in fit.parents(known)]
+        each = _log_scores(n, tables, count[contexts], shares, parents, fit)
+        base = np.log10((count + 0.5) / outcomes)
+        yield {
+            "block": row["block"],
+            "n_known": _packed(np.bincount(owner, count[tokens] > 0).astype(np.int64)),
+            "base_score": np.bincount(owner, base[tokens]).tobytes(),
+            "score": np.bincount(owner, each[own]).tobytes(),
+        }
+
+    parts = words.unionByName(answers, allowMissingColumns=True)
+    texts = texts.select("block", "lengths", "held", "tokens", "marks", "times")
+    schema = "block long, n_known binary, base_score binary, score binary"
+    return _met(texts, parts, ["block"], add, schema)
+
+
+def _by_text(found: DataFrame, train_tokens: int, id_col: str) -> DataFrame:
+    """Blocks with their sums as a row a text."""
+    names = [id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    kind = found.schema["ids"].dataType.elementType.simpleString()
 
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("ids")
+            for i, row in enumerate(_rows(batch.select(["lengths", *names[2:3], *names[4:]]))):
+                lengths = _unpacked(row["lengths"])
+                known, none = row["n_known"], np.zeros(len(lengths))
+                columns = [
+                    lengths,
+                    _unpacked(known) if known else none.astype(np.int64),
+                    np.full(len(lengths), train_tokens),
+                    *(_doubles(row[c]) if known else none for c in names[4:]),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [ids[i].values, *(pa.array(c) for c in columns)], names=names
+                )
 
-def _sums(found: DataFrame, model: Model) -> DataFrame:
-    """What a document's pair adds, of rows with the word's ``count`` (NULL: unknown)."""
-    times, known = F.col("times"), F.col("count").isNotNull()
-    base = F.log10(
-        (F.coalesce("count", F.lit(0)) + 0.5) / F.lit(model.tokens + 0.5 * (model.types + 1))
-    )
-    return found.select(
-        "mark",
-        "doc_id",
-        times.alias("n_tokens"),
-        F.when(known, times).otherwise(0).alias("n_known"),
-        "ends",
-        (times * base).alias("base_score"),
-        (times * F.col("score")).alias("score"),
-    )
+    schema = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return found.mapInArrow(run, f"`{id_col}` {kind}, {schema}")
 
 
 def scores(
@@ -523,53 +1021,24 @@ def scores(
     """One row per input row: id, n_tokens, n_known, train_tokens, base_score and score
     (log10 probabilities of the whole text)."""
     rows = docs.select(
-        F.xxhash64(id_col, F.coalesce(F.col(text_col), F.lit(""))).alias("mark"),
-        F.col(id_col).alias("doc_id"),
+        F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    train = rows.where("NOT held_out").select("mark", "doc_id", "text")
-    rest = rows.where("held_out").select("mark", "doc_id", "text")
-    model = fit(train.select("text"), settings)
-    if model is None:
-        parts = _document_pairs(rest).select(
-            "mark",
-            "doc_id",
-            F.col("times").alias("n_tokens"),
-            F.lit(0).alias("n_known"),
-            "ends",
-            F.lit(0.0).alias("base_score"),
-            F.lit(0.0).alias("score"),
-        )
+    spark = docs.sparkSession
+    written = _Tables(_own_session(spark))
+    texts, numbered, cells, side = _grid(rows, written)
+    if not side:
+        nothing = (F.lit(None).cast("binary").alias(c) for c in ("n_known", "base_score", "score"))
+        found = _by_text(texts.select("ids", "lengths", *nothing), 0, id_col)
     else:
-        known = pair_scores(model).select(_pair(), "count", "score")
-        # Every pair of a training text is known.
-        own = _document_pairs(train).select("mark", "doc_id", _pair(), "times", "ends")
-        parts = _sums(own.join(known, "pair"), model)
-        other = _document_pairs(rest).withColumn("pair", _pair())
-        other = staged(other.join(known, "pair", "left").drop("pair"), "held-out-pairs")
-        new = (
-            other.where("score IS NULL")
-            .drop("score", "count")
-            .join(_as_context(model), "context", "left")
-            .join(_as_word(model), "word", "left")
-            .withColumn("score", F.log10(_from_parent(model)))
-        )
-        parts = parts.unionByName(_sums(other.where("score IS NOT NULL"), model))
-        parts = parts.unionByName(_sums(new, model))
-    total = parts.groupBy("mark", "doc_id").agg(
-        *(
-            F.sum(c).alias(c)
-            for c in ("n_tokens", "n_known", "ends", "base_score", "score")
-        )
-    )
-    copies = F.col("ends")  # every copy of a row has one end
-    each = total.select("*", F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
-    return each.select(
-        F.col("doc_id").alias(id_col),
-        (F.col("n_tokens") / copies).cast("long").alias("n_tokens"),
-        (F.col("n_known") / copies).cast("long").alias("n_known"),
-        F.lit(model.tokens if model else 0).cast("long").alias("train_tokens"),
-        (F.col("base_score") / copies).alias("base_score"),
-        (F.col("score") / copies).alias("score"),
-    )
+        model = _fitted(numbered, cells, side, written, settings)
+        answers = written.write(_answers(model), "answers")
+        written.drop("cells", "seating")
+        words = _words_of_blocks(numbered, model)
+        totals = written.write(_totals(texts, words, answers, model), "totals")
+        written.drop("answers", "numbers", "slices")
+        found = _by_text(texts.select("block", "ids", "lengths").join(totals, "block"), model.tokens, id_col)
+    found = written.write(found, "scores")
+    written.drop("texts", "totals")
+    return spark.read.schema(found.schema).parquet(written.paths["scores"])

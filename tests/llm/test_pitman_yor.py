@@ -4,6 +4,7 @@ import itertools
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from frames_llm import documents, empty_documents, words
 from renewlens.llm import blocks, catalog, pitman_yor
 from renewlens.llm.pitman_yor import Settings, draw_tables, log_stirling
+from renewlens.session import shared_folder
 
 
 def partitions(n):
@@ -248,6 +250,45 @@ def test_query_equals_counts_by_hand_and_beats_the_base(spark):
     assert np.mean([r.score > r.base_score for r in unseen]) > 0.95
 
 
+def scored(spark, docs, held):
+    rows = pitman_yor.scores(docs, held).collect()
+    return {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows}
+
+
+def zipf_documents(spark, n, seed=11):
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(f"w{int(x) % 3000}" for x in rng.zipf(1.3, 80) % 10**9) for _ in range(n)]
+    return documents(spark, list(enumerate(texts))).cache()
+
+
+def test_any_grid_and_blocks_give_the_same_scores(spark, monkeypatch):
+    docs, held = zipf_documents(spark, 150), F.col("doc_id") % 5 == 1
+    whole = scored(spark, docs, held)
+    monkeypatch.setattr(pitman_yor, "CELL_TOKENS", 1000)
+    monkeypatch.setattr(pitman_yor, "BLOCK_BYTES", 1500)
+    parted = scored(spark, docs, held)
+    assert whole.keys() == parted.keys() == set(range(150))
+    for i, values in whole.items():
+        assert parted[i] == pytest.approx(values, rel=1e-9)
+
+
+def test_tables_in_between_are_small_and_go(spark):
+    """Stored pairs took 16 bytes and more each, and all tables stayed."""
+    docs = zipf_documents(spark, 400)
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "renewlens"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    assert len(scored(spark, docs, F.col("doc_id") % 5 == 1)) == 400
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["scores"]
+    written = pitman_yor._Tables(spark)
+    rows = docs.select(F.col("doc_id").alias("id"), "text", F.lit(False).alias("held_out"))
+    texts, numbered, cells, _ = pitman_yor._grid(rows, written)
+    (row,) = cells.select(F.length("pairs").alias("size"), "pairs").collect()
+    pairs = pitman_yor._unpacked(bytes(row.pairs), True)
+    assert len(pairs) > 10_000 and row["size"] < 4 * len(pairs)
+    (tokens,) = texts.agg(F.sum(F.length("tokens")), F.sum("size")).collect()
+    assert tokens[0] < 2 * tokens[1]
+
+
 def test_awkward_rows(spark):
     rows = [(i, f"the cat {i % 7} sat on the mat") for i in range(40)]
     rows += [(100, None), (101, ""), (None, "the cat"), (102, "the " * 40_000)]
